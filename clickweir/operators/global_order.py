@@ -1,7 +1,7 @@
 """Positions in a total order over a whole table, without one task seeing all of it.
 
-Rows are range-partitioned and written to the checkpoint folder, which fixes the
-partition boundaries for good. Per-partition totals (one row per partition) give each
+Rows are range-partitioned and written to the scratch folder together with their
+partition number, which fixes the boundaries for good. Per-partition totals (one row per partition) give each
 partition its offset, and the running sum inside a partition does the rest.
 """
 
@@ -11,7 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from clickweir.session import checkpointed
+from clickweir.session import stored
 
 
 def running_total(df: DataFrame, order: Sequence[Column], weight: Column | None = None,
@@ -26,7 +26,7 @@ def running_total(df: DataFrame, order: Sequence[Column], weight: Column | None
     weight = F.lit(1) if weight is None else weight
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     full_order = [*[F.col(c).asc_nulls_last() for c in within], *order]
-    ranged = checkpointed(
+    ranged = stored(
         df.withColumn("_weight", weight.cast("bigint"))
         .repartitionByRange(parts, *full_order)
         .withColumn("_part", F.spark_partition_id()))

@@ -14,6 +14,7 @@ from clickweir.functions.ratios import ratio_2dp
 from clickweir.operators.global_order import running_total
 from clickweir.operators.joins import BROADCAST_ROWS, broadcast_if_small
 from clickweir.schema import ENCODED_COLUMNS, INT_COLUMNS
+from clickweir.session import stored
 
 NUMERIC_FEATURES = tuple(c for c in INT_COLUMNS if c not in ("click", "hour"))
 
@@ -40,7 +41,7 @@ def label_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     cells = df.select([F.col(c).cast("string").alias(c) for c in columns]) \
         .unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull()).distinct()
     coded = running_total(cells, [F.col("value").asc()], within=["column_name"], alias="code")
-    return coded.withColumn("code", F.col("code") - 1)
+    return stored(coded.withColumn("code", F.col("code") - 1), "labels")
 
 
 def label_encode(df: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS,
@@ -48,7 +49,6 @@ def label_encode(df: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS,
     """Replace columns by their codes; values not in the dictionary (and NULL) get -1."""
     if dictionary is None:
         dictionary = label_dictionary(df, columns)
-    dictionary = dictionary.persist()
     out = df
     for c in columns:
         codes = dictionary.where(F.col("column_name") == c).select(

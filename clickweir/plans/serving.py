@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickweir.functions.ratios import ctr_batch, ratio_2dp
-from clickweir.session import checkpointed, delete_path
+from clickweir.session import delete_path, stored
 
 # --- fixed values: how long cached metrics live, alert limits -------------------
 TTL_MINUTES = {"1min": 5, "5min": 25}
@@ -189,7 +189,7 @@ def retention_cleanup(spark: SparkSession, path: str, as_of, days: int = RETENTI
     affected = per_partition.collect()
     mixed = [r[partition] for r in affected if r["kept"] > 0]
     if mixed:
-        survivors = checkpointed(table.where(F.col(partition).isin(mixed) & ~old))
+        survivors = stored(table.where(F.col(partition).isin(mixed) & ~old))
         survivors.hint("rebalance", F.col(partition)).write.mode("overwrite") \
             .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
     for row in affected:

@@ -55,10 +55,15 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{scratch_root(spark)}/clickweir/{app}/{label}-{uuid.uuid4().hex}"
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Cut lineage through reliable storage, so the rows survive lost executors."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint(eager=True)
+def stored(df: DataFrame, label: str = "stored") -> DataFrame:
+    """Write the rows to the scratch folder and read them back.
+
+    Cuts lineage in storage that survives lost executors. As a Parquet table it is
+    pruned by column when reread, and its size is known to the planner.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from clickweir.functions.payloads import audit_columns
 from clickweir.operators.joins import missing_keys
@@ -17,8 +17,8 @@ def materialize_table(df: DataFrame, path: str, partition_by: str | None = "even
 
     refresh='full' replaces the whole table; 'partitions' replaces only the days
     present in `df`, which is how one late day is redone without touching the rest.
-    Rows are clustered by day first, so a day becomes a few files and not one per
-    task; the extra hash key spreads a heavy day over many tasks.
+    Rows are rebalanced by day first: adaptive execution merges light days into few
+    files and splits a heavy day over several tasks.
     """
     if loaded_at:
         df = df.select("*", *audit_columns([loaded_at]))
@@ -42,9 +42,11 @@ def write_batch(df: DataFrame, path: str, batch_id: int,
 
 def read_batches(spark: SparkSession, path: str, schema) -> DataFrame:
     """All committed micro-batches of a table written by `write_batch`."""
+    full = T.StructType([f for f in schema.fields if f.name != "batch_id"]
+                        + [T.StructField("batch_id", T.IntegerType())])
     if not path_exists(spark, path):
-        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(None).cast("int"))
-    return spark.read.option("basePath", path).parquet(path)
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(path)
 
 
 def insert_if_absent(new: DataFrame, path: str, keys: Sequence[str], batch_id: int,
@@ -72,7 +74,7 @@ def insert_if_absent(new: DataFrame, path: str, keys: Sequence[str], batch_id: i
 
 def latest_versions(versions: DataFrame, keys: Sequence[str], version: str = "batch_id") -> DataFrame:
     """Newest version of every key. `max_by` combines before the shuffle."""
-    payload = [c for c in versions.columns if c not in (*keys, version, "metric_date")]
+    payload = [c for c in versions.columns if c not in (*keys, version)]
     newest = versions.groupBy(*keys).agg(F.max_by(F.struct(*payload), F.col(version)).alias("_row"))
     return newest.select(*keys, *[F.col(f"_row.{c}").alias(c) for c in payload])
 
