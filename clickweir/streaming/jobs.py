@@ -108,11 +108,12 @@ def versions_sink(path: str, day_of: str = "window_start") -> Callable:
 
 def read_metrics(spark: SparkSession, path: str, schema, keys: Sequence[str] = ("window_start",)) -> DataFrame:
     """Newest version of every window a `versions_sink` wrote."""
-    return latest_versions(read_batches(spark, path, schema), keys)
+    return latest_versions(read_batches(spark, path, schema).drop("metric_date"), keys)
 
 
 def read_breakdown(spark: SparkSession, path: str, schema, map_name: str) -> DataFrame:
-    newest = latest_versions(read_batches(spark, path, schema), ["window", "dim"])
+    versions = read_batches(spark, path, schema).drop("metric_date")
+    newest = latest_versions(versions, ["window", "dim"])
     return assemble_breakdown(newest, map_name)
 
 
