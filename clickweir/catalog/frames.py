@@ -8,7 +8,7 @@ from clickweir.functions.payloads import event_to_json
 from clickweir.operators.windows import FIVE_MINUTES, ONE_MINUTE, tumbling_ctr
 from clickweir.plans import marts
 from clickweir.plans.faults import retry_decode, retry_router
-from clickweir.plans.ingest import classify, with_raw_text
+from clickweir.plans.ingest import classify
 from clickweir.schema import DAILY_GRAIN
 from clickweir.session import scratch_path
 from clickweir.sources.driver_tables import ad_events, raw_text_rows
@@ -26,7 +26,7 @@ def raw(spark: SparkSession, d: str) -> DataFrame:
 
 
 def judged(spark: SparkSession, d: str) -> DataFrame:
-    return classify(with_raw_text(raw(spark, d)), keep=("raw_data", "event_time"))
+    return classify(raw(spark, d), keep=("event_time",))
 
 
 def staged(spark: SparkSession, d: str, *columns: str) -> DataFrame:

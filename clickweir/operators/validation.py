@@ -11,34 +11,36 @@ from clickweir.schema import (CLICK_VALUES, EVENT_COLUMNS, EVENT_TYPES, HOUR_BOU
                               RANGE_BOUNDS, STRING_COLUMNS)
 
 
-def _number(text: Column) -> Column:
-    """Text to double, NULL when unreadable. A trailing type letter, which the cast
-    would take, is no number in an event file."""
-    return F.when(~text.rlike("[dDfF]\\s*$"), text.try_cast("double"))
-
-
 def to_typed(name: str) -> Column:
     """One text field to its declared type, NULL when that fails.
 
-    Integers go through double, so '1e+2' and '3.9' are read (100 and 3). The id keeps
-    all its digits: as a double, neighbouring ids of this size would fall together.
+    A plain integer is read as such. Other spellings go through a wide decimal, so
+    '1e+2' and '3.9' give 100 and 3; a decimal, unlike a double, takes no 'NaN', 'inf'
+    or '1d' for a number. The id keeps all its digits: as a double, neighbouring ids of
+    this size would fall together.
     """
     text, kind = F.col(name), EVENT_TYPES[name]
     if kind == "string":
         return text
     if kind == "int":
-        return _number(text).try_cast("int")
-    return F.when(~text.rlike("[dDfF]\\s*$"), text.try_cast(kind))
+        return F.coalesce(text.try_cast("int"), text.try_cast("decimal(38,18)").try_cast("int"))
+    return text.try_cast(kind)
 
 
 def transform_types(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Cast all 24 fields. `type_error` names the first field that has text but no
-    value of its type, `missing_field` the first field that is absent."""
-    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & to_typed(c).isNull(), F.lit(c))
-                       for c in EVENT_COLUMNS if EVENT_TYPES[c] != "string"])
+    value of its type, `missing_field` the first field that is absent.
+
+    The casts sit in a projection of their own, so each is done once and the flags
+    only look at its outcome.
+    """
+    numeric = [c for c in EVENT_COLUMNS if EVENT_TYPES[c] != "string"]
+    cast = raw.select("*", *[to_typed(c).alias(f"_{c}") for c in numeric])
+    bad = F.coalesce(*[F.when(F.col(c).isNotNull() & F.col(f"_{c}").isNull(), F.lit(c)) for c in numeric])
     missing = F.coalesce(*[F.when(F.col(c).isNull(), F.lit(c)) for c in EVENT_COLUMNS])
-    return raw.select(*[to_typed(c).alias(c) for c in EVENT_COLUMNS], *keep,
-                      bad.alias("type_error"), missing.alias("missing_field"))
+    return cast.select(
+        *[F.col(f"_{c}").alias(c) if c in numeric else F.col(c) for c in EVENT_COLUMNS], *keep,
+        bad.alias("type_error"), missing.alias("missing_field"))
 
 
 def all_present(columns: Sequence[str] = EVENT_COLUMNS) -> Column:

@@ -4,31 +4,34 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickweir.functions.payloads import event_to_json
 from clickweir.functions.ratios import ratio_2dp
+from clickweir.operators.evaluation import evaluate_once
 from clickweir.operators.validation import reject_reasons, transform_types
 from clickweir.schema import EVENT_COLUMNS, RANGE_BOUNDS, RAW_SCHEMA
 
 
 def classify(raw: DataFrame, bounds=RANGE_BOUNDS, keep=()) -> DataFrame:
-    """Typed events plus `reason`; one projection over the scan, nothing shuffled."""
-    return reject_reasons(transform_types(raw, keep), bounds)
+    """Typed events plus `reason`, in one pass over the scan, nothing shuffled."""
+    return evaluate_once(reject_reasons(transform_types(raw, keep), bounds))
 
 
 def valid_events(classified: DataFrame, keep=()) -> DataFrame:
     return classified.where(F.col("reason").isNull()).select(*EVENT_COLUMNS, *keep)
 
 
-def with_raw_text(raw: DataFrame) -> DataFrame:
-    """Keep a row's text as one JSON column, so a reject can be replayed."""
-    return raw.withColumn("raw_data", event_to_json(RAW_SCHEMA.names))
+def with_raw_row(raw: DataFrame) -> DataFrame:
+    """Carry a row's untyped fields along, so a reject can be replayed."""
+    return raw.withColumn("raw_row", F.struct(*RAW_SCHEMA.names))
 
 
 def rejects(classified: DataFrame, line_number="line_number", now=None) -> DataFrame:
-    """Dead-letter records of rejected rows: line_number, raw_data, error, timestamp (ms)."""
+    """Dead-letter records of rejected rows: line_number, raw_data (JSON), error,
+    timestamp (ms). Only rejects are turned back into text."""
     now = F.current_timestamp() if now is None else now
     return classified.where(F.col("reason").isNotNull()).select(
-        F.col(line_number).alias("line_number"), "raw_data", F.col("reason").alias("error"),
+        F.col(line_number).alias("line_number"),
+        F.to_json("raw_row", {"ignoreNullFields": "false"}).alias("raw_data"),
+        F.col("reason").alias("error"),
         F.unix_millis(now).alias("timestamp"))
 
 
@@ -36,7 +39,7 @@ def split_valid_rejects(raw: DataFrame, line_number: str, bounds=RANGE_BOUNDS,
                         now=None) -> tuple[DataFrame, DataFrame]:
     """(valid events, rejects). Both are filters over the same projection; persist or
     store `raw` first when its scan is expensive."""
-    classified = classify(with_raw_text(raw), bounds, keep=("raw_data", line_number))
+    classified = classify(with_raw_row(raw), bounds, keep=("raw_row", line_number))
     return valid_events(classified), rejects(classified, line_number, now)
 
 

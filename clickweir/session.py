@@ -14,6 +14,9 @@ SQL_CONF = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Above 8000 bytecodes the JVM does not compile a method; wide projections are then
+    # faster as separate operators than as one fused, interpreted loop.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Window and dedup state lives on local disk, not on the heap.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickweir.operators.evaluation import evaluate_once
+
 DRIVER_EVENT_SCHEMA = ("event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
                        "value double, props string")
 
@@ -89,7 +91,8 @@ def raw_text_rows(ads: DataFrame) -> DataFrame:
     n = F.col("id").cast("bigint")
 
     def text(name: str) -> F.Column:
-        return F.coalesce(F.col(name).cast("string"), F.lit(""))
+        as_text = F.col(name).cast("string")
+        return F.coalesce(as_text, F.lit("")) if name in ("hour", "site_id", "app_id") else as_text
 
     special = {
         "click": F.when(n % 107 == 106, "5").when(n % 109 == 108, F.concat(text("click"), F.lit(".0")))
@@ -101,5 +104,5 @@ def raw_text_rows(ads: DataFrame) -> DataFrame:
         "c14": F.when(n % 109 == 108, F.concat(text("c14"), F.lit("e0"))).otherwise(text("c14")),
         "c21": F.when(n % 137 != 136, text("c21")),
     }
-    return ads.select(*[special.get(c, text(c)).alias(c) for c in ads.columns if c != "event_time"],
-                      "event_time")
+    return evaluate_once(ads.select(
+        *[special.get(c, text(c)).alias(c) for c in ads.columns if c != "event_time"], "event_time"))
