@@ -13,7 +13,7 @@ from clickweir.plans import faults
 from clickweir.schema import EVENT_SCHEMA
 from clickweir.session import scratch_path
 from clickweir.sources import tables
-from clickweir.sources.driver_tables import ad_events_stream
+from clickweir.sources.driver_tables import DRIVER_EVENT_SCHEMA, ad_events_stream, events_glob
 from clickweir.sources.event_files import CORRUPT, parse_event_json, stream_source
 from clickweir.streaming import jobs
 
@@ -110,9 +110,7 @@ def _(spark, d):
 @query("stream_source", "SELECT event_type, count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS user_sum FROM events GROUP BY 1")
 def _(spark, d):
     """A subscription by format name and options."""
-    from clickweir.sources.driver_tables import DRIVER_EVENT_SCHEMA
-    stream = stream_source(spark, "parquet", {"path": d, "pathGlobFilter": "events*.parquet"},
-                           DRIVER_EVENT_SCHEMA)
+    stream = stream_source(spark, "parquet", {"path": events_glob(d)}, DRIVER_EVENT_SCHEMA)
 
     def sink(path):
         return lambda batch, batch_id: tables.write_batch(batch, path, batch_id)

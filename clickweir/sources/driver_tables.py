@@ -74,13 +74,19 @@ def ad_events(spark: SparkSession, sf_dir: str, since: str | None = None) -> Dat
             .where(F.col("event_time") >= floor))
 
 
+def events_glob(sf_dir: str) -> str:
+    """The table's path as a glob: a stream takes a folder or a glob, and the table may
+    be one file or a folder of files."""
+    return f"{sf_dir}/{{events.parquet}}"
+
+
 def ad_events_stream(spark: SparkSession, sf_dir: str,
                      max_files_per_trigger: int = 1000) -> DataFrame:
     """The view as a stream over the same files; event_time becomes a zoned timestamp,
     which watermarks need."""
     events = (spark.readStream.schema(DRIVER_EVENT_SCHEMA)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", "events*.parquet").parquet(sf_dir))
+              .parquet(events_glob(sf_dir)))
     return as_ad_events(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 

@@ -155,3 +155,14 @@ def test_malformed_fails_the_stream(spark, tmp_path):
 
 def test_scratch_paths_are_new(spark):
     assert scratch_path(spark, "x") != scratch_path(spark, "x")
+
+
+def test_stream_reads_a_file_or_a_folder(spark, sf, tmp_path):
+    from clickweir.sources.driver_tables import ad_events, ad_events_stream, read_driver_table
+    read_driver_table(spark, sf, "events").repartition(3).write.parquet(str(tmp_path / "events.parquet"))
+    expected = ad_events(spark, sf).count()
+    for i, folder in enumerate((sf, str(tmp_path))):
+        path = str(tmp_path / f"out{i}")
+        jobs.StreamRun(ad_events_stream(spark, folder), lambda df, b, p=path: tables.write_batch(df, p, b),
+                       str(tmp_path / f"cp{i}")).catch_up()
+        assert spark.read.parquet(f"{path}/batch_id=*").count() == expected
