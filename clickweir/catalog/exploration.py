@@ -198,29 +198,35 @@ def _split_features(spark, d):
     return train, split.where("split = 'test'")
 
 
-def _model_report(spark, model, test, name):
-    scored = stored(model.transform(test).select("click", "prediction", "rawPrediction"))
-    area = model_prep.auc(scored)
-    return scored.groupBy(F.lit(name).alias("model")).agg(
-        F.count("*").alias("n_test"), F.count_if(F.col("click") == F.col("prediction")).alias("n_hits")
-    ).withColumn("auc", F.lit(area))
+def _model_report(model, test, name):
+    scored = model_prep.with_score(model.transform(test)).select("click", "score")
+    return model_prep.auc(scored).withColumn("model", F.lit(name))
 
 
 @query("ctr_model_lr")
 def _(spark, d):
-    """Balanced logistic regression: test size, hits, area under the curve."""
+    """Balanced logistic regression: area under the curve on the test rows."""
     train, test = _split_features(spark, d)
-    return _model_report(spark, model_prep.logistic_regression(train, FEATURES), test, "logistic_regression")
+    return _model_report(model_prep.logistic_regression(train, FEATURES), test, "logistic_regression")
 
 
 @query("ctr_model_rf")
 def _(spark, d):
     """Balanced forest of 100 trees."""
     train, test = _split_features(spark, d)
-    return _model_report(spark, model_prep.random_forest(train, FEATURES), test, "random_forest")
+    return _model_report(model_prep.random_forest(train, FEATURES), test, "random_forest")
 
 
 
+@query("auc_report", """SELECT CAST(sum(pos) AS BIGINT) AS n_pos, CAST(sum(neg) AS BIGINT) AS n_neg,
+CAST(sum(pos * (2 * below + neg)) AS DOUBLE) / (2 * CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc
+FROM (SELECT *, coalesce(sum(neg) OVER (ORDER BY c14 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below
+FROM (SELECT c14, count(*) FILTER (click = 1) AS pos, count(*) FILTER (click = 0) AS neg FROM stg GROUP BY 1))""")
+def _(spark, d):
+    """Area under the curve of one column taken as the score."""
+    return model_prep.auc(frames.staged(spark, d, "click", "c14"), score="c14")
+
+
 @query("confusion_report", f"""SELECT class, actual, predicted, hits, {ratio('(100 * hits)', 'predicted')} AS precision_pct,
 {ratio('(100 * hits)', 'actual')} AS recall_pct, {ratio('(200 * hits)', '(actual + predicted)')} AS f1_pct
 FROM (SELECT c.class, count(*) FILTER (click = c.class) AS actual, count(*) FILTER (pred = c.class) AS predicted,

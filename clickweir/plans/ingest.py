@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Observation, functions as F
 
 from clickweir.functions.ratios import ratio_2dp
 from clickweir.operators.evaluation import evaluate_once
@@ -56,10 +56,10 @@ def ingest_stats(classified: DataFrame, send_failed: int = 0,
     return stats
 
 
-def observe_ingest(classified: DataFrame, name: str) -> DataFrame:
+def observe_ingest(classified: DataFrame, observation: str | Observation) -> DataFrame:
     """The same counters as observed metrics: no extra pass in batch or stream."""
     return classified.observe(
-        name, F.count(F.lit(1)).alias("total"),
+        observation, F.count(F.lit(1)).alias("total"),
         F.count_if(F.col("reason").isNull()).alias("success"),
         F.count_if(F.col("reason").isNotNull()).alias("validation_failed"))
 

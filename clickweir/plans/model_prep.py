@@ -6,8 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickweir.functions.ratios import ratio_2dp
@@ -76,8 +76,27 @@ def random_forest(train: DataFrame, features: Sequence[str], label: str = "click
     return Pipeline(stages=[assembler(features), model]).fit(train)
 
 
-def auc(scored: DataFrame, label: str = "click") -> float:
-    return BinaryClassificationEvaluator(labelCol=label, metricName="areaUnderROC").evaluate(scored)
+def with_score(scored: DataFrame) -> DataFrame:
+    """Probability of a click as a plain column."""
+    return scored.withColumn("score", vector_to_array("probability")[1])
+
+
+def auc(scored: DataFrame, label: str = "click", score: str = "score") -> DataFrame:
+    """Exact area under the ROC curve: the share of (click, non-click) pairs in which the
+    click scores higher, ties counted half.
+
+    Rows merge to one per score; the non-clicks below each score come from a running
+    total, so no pair is formed and no task sees all scores. Products are exact decimals.
+    """
+    per_score = scored.groupBy(score).agg(F.count_if(F.col(label) == 1).alias("pos"),
+                                          F.count_if(F.col(label) == 0).alias("neg"))
+    ranked = running_total(per_score, [F.col(score).asc()], F.col("neg"), alias="upto")
+    pos, neg, wide = F.col("pos").cast("decimal(18,0)"), F.col("neg"), "decimal(19,0)"
+    wins = pos * ((F.col("upto") - neg) * 2 + neg).cast(wide)
+    totals = ranked.agg(F.sum("pos").alias("n_pos"), F.sum("neg").alias("n_neg"),
+                        F.sum(wins).cast("double").alias("wins"))
+    pairs = F.col("n_pos").cast("double") * F.col("n_neg").cast("double")
+    return totals.select("n_pos", "n_neg", F.try_divide(F.col("wins"), pairs * 2).alias("auc"))
 
 
 def confusion_report(scored: DataFrame, label: str = "click", prediction: str = "prediction") -> DataFrame:

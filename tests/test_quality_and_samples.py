@@ -197,11 +197,22 @@ def test_models_learn_a_rule(spark):
     for model in (model_prep.logistic_regression(train, ["a", "b"]),
                   model_prep.random_forest(train, ["a", "b"], trees=5)):
         scored = model.transform(df)
-        assert model_prep.auc(scored) > 0.99
+        assert model_prep.auc(model_prep.with_score(scored)).first()["auc"] > 0.99
         report = {r["class"]: r for r in model_prep.confusion_report(scored).collect()}
         assert report[0]["actual"] == 420 and report[1]["actual"] == 180
 
 
+def test_auc_counts_pairs(spark):
+    random.seed(3)
+    data = [(random.randint(0, 1), random.randint(0, 9) / 10) for _ in range(300)]
+    wins = sum((a > b) + (a == b) / 2 for y, a in data for z, b in data if y == 1 and z == 0)
+    n_pos = sum(y for y, _ in data)
+    row = model_prep.auc(spark.createDataFrame(data, "click int, score double")).first()
+    assert row["auc"] == pytest.approx(wins / (n_pos * (300 - n_pos)))
+    one_class = model_prep.auc(spark.createDataFrame([(1, 0.5)], "click int, score double"))
+    assert one_class.first()["auc"] is None
+
+
 def test_confusion_numbers(spark):
     pairs = [(1, 1)] * 3 + [(1, 0)] * 1 + [(0, 1)] * 2 + [(0, 0)] * 4
     report = {r["class"]: r for r in
