@@ -129,10 +129,9 @@ def _(spark, d):
 
 
 _DRIFT = " UNION ALL ".join(
-    [f"SELECT '{c}' AS field, 'retyped' AS change, '{t}' AS expected_type, 'string' AS actual_type"
-     for c, t in EVENT_TYPES.items() if t != "string"]
-    + ["SELECT 'event_time', 'added', NULL, lower(data_type) || '_ntz' FROM information_schema.columns "
-       "WHERE table_name = 'events' AND column_name = 'ts'"])
+    [f"SELECT '{c}' AS field, 'retyped' AS change, '{t}' AS expected_type, 'string' AS actual_type, "
+     f"count({c}) AS n_values FROM raw" for c, t in EVENT_TYPES.items() if t != "string"]
+    + ["SELECT 'event_time', 'added', NULL, 'timestamp_ntz', count(event_time) FROM raw"])
 
 
 @query("schema_drift", _DRIFT)

@@ -54,7 +54,7 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
         .unpivot([], list(columns), "column_name", "value").where(F.col("value").isNotNull())
     freq = cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
     cumulative = running_total(freq, [F.col("value").asc()], F.col("n"), ["column_name"], "upto")
-    totals = freq.groupBy("column_name").agg(F.sum("n").alias("total"))
+    totals = cumulative.groupBy("column_name").agg(F.max("upto").alias("total"))
     wanted = F.explode(F.array(*[F.lit(int(p)) for p in percents])).alias("pct")
     # position of the quantile among 0-based ranks: pct/100 * (total - 1)
     targets = totals.select(F.col("column_name").alias("_name"), wanted, "total") \
@@ -99,6 +99,15 @@ def schema_drift(expected, actual) -> list[tuple[str, str, str | None, str | Non
 
 
 def schema_drift_report(df: DataFrame, expected) -> DataFrame:
-    return df.sparkSession.createDataFrame(
-        schema_drift(expected, df.schema),
-        "field string, change string, expected_type string, actual_type string")
+    """The drift of a table with the number of values each drifted field holds (0 for
+    dropped ones), counted in one pass."""
+    drift = schema_drift(expected, df.schema)
+    entries = [F.struct(
+        F.lit(field).alias("field"), F.lit(change).alias("change"),
+        F.lit(old).cast("string").alias("expected_type"), F.lit(new).cast("string").alias("actual_type"),
+        (F.lit(0).cast("bigint") if new is None else F.count(field)).alias("n_values"))
+        for field, change, old, new in drift]
+    if not entries:
+        return df.sparkSession.createDataFrame(
+            [], "field string, change string, expected_type string, actual_type string, n_values bigint")
+    return df.agg(F.array(*entries).alias("drift")).select(F.inline("drift"))

@@ -19,14 +19,14 @@ def _hashed(df: DataFrame, key: str, seed: int) -> DataFrame:
     return df.withColumn("_hash", digest).withColumn("_bucket", F.substring("_hash", 1, BUCKET_DIGITS))
 
 
-def stratum_quotas(df: DataFrame, strata: str, total: int | None = None,
+def stratum_quotas(counts: DataFrame, strata: str, total: int | None = None,
                    fraction_pct: int | None = None) -> DataFrame:
-    """Rows to take per stratum: proportional shares, largest remainders rounded up.
+    """Rows to take per stratum from its count `n`: proportional shares, largest
+    remainders rounded up.
 
     One row per stratum. Give either the number of rows or a whole percent, of which
     the next whole number of rows is taken.
     """
-    counts = df.groupBy(strata).agg(F.count("*").alias("n"))
     everything = Window.partitionBy(F.lit(0))  # one row per stratum
     sizes = counts.withColumn("all_rows", F.sum("n").over(everything))
     if total is None:
@@ -43,10 +43,14 @@ def stratum_quotas(df: DataFrame, strata: str, total: int | None = None,
 
 def stratified_flag(df: DataFrame, strata: str, key: str, seed: int = 42, total: int | None = None,
                     fraction_pct: int | None = None) -> DataFrame:
-    """Add `sampled` (1 for the rows of the exact-size stratified sample)."""
+    """Add `sampled` (1 for the rows of the exact-size stratified sample).
+
+    `key` must be unique, and `df` is read more than once: pass a stored table.
+    """
     hashed = _hashed(df, key, seed)
-    quotas = stratum_quotas(df, strata, total, fraction_pct)
     histogram = hashed.groupBy(strata, "_bucket").agg(F.count("*").alias("_n"))
+    counts = histogram.groupBy(strata).agg(F.sum("_n").alias("n"))
+    quotas = stratum_quotas(counts, strata, total, fraction_pct)
     ordered = Window.partitionBy(strata).orderBy("_bucket")
     cumulative = histogram.withColumn("_upto", F.sum("_n").over(ordered))
     # the bucket in which each stratum reaches its quota, and how many rows it still gives

@@ -99,9 +99,10 @@ def test_singular_checks_catch_their_defect(spark, name):
 
 def test_schema_drift(spark):
     old = spark.createDataFrame([], "a int, b string, C long").schema
-    new = spark.createDataFrame([], "A int, b int, d string")
+    new = spark.createDataFrame([(1, 2, None), (1, None, None)], "A int, b int, d string")
     assert rows(profiling.schema_drift_report(new, old)) == [
-        ("b", "retyped", "string", "int"), ("c", "dropped", "bigint", None), ("d", "added", None, "string")]
+        ("b", "retyped", "string", "int", 1), ("c", "dropped", "bigint", None, 0), ("d", "added", None, "string", 0)]
+    assert profiling.schema_drift_report(new, new.schema).count() == 0
 
 
 # --- global order and profiles ----------------------------------------------------
