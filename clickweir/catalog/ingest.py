@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from clickweir.catalog import frames
 from clickweir.catalog.registry import query
-from clickweir.catalog.sql import ratio
+from clickweir.catalog.sql import STAMP, ratio
 from clickweir.operators import validation as v
 from clickweir.plans import ingest
 from clickweir.schema import EVENT_COLUMNS, EVENT_SCHEMA, EVENT_TYPES, STRING_COLUMNS
@@ -139,7 +139,8 @@ UNION ALL SELECT CAST(id AS VARCHAR), 'reject', reason, 1706745600000 FROM judge
 def _(spark, d):
     """Both outputs of ingest; rejects carry error and time."""
     good, bad = ingest.split_valid_rejects(
-        frames.raw(spark, d).withColumn("line_number", F.col("id")), "line_number", now=frames.stamp())
+        frames.raw(spark, d).withColumn("line_number", F.col("id")), "line_number",
+        now=F.lit(f"{STAMP}Z").cast("timestamp"))
     none = F.lit(None)
     return good.select("id", F.lit("valid").alias("side"), none.cast("string").alias("error"),
                        none.cast("bigint").alias("timestamp")).unionByName(

@@ -11,6 +11,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickweir.session import stored
+
 BUCKET_DIGITS = 5  # hex digits: 16^5 buckets per stratum
 
 
@@ -48,7 +50,8 @@ def stratified_flag(df: DataFrame, strata: str, key: str, seed: int = 42, total:
     `key` must be unique, and `df` is read more than once: pass a stored table.
     """
     hashed = _hashed(df, key, seed)
-    histogram = hashed.groupBy(strata, "_bucket").agg(F.count("*").alias("_n"))
+    # stored, as it is used twice: at most one row per stratum and bucket
+    histogram = stored(hashed.groupBy(strata, "_bucket").agg(F.count("*").alias("_n")), "histogram")
     counts = histogram.groupBy(strata).agg(F.sum("_n").alias("n"))
     quotas = stratum_quotas(counts, strata, total, fraction_pct)
     ordered = Window.partitionBy(strata).orderBy("_bucket")
