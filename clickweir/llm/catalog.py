@@ -32,3 +32,11 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickweir.llm.packing import pack
 
     return pack(table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+@query
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that the mix of all sources takes of each document."""
+    from clickweir.llm.mixing import mix
+
+    return mix(table(spark, sf_dir, "documents"))
