@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -40,3 +40,19 @@ def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickweir.llm.mixing import mix
 
     return mix(table(spark, sf_dir, "documents"))
+
+
+@query
+def op7_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at cosine 0.9 or more."""
+    from clickweir.llm.embed_dedup import near_vectors
+
+    return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    from clickweir.llm.ann import nearest
+
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
