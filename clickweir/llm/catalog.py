@@ -56,3 +56,11 @@ def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickweir.llm.ann import nearest
 
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and components of close ones."""
+    from clickweir.llm.simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))

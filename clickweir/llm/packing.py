@@ -11,7 +11,9 @@ lowest cost so far that still has room; what does not fit goes on to the next on
 from __future__ import annotations
 
 import heapq
+import json
 import re
+import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -23,12 +25,14 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 1024          # tokens of a sequence; a power of two
 GROUP_TOKENS = 1 << 20   # tokens that a task packs together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048   # cost of a token, and of a pair of tokens that attend
-CACHED_WORDS = 400_000   # words whose ids a Python worker remembers, for speed alone
+CACHED_WORDS = 800_000   # words whose ids a Python worker remembers, for speed alone
 BATCH_CHARS = 1 << 20
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
+# Letters of long standing in every version of Unicode, then at most some sentence marks.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 _UNSPLIT = re.compile(r" (?:\s|\Z)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
 _ENCODERS: dict[str, "Encoder"] = {}
@@ -39,21 +43,46 @@ class Encoder:
 
     The byte-level pre-tokenizer always starts a piece at a space that a non-space
     follows, so a text's ids are the ids of its space-led words in a row. Words are
-    encoded once per worker while they stay in a bounded cache.
+    encoded once per worker while they stay in a bounded cache. A word of letters is one
+    piece, and marks after it are another; the model encodes such pieces without the rest of the tokenizer.
     """
 
     def __init__(self, tokenizer_json: str, cached_words: int = CACHED_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, models
 
         self.tokenizer = Tokenizer.from_str(tokenizer_json)
         self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
+        model = json.loads(tokenizer_json)["model"]
+        self.model = models.BPE(vocab=model["vocab"], cache_capacity=0,
+                                merges=[tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]])
+        # the character that stands for each byte: itself if it prints, else one past 255
+        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        others = [b for b in range(256) if b not in set(prints)]
+        self.shown = {b: b for b in prints} | {b: 256 + n for n, b in enumerate(others)}
         self.cached_words = cached_words
         self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
         return [np.array(e.ids, "<u4").tobytes()
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, words: list[str]) -> None:
+        """Encode space-led words into the cache."""
+        odd = []
+        for word in words:
+            if not (plain := _PLAIN.fullmatch(word)):
+                odd.append(word)
+                continue
+            letters, marks = plain.groups()
+            if marks not in self.marks:
+                if len(self.marks) > 1000:
+                    self.marks = {"": b""}
+                self.marks[marks] = self._encode([marks])[0]
+            ids = [t.id for t in self.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.shown))]
+            self.words[word] = struct.pack(f"<{len(ids)}I", *ids) + self.marks[marks]
+        self.words.update(zip(odd, self._encode([" " + w for w in odd])))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         split = [(_BEFORE_WORD.split(t) if _UNSPLIT.search(t) else t.split(" ")) for t in texts]
         heads = self._encode([parts[0] for parts in split])
@@ -63,8 +92,7 @@ class Encoder:
             words.update(parts)
         if len(self.words) > self.cached_words:
             self.words = {}
-        new = [w for w in words if w not in self.words]
-        self.words.update(zip(new, self._encode([" " + w for w in new])))
+        self._learn([w for w in words if w not in self.words])
         known = self.words.__getitem__
         return [head + b"".join(map(known, parts)) for head, parts in zip(heads, split)]
 
