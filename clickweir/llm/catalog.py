@@ -64,3 +64,27 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickweir.llm.simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def crc_bucket(col: str, n: int):
+    return F.crc32(F.col(col).cast("string").cast("binary")) % n
+
+
+@query
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of every document, learned from three quarters of them."""
+    from clickweir.llm.langid import identify
+
+    docs = table(spark, sf_dir, "documents")
+    held = crc_bucket("doc_id", 4) == 2
+    return identify(docs, ~held).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+@query
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document, learned from four fifths of the labels."""
+    from clickweir.llm.quality_fm import score
+
+    held = crc_bucket("doc_id", 5) == 0
+    scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
