@@ -88,3 +88,21 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = crc_bucket("doc_id", 5) == 0
     scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    from clickweir.llm.html_extract import extract
+
+    return extract(table(spark, sf_dir, "pages"))
+
+
+@query
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from four fifths of the labels."""
+    from clickweir.llm.toxicity import score
+
+    held = crc_bucket("doc_id", 5) == 0
+    scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
+    return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))

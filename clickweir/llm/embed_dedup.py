@@ -20,7 +20,7 @@ from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, est
 from clickweir.session import stored
 
 THRESHOLD = 0.9
-PIVOTS = 64     # cells; the pivots are the vectors of the smallest hashes, a bounded sample
+PIVOTS = 16     # cells; the pivots are the vectors of the smallest hashes, a bounded sample
 
 
 def _nearest_pivot(pivots: np.ndarray):

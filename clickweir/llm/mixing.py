@@ -23,8 +23,9 @@ MOST_EPOCHS = 3          # a source is taken so many times at most
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
 SHARD_GROUP = 256        # shards whose draws are made together
-BUCKET_ROWS = 8192       # documents that are ordered together
+BUCKET_ROWS = 2048       # documents that are ordered together
 ROUNDS = 12              # of the block permutation
+TASK_SLOTS = 100_000     # slots that a task maps to blocks
 SEED = 20240501
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -99,9 +100,12 @@ def placed(sizes: DataFrame, rows: int, bucket_rows: int = BUCKET_ROWS) -> DataF
             .withColumn("start", F.col("base") + F.col("inner")).drop("t_source", "t_bucket", "base", "inner", "bucket"))
 
 
-def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS,
+def slots(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS,
           most_epochs: int = MOST_EPOCHS) -> DataFrame:
-    """source, shard, slot, epoch, block: the block of its source that each slot takes."""
+    """source, shard, slot, epoch, block: the block of its source that each slot takes.
+
+    `words` is the total size; it sets into how many tasks the slots are dealt.
+    """
     every = Window.partitionBy(F.lit(0))
     upto = Window.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
@@ -139,6 +143,7 @@ def slots(targets: DataFrame, block_words: int = BLOCK_WORDS, shard_slots: int =
     numbered = (draws.withColumn("inner", F.coalesce(F.sum("draws").over(in_group), F.lit(0)))
                 .join(bases, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("shard_group") == F.col("b_group")))
                 .filter("draws > 0")
+                .repartition(1 + words // (block_words * TASK_SLOTS), "source", "shard")
                 .select("source", "blocks", "shard", "first_slot", (F.col("base") + F.col("inner")).alias("before"),
                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("draws") - 1)).alias("i")))
     number = F.col("before") + F.col("i")
@@ -163,7 +168,8 @@ def _plan(docs: DataFrame, weights, block_words, shard_slots, most_epochs, id_co
     sizes = stored(word_sizes(docs, id_col, text_col, source_col), "mix-sizes")
     targets = stored(source_targets(sizes, weights, most_epochs), "mix-targets")
     places = stored(placed(sizes, sizes.count()), "mix-places")
-    return targets, places, slots(targets, block_words, shard_slots, most_epochs)
+    words = targets.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+    return targets, places, slots(targets, words, block_words, shard_slots, most_epochs)
 
 
 def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS,
