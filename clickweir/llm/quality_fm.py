@@ -58,12 +58,16 @@ def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray,
     return np.searchsorted(starts, first, "right") - 1, first, np.flatnonzero(ends) + 1
 
 
-def word_hashes(data: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit polynomial hash of each word, from running sums over the piece."""
+def running_hash(data: np.ndarray) -> np.ndarray:
+    """Sums from which the hash of any stretch of the piece follows."""
     low = LOWER[data].astype("u8") + np.uint64(1)
     low *= _powers(_ODD, len(data))
-    run = np.concatenate([np.zeros(1, "u8"), np.cumsum(low)])
-    h = (run[end] - run[first]) * _powers(_BACK, len(data))[first]
+    return np.concatenate([np.zeros(1, "u8"), np.cumsum(low)])
+
+
+def stretch_hashes(run: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """A 64-bit polynomial hash of each stretch, A-Z as a-z."""
+    h = (run[end] - run[first]) * _powers(_BACK, len(run))[first]
     h ^= h >> np.uint64(29)
     h *= np.uint64(_ODD)
     return h ^ (h >> np.uint64(32))
@@ -83,7 +87,7 @@ def features(data: np.ndarray, starts: np.ndarray, given: np.ndarray) -> Feature
     sizes = np.diff(starts).astype("f8")
     kinds = np.bincount(owner(starts) * 8 + _CLASS[data], minlength=8 * n).reshape(n, 8).astype("f8")
     text, first, end = words(data, starts)
-    h = word_hashes(data, first, end)
+    h = stretch_hashes(running_hash(data), first, end)
     letter = np.concatenate([[0], np.cumsum(_CLASS[data] <= 2)])
     total = np.bincount(text, minlength=n).astype("f8")
     some = np.maximum(total, 1)

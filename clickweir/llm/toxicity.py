@@ -19,11 +19,12 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from clickweir.llm.quality_fm import word_hashes, words
+from clickweir.llm.quality_fm import running_hash, stretch_hashes, words
 from clickweir.llm.utf8 import LOWER, pieces
+from clickweir.session import stored
 
 LEARNED_ROWS = 6000     # labelled texts that are learned from: those of the smallest id hashes
-PREFIXES = (4, 5)       # bytes of the word beginnings that are evidence
+PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes of the word beginnings that are evidence
 CONFIDENCE = 1.645
 CACHED = 200_000        # stretches whose restoration a Python worker remembers, for speed alone
 LONGEST_STRETCH = 64    # a longer stretch is restored in cuts of this length
@@ -31,8 +32,13 @@ LONGEST_STRETCH = 64    # a longer stretch is restored in cuts of this length
 # What signs may stand for, as is common in leetspeak; fixed values.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
         "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "(": "c", "<": "c", "€": "e", "£": "l", "*": "aeiou"}
-AS_LETTER, AS_NOTHING, AS_BOUNDARY, SHORTENED = 1.0, 1.0, 0.5, 1.5     # channel costs in nats
-NOT_SPLIT = 2.0         # of one space between single letters: a boundary after all
+# Channel costs in nats: a sign as a letter, as nothing or a boundary, the same for signs that look like
+# no letter, two equal letters for one, and a boundary at a space between single letters.
+AS_LETTER, AS_NOTHING, AS_BOUNDARY = 1.0, 9.0, 4.0
+MARK_AS_NOTHING, MARK_AS_BOUNDARY = 1.0, 0.5
+SHORTENED, NOT_SPLIT = 6.0, 2.0
+SURE = 0.9              # bound from which a word is evidence whatever stands beside it
+EVIDENCE = 0.5          # least bound of a word, or beginning, that counts as evidence
 
 # Symbols of the language model: 0 no letter, 1-26 a-z, 27-31 other letters by their last byte
 _SYMBOL = np.zeros(256, "u1")
@@ -43,6 +49,7 @@ _LEAD[192:] = True      # the rest of the character says which it is
 _LETTER = (_SYMBOL > 0) | _LEAD
 _LEET_BYTE = np.zeros(256, bool)
 _LEET_BYTE[[ord(c) for c in "01345789@$"]] = True
+_TWICE = np.uint64(0x5DEECE66D1234567)   # marks that two different words of a text have the evidence
 _RUNS = re.compile(r"(.)\1*", re.S)
 _DECORATION = re.compile(r"([^\w\s])\1{2,}$")
 
@@ -99,11 +106,12 @@ class Restorer:
             elif c.isalpha():
                 if n == 1:
                     yield [(c, 0.0)]
-                else:
-                    yield [(c * 2, 0.0 if n == 2 else SHORTENED / 2), (c, SHORTENED)]
+                else:   # three or more are hardly meant, two may be
+                    yield [(c * 2, 0.0 if n == 2 else 1.0), (c, SHORTENED if n == 2 else 1.0)]
             else:
-                ways = [(letter * k, AS_LETTER * k) for letter in LEET.get(c, "") for k in {1, min(n, 2)}]
-                yield [*ways, ("", AS_NOTHING), (" ", AS_BOUNDARY if c not in LEET or not c.isdigit() else 2 * AS_BOUNDARY)]
+                looks = LEET.get(c, "")
+                yield [*((letter * k, AS_LETTER * k) for letter in looks for k in {1, min(n, 2)}),
+                       ("", AS_NOTHING if looks else MARK_AS_NOTHING), (" ", AS_BOUNDARY if looks else MARK_AS_BOUNDARY)]
 
     def decode(self, stretch: str) -> str:
         """The Viterbi path; states are the last three symbols."""
@@ -190,21 +198,33 @@ def restore(data: np.ndarray, starts: np.ndarray, restorer: Restorer) -> list[by
     return out
 
 
-def evidence(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, hash) of the words of restored texts and of their beginnings."""
+def evidence(texts: list[bytes], only: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(text, hash), each once, of the words of restored texts, of their beginnings, and marked anew of those that two
+    different words share. `only` is a table of the leading 20 bits of the hashes wanted."""
     starts = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     data = np.frombuffer(b"\n".join([*texts, b""]), "u1")
     letter = _LETTER[data]
     edge = np.diff(np.concatenate([[0], letter.view("i1"), [0]]))
     first, end = np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
     text = np.searchsorted(starts, first, "right") - 1
-    out = [word_hashes(data, first, end)]
-    own = [text]
-    for n in PREFIXES:
-        longer = end - first > n
-        out.append(word_hashes(data, first[longer], first[longer] + n) ^ np.uint64(n))
-        own.append(text[longer])
-    return np.concatenate(own), np.concatenate(out)
+    run = running_hash(data)
+    word = stretch_hashes(run, first, end)
+    found = []
+    for n in (0, *PREFIXES):
+        at = np.flatnonzero(end - first > n) if n else np.arange(len(first))
+        h = stretch_hashes(run, first[at], first[at] + n) ^ np.uint64(n) if n else word
+        if only is not None:
+            wanted = only[h >> np.uint64(44)]
+            at, h = at[wanted], h[wanted]
+        found.append((text[at], h, word[at]))
+    text, h, word = (np.concatenate(c) for c in zip(*found))
+    order = np.lexsort((word, h, text))
+    text, h, word = text[order], h[order], word[order]
+    new = np.r_[True, (text[1:] != text[:-1]) | (h[1:] != h[:-1])][:len(text)]
+    again = np.r_[False, ~new[1:] & (word[1:] != word[:-1])][:len(text)]
+    group = np.unique((np.cumsum(new) - 1)[again])
+    text, h = text[new], h[new]
+    return np.concatenate([text, text[group]]), np.concatenate([h, h[group] ^ _TWICE])
 
 
 def lower_bound(hits: np.ndarray, n: np.ndarray, z: float = CONFIDENCE) -> np.ndarray:
@@ -225,20 +245,16 @@ class Lexicon:
     def __post_init__(self) -> None:
         self.maybe = np.zeros(1 << 20, bool)
         self.maybe[self.hashes >> np.uint64(44)] = True
+        self.maybe[(self.hashes ^ _TWICE) >> np.uint64(44)] = True
 
     def scores(self, texts: list[bytes]) -> np.ndarray:
-        text, h = evidence(texts)
         most, number = np.zeros(len(texts)), np.zeros(len(texts))
-        near = self.maybe[h >> np.uint64(44)]
-        text, h = text[near], h[near]
-        at = np.searchsorted(self.hashes, h)
-        at[at == len(self.hashes)] = 0
         if len(self.hashes):
+            text, h = evidence(texts, self.maybe)
+            at = np.minimum(np.searchsorted(self.hashes, h), len(self.hashes) - 1)
             hit = self.hashes[at] == h
             np.maximum.at(most, text[hit], self.bound[at[hit]])
-            pairs = np.unique(np.stack([text[hit], at[hit]]), axis=1)
-            strong = self.bound[pairs[1]] >= 0.5
-            number = np.bincount(pairs[0][strong], minlength=len(texts)).astype("f8")
+            number = np.bincount(text[hit], minlength=len(texts)).astype("f8")
         return 1 / (1 + np.exp(-np.clip(_terms(most, number, self.rate) @ self.curve, -30, 30)))
 
 
@@ -247,55 +263,94 @@ def _terms(most: np.ndarray, number: np.ndarray, rate: float) -> np.ndarray:
     return np.column_stack([np.ones(len(m)), np.log(m / (1 - m)), np.log1p(number)])
 
 
+def _cover(label: np.ndarray, doc: np.ndarray, feature: np.ndarray, n_features: int) -> np.ndarray:
+    """Features that explain the toxic texts: again and again the one of the highest bound, whose toxic
+    texts no longer count for the others, so words that only stand beside it are no evidence unless sure."""
+    clean = np.bincount(feature[label[doc] == 0], minlength=n_features)
+    of_toxic = label[doc] == 1
+    doc, feature = doc[of_toxic], feature[of_toxic]
+    toxic = np.bincount(feature, minlength=n_features).astype("f8")
+    hopeful = lower_bound(toxic, toxic + clean)[feature] >= EVIDENCE     # bounds only fall
+    doc, feature = doc[hopeful], feature[hopeful]
+    by_feature = np.argsort(feature, kind="stable")
+    f_at = np.searchsorted(feature[by_feature], np.arange(n_features + 1))
+    by_doc = np.argsort(doc, kind="stable")
+    d_at = np.searchsorted(doc[by_doc], np.arange(len(label) + 1))
+    bound = np.where(np.bincount(feature, minlength=n_features) > 0, lower_bound(toxic, toxic + clean), 0)
+    sure = np.flatnonzero(bound >= SURE)
+    left = np.ones(len(label), bool)
+    chosen = []
+    while n_features and bound[f := int(bound.argmax())] >= EVIDENCE:
+        chosen.append(f)
+        docs = doc[by_feature[f_at[f]:f_at[f + 1]]]
+        for d in docs[left[docs]]:
+            toxic[feature[by_doc[d_at[d]:d_at[d + 1]]]] -= 1
+        if left[docs].any():
+            touched = np.unique(np.concatenate([feature[by_doc[d_at[d]:d_at[d + 1]]] for d in docs[left[docs]]]))
+            bound[touched] = np.where(bound[touched] > 0, lower_bound(toxic[touched], (toxic + clean)[touched]), 0)
+            left[docs] = False
+        bound[f] = 0
+    return np.union1d(np.array(chosen, "i8"), sure)
+
+
+def _lexicon(label, doc, feature, n_features) -> tuple[np.ndarray, np.ndarray]:
+    chosen = _cover(label, doc, feature, n_features)
+    seen = np.bincount(feature, minlength=n_features)[chosen]
+    return chosen, lower_bound(np.bincount(feature, label[doc], minlength=n_features)[chosen], seen)
+
+
 def fit(label: np.ndarray, text: np.ndarray, h: np.ndarray) -> Lexicon:
-    """Evidence with its bounds; the curve is fitted to bounds that leave the text itself out."""
+    """Evidence with its bounds. The curve is fitted to either half's bounds from the other half's evidence."""
     n = len(label)
     rate = float(label.mean()) if n else 0.0
-    hashes, at = np.unique(h, return_inverse=True)
-    pairs = np.unique(np.stack([text, at]), axis=1) if n else np.zeros((2, 0), "i8")
-    seen = np.bincount(pairs[1], minlength=len(hashes))
-    toxic = np.bincount(pairs[1], label[pairs[0]], minlength=len(hashes))
-    own = label[pairs[0]]
-    without = lower_bound(toxic[pairs[1]] - own, seen[pairs[1]] - 1)
-    most = np.zeros(n)
-    np.maximum.at(most, pairs[0], without)
-    number = np.bincount(pairs[0][without >= 0.5], minlength=n).astype("f8") if n else np.zeros(0)
-    x = _terms(most, number, rate)
     curve = np.array([math.log(max(rate, 1e-6) / max(1 - rate, 1e-6)), 0, 0])
-    if 0 < rate < 1:
-        curve = np.zeros(3)
-        for _ in range(30):
-            p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
-            hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
-            curve = curve + np.linalg.solve(hessian, x.T @ (label - p) - 1e-2 * curve)
-    bound = lower_bound(toxic, seen)
-    keep = (toxic >= 2) & (bound > rate)
-    return Lexicon(rate, hashes[keep], bound[keep], curve)
+    if not 0 < rate < 1:
+        return Lexicon(rate, np.zeros(0, "u8"), np.zeros(0), curve)
+    hashes, feature = np.unique(h, return_inverse=True)
+    most, number = np.zeros(n), np.zeros(n)
+    half = np.arange(n) % 2
+    for side in (0, 1):
+        learn = half[text] == side
+        chosen, bound = _lexicon(label, text[learn], feature[learn], len(hashes))
+        value = np.zeros(len(hashes))
+        value[chosen] = bound
+        np.maximum.at(most, text[~learn], value[feature[~learn]])
+        number += np.bincount(text[~learn], value[feature[~learn]] > 0, minlength=n)
+    x, curve = _terms(most, number, rate), np.zeros(3)
+    for _ in range(30):
+        p = 1 / (1 + np.exp(-np.clip(x @ curve, -30, 30)))
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 1e-2 * np.eye(3)
+        curve = curve + np.linalg.solve(hessian, x.T @ (label - p) - 1e-2 * curve)
+    chosen, bound = _lexicon(label, text, feature, len(hashes))
+    order = np.argsort(chosen)
+    return Lexicon(rate, hashes[chosen[order]], bound[order], curve)
 
 
 def _sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col, text_col, label_col, rows, log_p):
     chosen = (labels.filter(learn & F.col(label_col).isNotNull())
               .select(F.col(id_col).alias("chosen"), F.col(label_col).cast("double").alias("label"))
               .orderBy(F.xxhash64("chosen"), "label").limit(rows))    # so many rows at most
-    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("chosen")).select("label", F.col(text_col).cast("string"))
+    sample = docs.join(F.broadcast(chosen), F.col(id_col) == F.col("chosen")).select(
+        F.xxhash64("chosen", text_col).alias("doc"), "label", F.col(text_col).cast("string"))
 
     def run(batches):
         restorer = Restorer(log_p)
         for batch in batches:
-            for part, data, starts in pieces(batch.column(1)):
+            docs, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for part, data, starts in pieces(batch.column(2)):
                 text, h = evidence(restore(data, starts, restorer))
-                keys = np.unique(np.stack([text.astype("u8"), h]), axis=1)
-                cut = np.searchsorted(keys[0], np.arange(len(starts), dtype="u8")).astype("i4")
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0)[part], pa.ListArray.from_arrays(pa.array(cut), pa.array(keys[1].view("i8")))],
-                    ["label", "hashes"])
-
-    got = sample.mapInArrow(run, "label double, hashes array<bigint>").toArrow().combine_chunks()
-    label = got["label"].to_numpy()
-    lists = got["hashes"].combine_chunks()
-    sizes = lists.value_lengths().to_numpy(zero_copy_only=False) if got.num_rows else np.zeros(0, "i8")
-    h = lists.flatten().to_numpy(zero_copy_only=False).view("u8")
-    return fit(label, np.repeat(np.arange(len(label)), sizes), h)
+                yield pa.RecordBatch.from_arrays([pa.array(docs[part][text]), pa.array(labels[part][text]),
+                                                  pa.array(h.view("i8"))], ["doc", "label", "hash"])
+
+    pairs = stored(sample.mapInArrow(run, "doc bigint, label double, hash bigint"), "evidence")
+    # what fewer than two toxic texts have, or mostly others, is none
+    some = (pairs.groupBy("hash").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
+            .filter("toxic >= 2 and toxic >= 0.5 * n").select("hash"))
+    texts = sample.groupBy("doc").agg(F.max("label").alias("label")).toArrow()      # `rows` at most
+    got = pairs.join(some, "hash").select("doc", "hash").toArrow()
+    docs_, order = np.unique(texts["doc"].to_numpy(), return_index=True)
+    return fit(texts["label"].to_numpy()[order], np.searchsorted(docs_, got["doc"].to_numpy()),
+               got["hash"].to_numpy().view("u8"))
 
 
 def score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text",
