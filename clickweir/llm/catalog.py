@@ -106,3 +106,11 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held = crc_bucket("doc_id", 5) == 0
     scored = score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ~held)
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+@query
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What every document loses to documents with smaller ids."""
+    from clickweir.llm.suffix_dedup import remove_repeats
+
+    return remove_repeats(table(spark, sf_dir, "documents"))
