@@ -114,3 +114,11 @@ def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from clickweir.llm.suffix_dedup import remove_repeats
 
     return remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages of corpus_pipeline.py over documents."""
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)

@@ -111,12 +111,19 @@ def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridg
 
 
 def training_rows(docs: DataFrame, learn: Column, id_col: str, text_col: str, lang_col: str, per_language: int) -> DataFrame:
-    """text, lang of at most so many rows of each language, those of the smallest id hashes."""
-    first = Window.partitionBy("lang").orderBy("order", F.xxhash64("text"))
-    return (docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
-            .select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), F.xxhash64(F.col(id_col)).alias("order"))
-            .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
-            .select("text", "lang", "order"))
+    """text, lang, order of at most so many texts of each language, those of the smallest id hashes.
+
+    Only hashes are ordered; the texts are read for the chosen ones alone.
+    """
+    order, tie = F.xxhash64(F.col(id_col)), F.xxhash64(F.col(text_col))
+    usable = docs.filter(learn & F.col(lang_col).isNotNull() & F.col(text_col).rlike(r"\p{L}"))
+    first = Window.partitionBy("c_lang").orderBy("c_order", "c_tie")
+    chosen = (usable.select(F.col(lang_col).alias("c_lang"), order.alias("c_order"), tie.alias("c_tie"))
+              .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
+              .drop("place").distinct())
+    return (usable.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), order.alias("order"), tie.alias("tie"))
+            .join(chosen, (F.col("lang") == F.col("c_lang")) & (F.col("order") == F.col("c_order")) & (F.col("tie") == F.col("c_tie")))
+            .dropDuplicates(["lang", "order", "tie"]).select("text", "lang", "order"))
 
 
 def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",

@@ -197,3 +197,35 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int =
             .join(t, F.col("source").eqNullSafe(F.col("s_source")))
             .select("doc_id", "size", "source_size", "target",
                     F.coalesce("words", F.lit(0)).cast("bigint").alias("taken")))
+
+
+def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int = BLOCK_WORDS,
+                shard_slots: int = SHARD_SLOTS, most_epochs: int = MOST_EPOCHS, id_col: str = "doc_id",
+                text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """The mix itself: doc_id, epoch, text, source and the other columns of `docs`; the text is what the mix
+    takes of a row in an epoch, its words in order with one space between. Rows of which nothing is taken
+    are left out; others come once per epoch that takes something. Edge cases as for `mix`.
+    """
+    _, places, taken_slots = _plan(docs, weights, block_words, shard_slots, most_epochs, id_col, text_col, source_col)
+    rest = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
+    key = [F.xxhash64("doc_id", "source", "tie").alias("key 1"), F.xxhash64("tie", F.lit(SEED), "source", "doc_id").alias("key 2")]
+    s = taken_slots.select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), "epoch")
+    took = (segments(places, block_words)
+            .join(s, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block")))
+            .groupBy(*key, "start", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("parts"))
+            .groupBy("`key 1`", "`key 2`", "start").agg(F.collect_list(F.struct("epoch", "parts")).alias("epochs"))
+            .groupBy("`key 1`", "`key 2`").agg(F.sort_array(F.collect_list(F.struct("start", "epochs"))).alias("copies"))
+            .select(F.col("`key 1`").alias("k1"), F.col("`key 2`").alias("k2"), "copies"))
+    text = F.col(text_col).cast("string")
+    rows = (docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.col(source_col).alias("source"),
+                        *[F.col(c).alias(f"rest {c}") for c in rest], F.xxhash64(text).alias("tie"))
+            .select("*", *key)
+            .withColumn("copy", F.row_number().over(Window.partitionBy("key 1", "key 2").orderBy(F.lit(0)))))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    part = F.array_join(F.flatten(F.transform("taken.parts", lambda p: F.slice(
+        F.col("words"), (p.first_word + 1).cast("int"), p.n_words.cast("int")))), " ")
+    return (rows.join(took, (F.col("key 1") == F.col("k1")) & (F.col("key 2") == F.col("k2")))
+            .withColumn("epochs", F.get(F.col("copies.epochs"), F.col("copy") - 1)).filter(F.col("epochs").isNotNull())
+            .withColumn("words", words).withColumn("taken", F.explode("epochs"))
+            .select("doc_id", F.col("taken.epoch").alias("epoch"), part.alias("text"), "source",
+                    *[F.col(f"`rest {c}`").alias(c) for c in rest]))

@@ -15,7 +15,7 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweir.llm.components import connected_components
 from clickweir.session import stored
@@ -45,14 +45,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> i
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """doc_id, fp: the fingerprint as a signed long, one row per row."""
+    """doc_id, tie, fp: the fingerprint as a signed long and a hash of the text, one row per row."""
     def run(batches):
         for batch in batches:
-            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(1)], "u8").view("i8")
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(fps)], ["doc_id", "fp"])
+            fps = np.array([fingerprint(t.as_py(), shingle) for t in batch.column(2)], "u8").view("i8")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fps)], ["doc_id", "tie", "fp"])
 
-    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id bigint, fp bigint")
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), text).mapInArrow(
+        run, "doc_id bigint, tie bigint, fp bigint")
 
 
 def _masks(bits: list[int], blocks: int = 6) -> list[int]:
@@ -148,6 +149,14 @@ def links(prints: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
             .mapInArrow(_link_sorted, "a bigint, b bigint"))
 
 
+def _parts(prints: DataFrame, hot_key: int) -> DataFrame:
+    """print, part: for every fingerprint the smallest one of its component."""
+    distinct = stored(prints.select("fp").distinct(), "distinct-fingerprints")
+    parts = connected_components(links(distinct, hot_key), "fingerprint-links")
+    return distinct.join(parts, distinct.fp == parts.node, "left").select(
+        distinct.fp.alias("print"), F.coalesce("component", "fp").alias("part"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
                     hot_key: int = HOT_KEY) -> DataFrame:
     """doc_id, fingerprint, component_id: one row per row of `docs`.
@@ -158,11 +167,29 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     other). Whole texts are read, however long. An empty table gives no rows. Other columns are not read.
     """
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    least = stored(prints.groupBy("fp").agg(F.min("doc_id").alias("least")), "distinct-fingerprints")
-    parts = connected_components(links(least.select("fp"), hot_key), "fingerprint-links")
-    by_print = least.join(parts, least.fp == parts.node, "left").select(
-        least.fp.alias("print"), F.coalesce("component", "fp").alias("part"), "least")
+    least = prints.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    by_print = stored(_parts(prints, hot_key).join(least, F.col("print") == F.col("fp")).select("print", "part", "least"), "parts")
     smallest = by_print.groupBy("part").agg(F.min("least").alias("component_id"))
     named = by_print.join(smallest, "part").select("print", "component_id")
     return (prints.join(named, prints.fp == named.print)
             .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE,
+                hot_key: int = HOT_KEY) -> DataFrame:
+    """The rows of `docs` that stay: one of each component, that of the smallest id (null ids last), then of the
+    smallest text hash. Of repeated rows one stays. All columns of `docs`; the rest as for `near_duplicates`."""
+    prints = stored(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
+    in_order = F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "tie")
+    first = prints.groupBy("fp").agg(F.min(in_order).alias("first"))
+    kept = (first.join(_parts(prints, hot_key), F.col("print") == F.col("fp"))
+            .groupBy("part").agg(F.min("first").alias("first"))
+            .select(F.xxhash64("first.doc_id", "first.tie").alias("k1"),
+                    F.xxhash64("first.tie", F.lit(SEED), "first.doc_id").alias("k2")).distinct())
+    tie = F.xxhash64(F.col(text_col).cast("string"))
+    row_id = F.col(id_col).cast("bigint")
+    keyed = docs.withColumns({"key of row 1": F.xxhash64(row_id, tie), "key of row 2": F.xxhash64(tie, F.lit(SEED), row_id)})
+    one = Window.partitionBy("key of row 1", "key of row 2").orderBy(F.lit(0))
+    return (keyed.join(kept, (F.col("key of row 1") == F.col("k1")) & (F.col("key of row 2") == F.col("k2")), "left_semi")
+            .withColumn("place of row", F.row_number().over(one)).filter(F.col("place of row") == 1)
+            .select(*[F.col(f"`{c}`") for c in docs.columns]))
