@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweir.llm.utf8 import LOWER, owner, pieces
+from clickweir.session import stored
 
 PER_LANGUAGE = 300    # texts of a language that are learned from: those of the smallest id hashes
 LANDMARKS = 96        # dealt evenly to the languages
@@ -121,6 +122,7 @@ def training_rows(docs: DataFrame, learn: Column, id_col: str, text_col: str, la
     chosen = (usable.select(F.col(lang_col).alias("c_lang"), order.alias("c_order"), tie.alias("c_tie"))
               .withColumn("place", F.row_number().over(first)).filter(F.col("place") <= per_language)
               .drop("place").distinct())
+    chosen = stored(chosen, "chosen-texts")     # of known size, so that Spark broadcasts it only if small
     return (usable.select(F.col(text_col).alias("text"), F.col(lang_col).alias("lang"), order.alias("order"), tie.alias("tie"))
             .join(chosen, (F.col("lang") == F.col("c_lang")) & (F.col("order") == F.col("c_order")) & (F.col("tie") == F.col("c_tie")))
             .dropDuplicates(["lang", "order", "tie"]).select("text", "lang", "order"))
