@@ -122,3 +122,34 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
     return corpus_pipeline.run(spark, sf_dir)
+
+
+ORACLES["op1_suffix_dedup"] = """
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+w AS (SELECT doc_id, unnest(range(0, length(h) // 2 - 49)) AS p, h FROM d),
+s AS (SELECT doc_id, p, substr(h, 2 * p + 1, 100) AS s FROM w),
+f AS (SELECT s, min(doc_id) AS first_id FROM s GROUP BY s),
+r AS (SELECT doc_id, p, p > 50 + lag(p, 1, -1000) OVER (PARTITION BY doc_id ORDER BY p) AS opens
+      FROM s JOIN f USING (s) WHERE first_id < doc_id),
+g AS (SELECT doc_id, p, sum(opens::int) OVER (PARTITION BY doc_id ORDER BY p) AS span FROM r),
+i AS (SELECT doc_id, span, min(p) AS a, max(p) + 50 AS b FROM g GROUP BY doc_id, span),
+j AS (SELECT *, lag(b, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS before FROM i),
+k AS (SELECT doc_id, sum(b - a) AS n_removed, count(*) AS n_spans, max(b) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM j JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0)::bigint AS n_removed,
+       coalesce(n_spans, 0)::bigint AS n_spans,
+       sha256(unhex(coalesce(kept || substr(h, 2 * last + 1), h))) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id)"""
+
+ORACLES["op7_embedding_dedup"] = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::double[] AS e FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b
+      ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+c AS (SELECT a AS vec_id, a AS seen FROM l UNION SELECT c.vec_id, l.b FROM c JOIN l ON c.seen = l.a),
+n AS (SELECT a AS vec_id, count(*) AS n_links FROM l GROUP BY a),
+m AS (SELECT vec_id, min(seen) AS least FROM c GROUP BY vec_id)
+SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(least, vec_id) AS component_id, coalesce(least, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN n USING (vec_id) LEFT JOIN m USING (vec_id)"""

@@ -155,9 +155,10 @@ def fit(f: Features, label: np.ndarray, factors: int = FACTORS, steps: int = STE
     edges = [np.unique(np.quantile(f.stats[:, i], np.linspace(0, 1, BINS + 1)[1:])) if len(label) else np.zeros(1)
              for i in range(len(STATISTICS))]
     params = {"b": np.array([bias]), "w": np.zeros(size),
-              "v": np.random.default_rng(1).normal(0, 0.05, (size, factors))}
+              "v": np.random.default_rng(1).normal(0, 0.05, (size, factors)).astype("f4")}
     if 0 < mean < 1:
         starts, index, value = rows_of(edges, f)
+        value = value.astype("f4")      # the driver holds a few arrays of all values times the factors
         text = np.repeat(np.arange(len(label)), np.diff(starts))
         order = np.argsort(index, kind="stable")
         used, at = np.unique(index[order], return_index=True)
@@ -168,6 +169,7 @@ def fit(f: Features, label: np.ndarray, factors: int = FACTORS, steps: int = STE
             z = (params["b"][0] + np.add.reduceat(params["w"][index] * value, starts[:-1])
                  + 0.5 * (s * s - np.add.reduceat(vx * vx, starts[:-1])).sum(axis=1))
             g = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - label) / len(label)
+            g = g.astype("f4")
             gx = g[text] * value
             grad = {"b": np.array([g.sum()]), "w": decay * params["w"], "v": decay * params["v"]}
             grad["w"][used] += np.add.reduceat(gx[order], at)
