@@ -62,7 +62,8 @@ def _(spark, d):
     """Dead letters written to their table, a replay of the batch included, read back."""
     rows, path = faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), scratch_path(spark, "dlq")
     for _ in range(2):
-        tables.store_dlq_messages(rows, path, batch_id=0)
+        tables.store_dlq_messages(rows.where("offset % 2 = 0"), path, 0, run="a")
+    tables.store_dlq_messages(rows.where("offset % 2 = 1"), path, 0, run="b")
     return spark.read.option("basePath", path).parquet(path).select(*rows.columns)
 
 
@@ -71,7 +72,8 @@ count(DISTINCT {_ID}) AS n_messages FROM {_DLQ} GROUP BY 1, 2""")
 def _(spark, d):
     """JSON-lines log by day, read back."""
     path = scratch_path(spark, "dlq_log")
-    tables.dlq_daily_log(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), path)
+    for _ in range(2):
+        tables.dlq_daily_log(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), path, 0, run="a")
     log = spark.read.schema("message_id string, timestamp timestamp, content string, error_reason string, "
                             "log_date date").json(path)
     return log.groupBy("log_date", "error_reason").agg(
@@ -110,7 +112,7 @@ SELECT CAST(n AS VARCHAR), CAST(click AS BIGINT), 1, CAST(next_retry_count AS BI
 def _(spark, d):
     recovered = frames.routed(spark, d).where("action = 'retry'").select(
         "id", "click", F.col("next_retry_count").alias("retry_count"))
-    rows = faults.retry_recovered(frames.ads(spark, d).select("id", "click"), recovered)
+    rows = faults.retry_recovered(frames.ads(spark, d).select(F.col("id").cast("string"), "click"), recovered)
     return rows.select("id", "click", F.col("was_retried").cast("int").alias("was_retried"), "retry_count")
 
 

@@ -10,8 +10,9 @@ from clickweir.catalog.sql import AS_OF, MIDDAY, ctr, ratio
 from clickweir.operators import quality
 from clickweir.plans import serving
 from clickweir.session import scratch_path
-from clickweir.sources.driver_tables import ad_events
-from clickweir.sources.tables import materialize_table
+from clickweir.sources.driver_tables import ad_events, ad_events_stream
+from clickweir.sources.tables import write_batch
+from clickweir.streaming.jobs import StreamRun
 
 _M = "window_start, window_end, impressions, clicks, ctr"
 _F = """CAST(event_date AS VARCHAR) AS event_date, site_id, site_domain, site_category,
@@ -150,20 +151,25 @@ def _(spark, d):
 
 
 def _stored_events(spark, d) -> str:
+    """The raw table as its sink writes it, stamped with the event time so that rows can expire."""
     path = scratch_path(spark, "retention")
-    rows = frames.ads(spark, d).select("id", "click", F.col("event_time").alias("created_at"),
-                                       F.to_date("event_time").alias("event_date"))
-    materialize_table(rows, path)
+    events = ad_events_stream(spark, d)
+
+    def sink(batch, batch_id):
+        rows = batch.withColumn("created_at", F.col("event_time")).withColumn("event_date", F.to_date("event_time"))
+        write_batch(rows, path, batch_id, ["event_date"])
+
+    StreamRun(events, sink, scratch_path(spark, "progress")).catch_up()
     return path
 
 
-@query("retention_cleanup", """SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, count(*) AS n_rows
-FROM ad WHERE event_time >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY GROUP BY 1""")
+@query("retention_cleanup", """SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, CAST(id AS VARCHAR) AS id, event_time
+FROM ad WHERE event_time >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY""")
 def _(spark, d):
-    """A stored table after its clean-up: whole days dropped, one day rewritten."""
+    """A stored table after its clean-up: whole folders dropped, mixed ones rewritten."""
     path = _stored_events(spark, d)
     serving.retention_cleanup(spark, path, "2024-01-30 12:00:00", days=15)
-    return spark.read.parquet(path).groupBy("event_date").agg(F.count("*").alias("n_rows"))
+    return spark.read.parquet(path).select("event_date", "id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
 _OLD = "event_time < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY"
@@ -177,8 +183,7 @@ def _(spark, d):
 @query("maintenance_report", f"""SELECT 'cleanup_events' AS step, CAST(count(*) FILTER ({_OLD}) AS VARCHAR) AS details FROM ad
 UNION ALL SELECT 'status', 'Maintenance completed'""")
 def _(spark, d):
-    return serving.maintenance_report(
-        serving.retention_split(frames.ads(spark, d), "2024-01-30 12:00:00", 15, "event_time"))
+    return serving.maintenance(spark, _stored_events(spark, d), "2024-01-30 12:00:00", 15)
 
 
 @query("dq_freshness_today", "SELECT count(*) AS rows_today FROM ad WHERE event_time >= TIMESTAMP '2024-01-30 00:00:00'")

@@ -3,7 +3,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from clickweir.functions.payloads import json_field_default
 from clickweir.functions.ratios import ratio_2dp
@@ -22,9 +22,26 @@ UNKNOWN_REASON = "Unknown reason"
 
 
 def retry_decode(messages: DataFrame, payload: str = "value") -> DataFrame:
-    """Decode retry messages, keeping the text. Undecodable ones have `_corrupt_record`."""
-    return parse_event_json(messages.withColumn("payload_text", F.col(payload).cast("string")),
-                            payload, RETRY_SCHEMA)
+    """Decode retry messages, keeping the text. Any JSON object decodes, whatever its fields and
+    their types; what is no object, or no JSON, has its text in `_corrupt_record`.
+
+    Fields come by path: a number where text is meant is text, and what does not fit its type is NULL.
+    """
+    text = F.col(payload).cast("string")
+    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
+    kept = [c for c in messages.columns if c != payload]
+
+    def field(name: str) -> Column:
+        value = F.get_json_object(text, f"$.{name}")
+        kind = RETRY_SCHEMA[name].dataType
+        if isinstance(kind, T.ArrayType):
+            value = F.from_json(value, kind)
+        elif not isinstance(kind, T.StringType):
+            value = value.try_cast(kind)
+        return F.when(is_object, value).alias(name)
+
+    return messages.select(*kept, text.alias("payload_text"), *[field(n) for n in RETRY_SCHEMA.names],
+                           F.when(~is_object, text).alias(CORRUPT))
 
 
 def retry_router(decoded: DataFrame, max_attempts: int = MAX_RETRIES,

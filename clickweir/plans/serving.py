@@ -6,10 +6,13 @@ that prunes partitions and reaches the Parquet scan.
 
 from __future__ import annotations
 
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from clickweir.functions.ratios import ctr_batch, ratio_2dp
 from clickweir.session import delete_path, stored
+from clickweir.sources.tables import leaf_folders
 
 # --- fixed values: how long cached metrics live, alert limits -------------------
 TTL_MINUTES = {"1min": 5, "5min": 25}
@@ -173,32 +176,41 @@ def retention_split(rows: DataFrame, as_of, days: int = RETENTION_DAYS,
 
 
 def retention_cleanup(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS,
-                      column: str = "created_at", partition: str = "event_date") -> int:
+                      column: str = "created_at") -> int:
     """Delete expired rows of a stored table; return how many.
 
-    Works by partition: one scan of two columns tells which partitions are expired
-    altogether (dropped as folders), which are mixed (rewritten from a stored copy of
-    their survivors) and which are untouched. Running it again finishes a clean-up
-    that was cut short.
+    Works by leaf folder, whatever partition columns the table has: one scan tells which folders
+    are expired altogether (dropped), which are mixed (rewritten from a stored copy of their
+    survivors) and which are untouched. Appends go to folders of their own, so they
+    are not lost meanwhile. Running it again finishes a clean-up that was cut short.
     """
-    table = spark.read.parquet(path)
+    table, layout = leaf_folders(spark.read.parquet(path), path)
     old = expired(as_of, days, column)
-    per_partition = table.groupBy(partition).agg(
+    per_folder = table.groupBy("_folder").agg(
         F.count_if(old).alias("old"), F.count_if(~old).alias("kept")).where("old > 0")
-    # one row per day that has anything to delete
-    affected = per_partition.collect()
-    mixed = [r[partition] for r in affected if r["kept"] > 0]
+    # one row per folder that has anything to delete
+    affected = per_folder.collect()
+    mixed = [r["_folder"] for r in affected if r["kept"] > 0 or not layout]
     if mixed:
-        survivors = stored(table.where(F.col(partition).isin(mixed) & ~old))
-        survivors.hint("rebalance", F.col(partition)).write.mode("overwrite") \
-            .option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(path)
+        survivors = stored(table.where(F.col("_folder").isin(mixed) & ~old).drop("_folder"))
+        if layout:
+            survivors.hint("rebalance", *[F.col(c) for c in layout]).write.mode("overwrite") \
+                .option("partitionOverwriteMode", "dynamic").partitionBy(*layout).parquet(path)
+        else:
+            survivors.write.mode("overwrite").parquet(path)
     for row in affected:
-        if row["kept"] == 0:
-            value = "__HIVE_DEFAULT_PARTITION__" if row[partition] is None else row[partition]
-            delete_path(spark, f"{path}/{partition}={value}")
+        if row["kept"] == 0 and layout:
+            delete_path(spark, unquote(row["_folder"]))
     return sum(r["old"] for r in affected)
 
 
+def maintenance(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS,
+                column: str = "created_at") -> DataFrame:
+    """Run the clean-up of a stored table and report its steps."""
+    deleted = retention_cleanup(spark, path, as_of, days, column)
+    return maintenance_report(spark.range(1).select(F.lit(deleted).alias("deleted_rows")))
+
+
 def maintenance_report(deleted: DataFrame) -> DataFrame:
     """(step, details) rows of a maintenance run from its `deleted_rows` count."""
     steps = F.array(

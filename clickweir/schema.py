@@ -78,7 +78,7 @@ DLQ_SCHEMA = T.StructType([
 ])
 
 RETRY_SCHEMA = T.StructType([
-    T.StructField("id", T.DecimalType(20, 0)),
+    T.StructField("id", T.StringType()),
     T.StructField("click", T.IntegerType()),
     T.StructField("hour", T.IntegerType()),
     T.StructField("banner_pos", T.IntegerType()),

@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clickweir.operators.windows import (FIVE_MINUTES, ONE_MINUTE, assemble_breakdown,
@@ -100,19 +100,27 @@ def metrics_if_absent_sink(path: str, keys: Sequence[str] = ("window_start",)) -
 
 
 def versions_sink(path: str, day_of: str = "window_start") -> Callable:
-    """For update mode: keep every batch's version of a row; readers take the newest."""
+    """For update mode: keep every batch's version of a row; readers take the newest, and
+    `compact_versions` drops the others of closed days."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch.withColumn("metric_date", F.to_date(day_of)), path, batch_id, ["metric_date"])
+        rows = batch.withColumn("metric_date", F.to_date(day_of)).withColumn("written_at", F.current_timestamp())
+        write_batch(rows, path, batch_id, ["metric_date"])
     return write
 
 
+def versions_schema(schema: T.StructType) -> T.StructType:
+    """Columns of a table that a `versions_sink` writes, for rows of `schema`."""
+    return T.StructType([*schema.fields, T.StructField("written_at", T.TimestampType()),
+                         T.StructField("metric_date", T.DateType())])
+
+
 def read_metrics(spark: SparkSession, path: str, schema, keys: Sequence[str] = ("window_start",)) -> DataFrame:
     """Newest version of every window a `versions_sink` wrote."""
-    return latest_versions(read_batches(spark, path, schema).drop("metric_date"), keys)
+    return latest_versions(read_batches(spark, path, versions_schema(schema)).drop("metric_date"), keys)
 
 
 def read_breakdown(spark: SparkSession, path: str, schema, map_name: str) -> DataFrame:
-    versions = read_batches(spark, path, schema).drop("metric_date")
+    versions = read_batches(spark, path, versions_schema(schema)).drop("metric_date")
     newest = latest_versions(versions, ["window", "dim"])
     return assemble_breakdown(newest, map_name)
 
@@ -120,7 +128,7 @@ def read_breakdown(spark: SparkSession, path: str, schema, map_name: str) -> Dat
 def malformed_split_sink(good: Callable, dead: Callable, corrupt: str) -> Callable:
     """One stream, two outputs: decodable rows to `good`, the rest to `dead`."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()
+        batch = batch.persist()     # decoding is deterministic, so a lost block may be made anew
         try:
             good(batch.where(F.col(corrupt).isNull()).drop(corrupt), batch_id)
             dead(batch.where(F.col(corrupt).isNotNull()), batch_id)
@@ -129,9 +137,12 @@ def malformed_split_sink(good: Callable, dead: Callable, corrupt: str) -> Callab
     return write
 
 
-def late_data_count(spark: SparkSession, query: StreamingQuery) -> DataFrame:
-    """Rows each stateful operator dropped as too late, per batch, from the query's progress
-    reports (a bounded history Spark keeps)."""
-    rows = [(p.batchId, i, int(op.numRowsDroppedByWatermark))
-            for p in query.recentProgress for i, op in enumerate(p.stateOperators)]
-    return spark.createDataFrame(rows, "batch_id bigint, operator int, dropped_rows bigint")
+def late_data_count(delivered: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Rows delivered, counted in windows and left out as too late, from the stored input and
+    the stored metrics, so over all batches and restarts. Only rows that windows count, with click 0 or 1."""
+    none = F.lit(0).cast("bigint")
+    both = delivered.where("click IN (0, 1)").select(F.lit(1).cast("bigint").alias("d"), none.alias("c")).union(
+        metrics.select(none, F.col("impressions") + F.col("clicks")))
+    return both.agg(F.coalesce(F.sum("d"), none).alias("delivered_rows"),
+                    F.coalesce(F.sum("c"), none).alias("counted_rows")) \
+        .withColumn("late_rows", F.col("delivered_rows") - F.col("counted_rows"))

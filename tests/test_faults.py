@@ -50,6 +50,14 @@ def test_undecodable_goes_to_the_dead_letters(spark):
     assert (stats["total"], stats["processed"], stats["retried"], stats["dlq_sent"], stats["errors"]) == (2, 1, 0, 2, 1)
 
 
+def test_any_object_is_decoded(spark):
+    got = route(spark, '{"id":"msg-1","retry_count":0,"error":"Timeout"}', '{"id":1,"click":"x","retry_count":0}',
+                '{"id":{"a":1},"error_history":["e", 2]}', '[1]', '"text"', "null").collect()
+    assert [(r["id"], r["click"], r["action"]) for r in got] == [
+        ("msg-1", None, "retry"), ("1", None, "retry"), ('{"a":1}', None, "retry"), *[(None, None, "dlq")] * 3]
+    assert got[2]["error_history"] == ["e", "2"]
+
+
 def letters(spark, *values):
     data = [(v if isinstance(v, str) else json.dumps(v, ensure_ascii=False), "dlq", 0, i)
             for i, v in enumerate(values)]
@@ -68,10 +76,11 @@ def test_store_replay_and_log(spark, tmp_path):
     parsed = letters(spark, {"original_message": {"id": 7}, "reason": "r"}, {}, "not json")
     stored = faults.dlq_rows(parsed, now())
     for _ in range(2):
-        tables.store_dlq_messages(stored, str(tmp_path / "t"), 4)
+        tables.store_dlq_messages(stored, str(tmp_path / "t"), 4, run="a")
     back = spark.read.option("basePath", str(tmp_path / "t")).parquet(str(tmp_path / "t"))
     assert back.count() == 2 and back.first()["batch_id"] == 4
-    tables.dlq_daily_log(stored, str(tmp_path / "log"))
+    for _ in range(2):
+        tables.dlq_daily_log(stored, str(tmp_path / "log"), 0, run="a")
     assert spark.read.json(str(tmp_path / "log")).count() == 2
     assert (tmp_path / "log" / "log_date=2024-01-01").exists()
     stats = faults.dlq_stats(parsed, 1000).first()

@@ -74,12 +74,13 @@ def test_late_rows(spark, feed, tmp_path):
     feed.add((3, 1, "c", 10), (4, 0, "c", 160))    # late, but the watermark moved only just now
     feed.add((5, 1, "c", 20), (6, 0, "c", 170))    # late: dropped
     frame = jobs.ctr_metrics_stream(feed.stream(), windows.ONE_MINUTE)
-    query = jobs.StreamRun(frame, jobs.versions_sink(str(tmp_path / "t")), str(tmp_path / "cp"), "update").catch_up()
+    jobs.StreamRun(frame, jobs.versions_sink(str(tmp_path / "t")), str(tmp_path / "cp"), "update").catch_up()
     got = {r["window_start"]: (r["impressions"], r["clicks"])
            for r in jobs.read_metrics(spark, str(tmp_path / "t"), frame.schema).collect()}
     assert got == {START: (1, 1), START + timedelta(seconds=120): (3, 0)}
-    dropped = jobs.late_data_count(spark, query)
-    assert dropped.agg(F.sum("dropped_rows")).first()[0] == 1
+    metrics = jobs.read_metrics(spark, str(tmp_path / "t"), frame.schema)
+    late = jobs.late_data_count(spark.read.parquet(f"{feed.path}/part=*"), metrics)
+    assert tuple(late.first()) == (6, 5, 1)
 
 
 def test_append_emits_closed_windows_once(spark, feed, tmp_path):
@@ -99,13 +100,50 @@ def test_replayed_metrics_are_ignored(spark, tmp_path):
     path = str(tmp_path / "m")
     first = windows.tumbling_ctr(batch(spark, (1, 1, "c", 0)), windows.ONE_MINUTE)
     other = windows.tumbling_ctr(batch(spark, (1, 0, "c", 0), (2, 1, "c", 90)), windows.ONE_MINUTE)
-    tables.insert_if_absent(first, path, ["window_start"], 0)
-    tables.insert_if_absent(first, path, ["window_start"], 0)   # the same batch again
-    tables.insert_if_absent(other, path, ["window_start"], 1)   # one key is already there
-    tables.insert_if_absent(first.limit(0), path, ["window_start"], 2)
+    tables.insert_if_absent(first, path, ["window_start"], 0, run="a")
+    tables.insert_if_absent(first, path, ["window_start"], 0, run="a")   # the same batch again
+    tables.insert_if_absent(other, path, ["window_start"], 1, run="a")   # one key is already there
+    tables.insert_if_absent(first.limit(0), path, ["window_start"], 2, run="a")
+    with pytest.raises(ValueError):
+        tables.insert_if_absent(first, path, ["window_start"], 3)
+    later = windows.tumbling_ctr(batch(spark, (9, 1, "c", 86400 * 3)), windows.ONE_MINUTE)
+    tables.insert_if_absent(later, path, ["window_start"], 0, run="b")   # another run's first batch
     got = sorted((r["window_start"], r["clicks"], r["batch_id"])
                  for r in tables.read_batches(spark, path, first.schema).collect())
-    assert got == [(START, 1, 0), (START + timedelta(seconds=60), 1, 1)]
+    assert got == [(START, 1, 0), (START + timedelta(seconds=60), 1, 1), (START + timedelta(days=3), 1, 0)]
+
+
+def test_only_the_days_of_a_batch_are_listed(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "m")
+    for day in range(5):
+        row = windows.tumbling_ctr(batch(spark, (day, 1, "c", 86400 * day)), windows.ONE_MINUTE)
+        tables.insert_if_absent(row, path, ["window_start"], day, run="a")
+    seen = []
+    monkeypatch.setattr(tables, "path_exists", lambda spark, folder: seen.append(folder) or True)
+    tables.insert_if_absent(row, path, ["window_start"], 9, run="a")
+    assert len(seen) == 1 and "metric_date=" in seen[0]
+
+
+def test_two_runs_share_a_table(spark, feed, tmp_path):
+    path = str(tmp_path / "raw")
+    feed.add(*[(i, 0, "c", i) for i in range(6)])
+    jobs.StreamRun(feed.stream().where("id < 3"), jobs.raw_events_sink(path), str(tmp_path / "a")).catch_up()
+    jobs.StreamRun(feed.stream().where("id >= 3"), jobs.raw_events_sink(path), str(tmp_path / "b")).catch_up()
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == list(range(6))
+
+
+def test_compaction_keeps_the_newest(spark, feed, tmp_path):
+    path, progress = str(tmp_path / "t"), str(tmp_path / "cp")
+    for i in range(3):
+        feed.add((i, 0, "c", i), (10 + i, 1, "c", 86400 + i))
+        frame = jobs.ctr_metrics_stream(feed.stream(), windows.ONE_MINUTE, lateness="9 days")
+        jobs.StreamRun(frame, jobs.versions_sink(path), progress, "update").catch_up()
+    before = sorted(rows(jobs.read_metrics(spark, path, frame.schema)))
+    day = (START + timedelta(days=1)).date().isoformat()
+    schema = jobs.versions_schema(frame.schema)
+    assert tables.compact_versions(spark, path, schema, ["window_start"], day) == 3
+    assert sorted(rows(jobs.read_metrics(spark, path, frame.schema))) == before
+    assert tables.read_batches(spark, path, schema).where(F.col("metric_date") < day).count() == 1
 
 
 def test_a_failed_batch_is_redone_once(spark, feed, tmp_path):
@@ -132,7 +170,7 @@ def test_stream_dedup(spark, feed, tmp_path):
     deduped = jobs.stream_dedup(jobs.bounded_lateness(feed.stream()))
     path = str(tmp_path / "t")
     jobs.StreamRun(deduped, lambda df, i: tables.write_batch(df, path, i), str(tmp_path / "cp")).catch_up()
-    assert sorted(r["id"] for r in spark.read.parquet(f"{path}/batch_id=*").collect()) == [1, 2, 3]
+    assert sorted(r["id"] for r in spark.read.parquet(path).collect()) == [1, 2, 3]
 
 
 def test_keyed_and_breakdown_streams(spark, feed, tmp_path):
@@ -165,4 +203,4 @@ def test_stream_reads_a_file_or_a_folder(spark, sf, tmp_path):
         path = str(tmp_path / f"out{i}")
         jobs.StreamRun(ad_events_stream(spark, folder), lambda df, b, p=path: tables.write_batch(df, p, b),
                        str(tmp_path / f"cp{i}")).catch_up()
-        assert spark.read.parquet(f"{path}/batch_id=*").count() == expected
+        assert spark.read.parquet(path).count() == expected

@@ -3,9 +3,10 @@
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from clickweir.catalog import ORACLES, QUERIES
 from verify import compare, connect
 
-KEYS = sorted(queries())
+KEYS = sorted(QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +16,7 @@ def db(sf):
 
 @pytest.mark.parametrize("key", KEYS)
 def test_matches_twin(spark, db, sf, key):
-    ok, detail = compare(spark, db, sf, key, queries()[key], oracle_sql().get(key))
+    ok, detail = compare(spark, db, sf, key, QUERIES[key], ORACLES.get(key))
     assert ok is not False, detail
 
 
@@ -24,4 +25,8 @@ def test_entry_is_not_empty(spark):
 
 
 def test_only_these_have_no_twin():
-    assert set(KEYS) - set(oracle_sql()) == {"ctr_model_lr", "ctr_model_rf", "late_data_count"}
+    assert set(KEYS) - set(ORACLES) == {"ctr_model_lr", "ctr_model_rf"}
+
+
+def test_entry_registers_them_all():
+    assert set(KEYS) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
