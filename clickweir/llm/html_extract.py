@@ -158,6 +158,9 @@ class _Lines(HTMLParser):
 
 def page_lines(html: str) -> tuple[list[Line], list[int]]:
     """The lines of a page, and each container's parent."""
+    last = html.rfind("<")
+    if last > html.rfind(">") and (html[last + 1:last + 2].isalpha() or html[last + 1:last + 2] in ("", "/", "!", "?")):
+        html = html[:last]      # a tag cut off by the end of the page
     parser = _Lines()
     parser.feed(html)
     parser.close()

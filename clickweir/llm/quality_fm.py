@@ -156,7 +156,9 @@ def fit(f: Features, label: np.ndarray, factors: int = FACTORS, steps: int = STE
              for i in range(len(STATISTICS))]
     params = {"b": np.array([bias]), "w": np.zeros(size),
               "v": np.random.default_rng(1).normal(0, 0.05, (size, factors)).astype("f4")}
-    if 0 < mean < 1:
+    if not len(label) or not 0 < mean < 1:
+        params["v"][:] = 0
+    else:
         starts, index, value = rows_of(edges, f)
         value = value.astype("f4")      # the driver holds a few arrays of all values times the factors
         text = np.repeat(np.arange(len(label)), np.diff(starts))

@@ -377,10 +377,11 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
                     texts += [t.decode("utf-8", "replace") for t in restored]
             columns = [batch.column(0), pa.array(out), *([pa.array(texts, pa.string())] if with_text else []),
                        *batch.columns[2:]]
-            yield pa.RecordBatch.from_arrays(columns, ["doc_id", "score", *(["restored"] if with_text else []), *keep])
+            yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
-    schema = "doc_id bigint, score double" + (", restored string" if with_text else "") + \
-        "".join(f", `{k}` {kinds[k]}" for k in keep)
+    types = ["bigint", "double", *(["string"] if with_text else []), *[kinds[k] for k in keep]]
+    names = ["doc_id", "score", *(["restored"] if with_text else []), *keep]     # `keep` may repeat the others
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("given text"),
-                       *[F.col(k).alias(f"kept {k}") for k in keep]).mapInArrow(run, schema)
+                       *[F.col(k).alias(f"kept {k}") for k in keep]).mapInArrow(
+        run, ", ".join(f"c{i} {t}" for i, t in enumerate(types))).toDF(*names)
