@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from clickweir.session import ship_package
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
@@ -16,6 +18,7 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

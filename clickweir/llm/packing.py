@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 1024          # tokens of a sequence; a power of two
 GROUP_TOKENS = 1 << 20   # tokens that a task packs together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048   # cost of a token, and of a pair of tokens that attend
-CACHED_WORDS = 800_000   # words whose ids a Python worker remembers, for speed alone
+CACHED_WORDS = 400_000   # words whose ids a task remembers, for speed alone
 BATCH_CHARS = 1 << 20
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -35,7 +35,6 @@ SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tok
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
 _UNSPLIT = re.compile(r" (?:\s|\Z)")
 _BEFORE_WORD = re.compile(r" (?=\S)")
-_ENCODERS: dict[str, "Encoder"] = {}
 
 
 class Encoder:
@@ -43,7 +42,7 @@ class Encoder:
 
     The byte-level pre-tokenizer always starts a piece at a space that a non-space
     follows, so a text's ids are the ids of its space-led words in a row. Words are
-    encoded once per worker while they stay in a bounded cache. A word of letters is one
+    encoded once per task while they stay in a bounded cache. A word of letters is one
     piece, and marks after it are another; the model encodes such pieces without the rest of the tokenizer.
     """
 
@@ -97,13 +96,6 @@ class Encoder:
         return [head + b"".join(map(known, parts)) for head, parts in zip(heads, split)]
 
 
-def encoder(tokenizer_json: str) -> Encoder:
-    if tokenizer_json not in _ENCODERS:
-        _ENCODERS.clear()
-        _ENCODERS[tokenizer_json] = Encoder(tokenizer_json)
-    return _ENCODERS[tokenizer_json]
-
-
 def capacities(tokens: int, sequence: int = SEQUENCE) -> list[int]:
     """Lengths of the sequences that hold exactly so many tokens without padding."""
     rest = tokens % sequence
@@ -132,7 +124,7 @@ def assign(lengths: list[int], sequence: int = SEQUENCE, linear: float = LINEAR,
 
 def _pack_batches(batches: Iterable[pa.RecordBatch], tokenizer_json: str, sequence: int, group_tokens: int,
                   linear: float, quadratic: float, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encode = encoder(tokenizer_json)
+    encode = Encoder(tokenizer_json)    # of this task, so that idle workers hold no memory
     end = np.zeros(1, "<u4").tobytes()
     part = TaskContext.get().partitionId()
     made = 0

@@ -59,7 +59,7 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
     def run(batches):
         total = np.zeros(1 << 20, "i8")
         for batch in batches:
-            for _, data, starts in pieces(batch.column(0), 1 << 22):
+            for _, data, starts in pieces(batch.column(0)):
                 keep = ~_LEAD[data]
                 s = _SYMBOL[data]
                 s[starts[:-1][np.diff(starts) > 0]] *= keep[starts[:-1][np.diff(starts) > 0]]
