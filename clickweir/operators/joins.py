@@ -1,5 +1,5 @@
-"""Joins. There is no hidden broadcast: a side is broadcast only after its rows were
-counted against a bound, and every join also works as a shuffle join."""
+"""Joins. There is no hidden broadcast: a side is broadcast only after its estimated size
+was held against a bound, and every join also works as a shuffle join."""
 
 from __future__ import annotations
 
@@ -8,16 +8,21 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-# About 40 MB of dimension rows; beyond it the join shuffles and skew handling applies.
-BROADCAST_ROWS = 200_000
+# Bytes by the planner's estimate, which for a stored table is the size of its files;
+# beyond it the join shuffles and skew handling applies.
+BROADCAST_BYTES = 16 << 20
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast hint if the frame has at most `max_rows` rows, else the frame itself.
-    The count stops at the bound in every task. Meant for stored or checkpointed
-    frames, whose recount costs little."""
-    within = df.select(F.lit(1)).limit(max_rows + 1).count() <= max_rows
-    return F.broadcast(df) if within else df
+def estimated_bytes(df: DataFrame) -> int:
+    """The planner's upper estimate of a frame's size; no job runs."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+
+def broadcast_if_small(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast hint if the planner estimates the frame at `max_bytes` or less, else the
+    frame itself. Estimates of joins and aggregates are far too large, so small results
+    should be stored first."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:

@@ -20,16 +20,22 @@ def value_counts(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
+def _names(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """The column names as rows, so that columns without values are not lost."""
+    return df.sparkSession.createDataFrame([(c,) for c in columns], "column_name string")
+
+
 def profile_columns(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Rows, nulls, exact distinct count per column."""
+    """Rows, nulls, exact distinct count per column; zeros for an empty table."""
     counts = value_counts(df, columns)
     types = dict(df.dtypes)
     kind = F.create_map(*[F.lit(x) for c in columns for x in (c, types[c])])
-    return counts.groupBy("column_name").agg(
-        F.sum("n").alias("n_rows"),
-        F.coalesce(F.sum(F.when(F.col("value").isNull(), F.col("n"))), F.lit(0)).alias("n_nulls"),
-        F.count("value").alias("n_distinct"),
-    ).withColumn("data_type", kind[F.col("column_name")])
+    found = counts.groupBy("column_name").agg(
+        F.sum("n").alias("n_rows"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("n_nulls"),
+        F.count("value").alias("n_distinct"))
+    return _names(df, columns).join(found, "column_name", "left").select(
+        "column_name", *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_rows", "n_nulls", "n_distinct")],
+        kind[F.col("column_name")].alias("data_type"))
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -45,7 +51,7 @@ def describe_numeric(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, columns: Sequence[str],
                     percents: Sequence[int] = (25, 50, 75)) -> DataFrame:
-    """Interpolated quantiles per numeric column, exact at any size.
+    """Interpolated quantiles per numeric column, exact at any size; NULL without values.
 
     Equal values are merged into a frequency table, which is put into global order;
     no task needs a whole column.
@@ -68,10 +74,12 @@ def exact_quantiles(df: DataFrame, columns: Sequence[str],
     # one row per column and percent
     hit = cumulative.join(F.broadcast(targets), F.col("column_name") == F.col("_name")) \
         .where(holds("lo") | holds("hi"))
-    return hit.groupBy("column_name", "pct").agg(
+    found = hit.groupBy("column_name", "pct").agg(
         F.max(F.when(holds("lo"), F.col("value"))).alias("a"),
         F.max(F.when(holds("hi"), F.col("value"))).alias("b"), F.max("frac").alias("frac"),
     ).select("column_name", "pct", (F.col("a") + (F.col("b") - F.col("a")) * F.col("frac")).alias("value"))
+    return _names(df, columns).withColumn("pct", F.explode(F.array(*[F.lit(int(p)) for p in percents]))) \
+        .join(found, ["column_name", "pct"], "left")
 
 
 def top_values(df: DataFrame, column: str, n: int = 10) -> DataFrame:

@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
+from clickweir.operators.joins import broadcast_if_small
 from clickweir.session import stored
 
 BUCKET_DIGITS = 5  # hex digits: 16^5 buckets per stratum
@@ -61,8 +62,8 @@ def stratified_flag(df: DataFrame, strata: str, key: str, seed: int = 42, total:
            .where((F.col("_upto") >= F.col("quota")) & (F.col("_upto") - F.col("_n") < F.col("quota")))
            .select(cumulative[strata].alias("_stratum"), F.col("_bucket").alias("_cut"),
                    (F.col("quota") - F.col("_upto") + F.col("_n")).alias("_take")))
-    # one row per stratum
-    marked = hashed.join(F.broadcast(cut), F.col(strata).eqNullSafe(F.col("_stratum")), "left")
+    # one row per stratum; stored, so that its size is known
+    marked = hashed.join(broadcast_if_small(stored(cut, "cut")), F.col(strata).eqNullSafe(F.col("_stratum")), "left")
     on_edge = F.col("_bucket") == F.col("_cut")
     lower = F.coalesce(F.col("_bucket") < F.col("_cut"), F.lit(False))
     edge = marked.where(on_edge)

@@ -24,6 +24,9 @@ def to_typed(name: str) -> Column:
         return text
     if kind == "int":
         return F.coalesce(text.try_cast("int"), text.try_cast("decimal(38,18)").try_cast("int"))
+    if kind.startswith("decimal"):    # an id with a fraction is no id; rounded it would be another
+        exact = text.try_cast("decimal(38,18)")
+        return F.when(exact == F.floor(exact), text.try_cast(kind))
     return text.try_cast(kind)
 
 

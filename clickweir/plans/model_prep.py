@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickweir.functions.ratios import ratio_2dp
 from clickweir.operators.global_order import running_total
-from clickweir.operators.joins import BROADCAST_ROWS, broadcast_if_small
+from clickweir.operators.joins import broadcast_if_small
 from clickweir.schema import ENCODED_COLUMNS, INT_COLUMNS
 from clickweir.session import stored
 
@@ -28,8 +28,8 @@ def class_weights(df: DataFrame, label: str = "click") -> DataFrame:
 
 
 def with_class_weight(df: DataFrame, label: str = "click") -> DataFrame:
-    # one row per class
-    return df.join(F.broadcast(class_weights(df, label).select(label, "weight")), label)
+    weights = stored(class_weights(df, label).select(label, "weight"), "weights")
+    return df.join(broadcast_if_small(weights), label)
 
 
 def label_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -53,7 +53,7 @@ def label_encode(df: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS,
     for c in columns:
         codes = dictionary.where(F.col("column_name") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-        side = broadcast_if_small(codes, BROADCAST_ROWS)
+        side = broadcast_if_small(codes)
         out = out.join(side, F.col(c).cast("string") == F.col(f"_v_{c}"), "left") \
             .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(-1))).drop(f"_v_{c}", f"_c_{c}")
     return out

@@ -140,8 +140,8 @@ def test_campaign_join_without_broadcast(spark, sf, monkeypatch):
 
 
 def test_broadcast_bound(spark):
-    hinted = joins.broadcast_if_small(spark.range(10), 10)._jdf.queryExecution().analyzed().toString()
-    plain = joins.broadcast_if_small(spark.range(11), 10)._jdf.queryExecution().analyzed().toString()
+    hinted = joins.broadcast_if_small(spark.range(10), 80)._jdf.queryExecution().analyzed().toString()
+    plain = joins.broadcast_if_small(spark.range(11), 80)._jdf.queryExecution().analyzed().toString()
     assert "broadcast" in hinted and "broadcast" not in plain
 
 
