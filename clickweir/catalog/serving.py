@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timedelta
+
 from pyspark.sql import functions as F
 
 from clickweir.catalog import frames
@@ -20,26 +22,30 @@ CAST(device_type AS BIGINT) AS device_type, daily_total_impressions, daily_total
 hours_with_data, clicks_dod_pct_change, clicks_7day_moving_avg, ctr_7day_moving_avg"""
 
 
+def _before(as_of: str, hours: int) -> str:
+    """Scan bound: so many hours, and one hour for windows that began earlier, before a moment."""
+    return (datetime.fromisoformat(as_of) - timedelta(hours=hours + 1)).isoformat(sep=" ")
+
+
 @query("recent_window_filter", f"SELECT {_M} FROM m1 WHERE window_start >= TIMESTAMP '{AS_OF}' - INTERVAL 6 HOUR")
 def _(spark, d):
-    # a day's margin keeps every event of the wanted windows and lets the scan skip the rest
-    metrics = frames.metrics_1min(spark, d, since="2024-01-30 00:00:00")
+    metrics = frames.metrics_1min(spark, d, since=_before(AS_OF, 6))
     return serving.recent_window_filter(metrics, AS_OF, "6 HOURS")
 
 
 @query("latest_ctr_1min", f"SELECT {_M} FROM m1 WHERE window_start >= TIMESTAMP '{AS_OF}' - INTERVAL 1 HOUR")
 def _(spark, d):
-    return serving.latest_ctr_1min(frames.metrics_1min(spark, d, since="2024-01-30 00:00:00"), AS_OF)
+    return serving.latest_ctr_1min(frames.metrics_1min(spark, d, since=_before(AS_OF, 1)), AS_OF)
 
 
 @query("latest_ctr_5min", f"SELECT {_M} FROM m5 WHERE window_start >= TIMESTAMP '{AS_OF}' - INTERVAL 2 HOUR")
 def _(spark, d):
-    return serving.latest_ctr_5min(frames.metrics_5min(spark, d, since="2024-01-30 00:00:00"), AS_OF)
+    return serving.latest_ctr_5min(frames.metrics_5min(spark, d, since=_before(AS_OF, 2)), AS_OF)
 
 
 @query("avg_ctr_window", f"""SELECT round(avg(ctr), 6) AS avg_ctr FROM m1 WHERE window_start >= TIMESTAMP '{AS_OF}' - INTERVAL 12 HOUR""")
 def _(spark, d):
-    metrics = frames.metrics_1min(spark, d, since="2024-01-30 00:00:00")
+    metrics = frames.metrics_1min(spark, d, since=_before(AS_OF, 12))
     return serving.avg_ctr_window(metrics, AS_OF, "12 HOURS").select(F.round("avg_ctr", 6).alias("avg_ctr"))
 
 
@@ -48,7 +54,7 @@ UNION ALL SELECT '5min', * FROM m5 WHERE window_end > TIMESTAMP '{MIDDAY}' - INT
 
 
 def _live(spark, d):
-    since = "2024-01-15 11:00:00"
+    since = _before(MIDDAY, 1)
     return serving.current_metrics_union(frames.metrics_1min(spark, d, since),
                                          frames.metrics_5min(spark, d, since), MIDDAY)
 

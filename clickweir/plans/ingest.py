@@ -8,6 +8,7 @@ from clickweir.functions.ratios import ratio_2dp
 from clickweir.operators.evaluation import evaluate_once
 from clickweir.operators.validation import reject_reasons, transform_types
 from clickweir.schema import EVENT_COLUMNS, RANGE_BOUNDS, RAW_SCHEMA
+from clickweir.session import stored
 
 
 def classify(raw: DataFrame, bounds=RANGE_BOUNDS, keep=()) -> DataFrame:
@@ -37,9 +38,9 @@ def rejects(classified: DataFrame, line_number="line_number", now=None) -> DataF
 
 def split_valid_rejects(raw: DataFrame, line_number: str, bounds=RANGE_BOUNDS,
                         now=None) -> tuple[DataFrame, DataFrame]:
-    """(valid events, rejects). Both are filters over the same projection; persist or
-    store `raw` first when its scan is expensive."""
-    classified = classify(with_raw_row(raw), bounds, keep=("raw_row", line_number))
+    """(valid events, rejects). The log is read and cast once: the judged rows are stored,
+    and both sides are filters over them."""
+    classified = stored(classify(with_raw_row(raw), bounds, keep=("raw_row", line_number)), "judged")
     return valid_events(classified), rejects(classified, line_number, now)
 
 
