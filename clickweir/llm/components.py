@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from clickweir.session import stored
+from clickweir.session import delete_path, scratch_path
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -26,6 +26,12 @@ def _mark(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
 
 
+def _stored(edges: DataFrame, label: str) -> tuple[str, DataFrame]:
+    path = scratch_path(edges.sparkSession, label)
+    edges.write.parquet(path)
+    return path, edges.sparkSession.read.schema(edges.schema).parquet(path)
+
+
 def connected_components(edges: DataFrame, label: str = "links") -> DataFrame:
     """node, component (the smallest node reachable) for every node that has a link.
 
@@ -34,12 +40,15 @@ def connected_components(edges: DataFrame, label: str = "links") -> DataFrame:
     shuffles, so a node with very many links is no hot key. Only a count and a checksum
     reach the driver.
     """
-    now = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-    now = stored(now, label)
+    spark = edges.sparkSession
+    first = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    path, now = _stored(first, label)
     mark = _mark(now)
     while True:
-        now = stored(_small_star(_large_star(now)), label)
+        old = path
+        path, now = _stored(_small_star(_large_star(now)), label)
         before, mark = mark, _mark(now)
+        delete_path(spark, old)      # the new round is complete in the shared folder
         if mark == before:
             break
     roots = now.select(F.col("b").alias("node")).distinct()
