@@ -62,7 +62,7 @@ class Model:
         return out.reshape(n, d)[:, :-1]
 
     def table(self) -> np.ndarray:
-        out = np.full(CODES, len(self.number), "i4")
+        out = np.full(CODES, len(self.number), "u2" if len(self.number) < 1 << 16 else "i4")
         out[self.number] = np.arange(len(self.number))
         return out
 

@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import math
 import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,6 +28,7 @@ LEARNED_ROWS = 6000     # labelled texts that are learned from: those of the sma
 PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes of the word beginnings that are evidence
 CONFIDENCE = 1.645
 CACHED = 200_000        # stretches whose restoration a Python worker remembers, for speed alone
+PIECE = 1 << 18         # bytes of text that are scored together
 LONGEST_STRETCH = 64    # a longer stretch is restored in cuts of this length
 
 # What signs may stand for, as is common in leetspeak; fixed values.
@@ -89,7 +91,7 @@ def log_probabilities(grams: np.ndarray) -> np.ndarray:
 
 class Restorer:
     def __init__(self, log_p: np.ndarray):
-        self.log_p = log_p.tolist()
+        self.log_p = array("f", log_p.tobytes())
         self.known: dict[str, str] = {}
 
     @staticmethod
@@ -337,7 +339,7 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col, text_col,
         restorer = Restorer(log_p)
         for batch in batches:
             docs, labels = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            for part, data, starts in pieces(batch.column(2)):
+            for part, data, starts in pieces(batch.column(2), PIECE):
                 text, h = evidence(restore(data, starts, restorer))
                 yield pa.RecordBatch.from_arrays([pa.array(docs[part][text]), pa.array(labels[part][text]),
                                                   pa.array(h.view("i8"))], ["doc", "label", "hash"])
@@ -370,18 +372,20 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
         restorer = Restorer(log_p)
         for batch in batches:
             out, texts = np.zeros(batch.num_rows), []
-            for part, data, starts in pieces(batch.column(1)):
+            for part, data, starts in pieces(batch.column(1), PIECE):
                 restored = restore(data, starts, restorer)
                 out[part] = lexicon.scores(restored)
                 if with_text:
                     texts += [t.decode("utf-8", "replace") for t in restored]
             columns = [batch.column(0), pa.array(out), *([pa.array(texts, pa.string())] if with_text else []),
-                       *batch.columns[2:]]
+                       *[batch.column(i) for i in kept]]
             yield pa.RecordBatch.from_arrays(columns, [f"c{i}" for i in range(len(columns))])
 
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema}
+    own = [k for k in keep if k != text_col or kinds[k] != "string"]    # the text itself goes over once
+    kept = [1 if k not in own else 2 + own.index(k) for k in keep]
     types = ["bigint", "double", *(["string"] if with_text else []), *[kinds[k] for k in keep]]
     names = ["doc_id", "score", *(["restored"] if with_text else []), *keep]     # `keep` may repeat the others
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("given text"),
-                       *[F.col(k).alias(f"kept {k}") for k in keep]).mapInArrow(
+                       *[F.col(k).alias(f"kept {k}") for k in own]).mapInArrow(
         run, ", ".join(f"c{i} {t}" for i, t in enumerate(types))).toDF(*names)

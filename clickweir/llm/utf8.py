@@ -14,11 +14,13 @@ LOWER[65:91] += 32
 
 def utf8(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The bytes of all texts in a row, and where each text starts; null is empty."""
-    texts = texts.cast(pa.large_string()).fill_null("")
     if not len(texts):
         return np.zeros(0, "u1"), np.zeros(1, "i8")
+    if texts.null_count:
+        texts = texts.fill_null("")
     _, offsets, data = texts.buffers()
-    at = np.frombuffer(offsets, "i8")[texts.offset:texts.offset + len(texts) + 1]
+    kind = "i8" if pa.types.is_large_string(texts.type) else "i4"
+    at = np.frombuffer(offsets, kind)[texts.offset:texts.offset + len(texts) + 1].astype("i8")
     bytes_ = np.frombuffer(data, "u1") if data is not None and data.size else np.zeros(0, "u1")
     return bytes_[at[0]:at[-1]], at - at[0]
 
