@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, functions as F
 SEQUENCE = 1024          # tokens of a sequence; a power of two
 GROUP_TOKENS = 1 << 20   # tokens that a task packs together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048   # cost of a token, and of a pair of tokens that attend
-CACHED_WORDS = 400_000   # words whose ids a task remembers, for speed alone
+CACHED_WORDS = 250_000   # words, of either generation, whose ids a task remembers, for speed alone
 BATCH_CHARS = 1 << 20
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -60,6 +60,7 @@ class Encoder:
         self.shown = {b: b for b in prints} | {b: 256 + n for n, b in enumerate(others)}
         self.cached_words = cached_words
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}      # words of the generation before
         self.marks: dict[str, bytes] = {"": b""}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
@@ -67,9 +68,12 @@ class Encoder:
                 for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, words: list[str]) -> None:
-        """Encode space-led words into the cache."""
+        """Encode space-led words into the cache, or bring them over from the older generation."""
         odd = []
         for word in words:
+            if (known := self.older.get(word)) is not None:
+                self.words[word] = known
+                continue
             if not (plain := _PLAIN.fullmatch(word)):
                 odd.append(word)
                 continue
@@ -78,8 +82,12 @@ class Encoder:
                 if len(self.marks) > 1000:
                     self.marks = {"": b""}
                 self.marks[marks] = self._encode([marks])[0]
-            ids = [t.id for t in self.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.shown))]
-            self.words[word] = struct.pack(f"<{len(ids)}I", *ids) + self.marks[marks]
+            bare = self.words.get(letters)
+            if bare is None:
+                ids = [t.id for t in self.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.shown))]
+                bare = self.words[letters] = struct.pack(f"<{len(ids)}I", *ids)
+            if marks:
+                self.words[word] = bare + self.marks[marks]
         self.words.update(zip(odd, self._encode([" " + w for w in odd])))
 
     def __call__(self, texts: list[str]) -> list[bytes]:
@@ -90,7 +98,7 @@ class Encoder:
             parts.pop(0)
             words.update(parts)
         if len(self.words) > self.cached_words:
-            self.words = {}
+            self.older, self.words = self.words, {}
         self._learn([w for w in words if w not in self.words])
         known = self.words.__getitem__
         return [head + b"".join(map(known, parts)) for head, parts in zip(heads, split)]
