@@ -28,6 +28,7 @@ ROUNDS = 12              # of the block permutation
 TASK_SLOTS = 100_000     # slots that a task maps to blocks
 SEED = 20240501
 WORD = r"[^\x20\x09-\x0D]+"
+WORD_AND_SPACE = rf"((?:\A[\x20\x09-\x0D]+)?{WORD}[\x20\x09-\x0D]*)"     # as many as there are words
 
 
 def _hash(*cols: Column) -> Column:
@@ -203,7 +204,9 @@ def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words
                 shard_slots: int = SHARD_SLOTS, most_epochs: int = MOST_EPOCHS, id_col: str = "doc_id",
                 text_col: str = "text", source_col: str = "source") -> DataFrame:
     """The mix itself: doc_id, epoch, text, source and the other columns of `docs`; the text is what the mix
-    takes of a row in an epoch, its words in order with one space between. Rows of which nothing is taken
+    takes of a row in an epoch, its words in order with the white space that follows them; the first word has
+    what stands before it too, so a row taken whole keeps all bytes. Where words are left out between two
+    parts there is a line end more. Rows of which nothing is taken
     are left out; others come once per epoch that takes something. Edge cases as for `mix`.
     """
     _, places, taken_slots = _plan(docs, weights, block_words, shard_slots, most_epochs, id_col, text_col, source_col)
@@ -221,9 +224,14 @@ def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words
                         *[F.col(c).alias(f"rest {c}") for c in rest], F.xxhash64(text).alias("tie"))
             .select("*", *key)
             .withColumn("copy", F.row_number().over(Window.partitionBy("key 1", "key 2").orderBy(F.lit(0)))))
-    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    part = F.array_join(F.flatten(F.transform("taken.parts", lambda p: F.slice(
-        F.col("words"), (p.first_word + 1).cast("int"), p.n_words.cast("int")))), " ")
+    words = F.regexp_extract_all("text", F.lit(WORD_AND_SPACE), F.lit(1))
+
+    def taken_part(p: Column, i: Column) -> Column:
+        before = F.get(F.col("taken.parts"), i - 1)
+        gap = F.when(before.first_word + before.n_words < p.first_word, F.lit("\n")).otherwise(F.lit(""))
+        return F.concat(gap, F.array_join(F.slice(F.col("words"), (p.first_word + 1).cast("int"), p.n_words.cast("int")), ""))
+
+    part = F.array_join(F.transform("taken.parts", taken_part), "")
     return (rows.join(took, (F.col("key 1") == F.col("k1")) & (F.col("key 2") == F.col("k2")))
             .withColumn("epochs", F.get(F.col("copies.epochs"), F.col("copy") - 1)).filter(F.col("epochs").isNotNull())
             .withColumn("words", words).withColumn("taken", F.explode("epochs"))

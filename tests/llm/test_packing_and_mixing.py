@@ -140,6 +140,27 @@ def test_mixed_texts_are_what_the_mix_takes(spark):
     assert mixing.mixed_texts(df.limit(0)).collect() == []
 
 
+def test_mixed_texts_keep_white_space(spark):
+    odd = ["  \t first\n\n    indented  line\r\n\tend \n", "x", "\x0b a\u00a0b\u3000c \x0c"]
+    lines = "".join(f"{' ' * (i % 4)}w{i}{(' ', chr(10), '  ', chr(10) * 2)[i % 4]}" for i in range(500))
+    rows = [(i, t, "s") for i, t in enumerate([*odd, lines])]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = mixing.mixed_texts(df).collect()      # one source: every block is taken once
+    assert sorted((r.doc_id, r.text) for r in got) == [(i, t) for i, t, _ in rows]
+    two = spark.createDataFrame([(0, lines, "a"), (1, lines, "b")], "doc_id bigint, text string, source string")
+    words, cut = lines.split(), 0
+    for r in mixing.mixed_texts(two).collect():
+        taken = [int(w[1:]) for w in r.text.split()]
+        parts = [[taken[0]]]
+        for a, b in zip(taken, taken[1:]):
+            parts[-1].append(b) if b == a + 1 else parts.append([b])
+        at = [lines.index(f"w{i}{(' ', chr(10))[i % 2]}") for i in range(500)] + [len(lines)]
+        spaced = [lines[at[p[0]]:at[p[-1] + 1]] for p in parts]     # up to the next word, whose indentation comes before it
+        assert r.text == "\n".join(spaced)
+        cut += len(parts) > 1
+    assert cut and len(words) == 500
+
+
 def test_permutation(spark):
     for n in (1, 2, 7, 64, 1000):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit("s"), F.lit(0)).alias("p"))
