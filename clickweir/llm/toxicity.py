@@ -15,6 +15,7 @@ import math
 import re
 from array import array
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,8 @@ PREFIXES = (3, 4, 5, 6, 7, 8)  # bytes of the word beginnings that are evidence
 CONFIDENCE = 1.645
 CACHED = 200_000        # stretches whose restoration a Python worker remembers, for speed alone
 PIECE = 1 << 18         # bytes of text that are scored together
-LONGEST_STRETCH = 64    # a longer stretch is restored in cuts of this length
+REMEMBERED = 64         # characters of a stretch that is remembered; longer ones hardly come again
+SETTLE_STEPS = 512      # steps of a Viterbi path after which its settled beginning is given out
 
 # What signs may stand for, as is common in leetspeak; fixed values.
 LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb", "7": "t", "8": "b", "9": "g",
@@ -53,7 +55,6 @@ _LEET_BYTE = np.zeros(256, bool)
 _LEET_BYTE[[ord(c) for c in "01345789@$"]] = True
 _TWICE = np.uint64(0x5DEECE66D1234567)   # marks that two different words of a text have the evidence
 _RUNS = re.compile(r"(.)\1*", re.S)
-_DECORATION = re.compile(r"([^\w\s])\1{2,}$")
 
 
 def gram_counts(texts: DataFrame) -> np.ndarray:
@@ -89,6 +90,27 @@ def log_probabilities(grams: np.ndarray) -> np.ndarray:
     return np.log(p).ravel().astype("f4")
 
 
+def _unrolled(path: tuple | None) -> list[tuple]:
+    nodes = []
+    while path:
+        nodes.append(path)
+        path = path[0]
+    return nodes[::-1]
+
+
+def _path(parts: list[str]) -> tuple | None:
+    path = None
+    for part in parts:
+        path = (path, part)
+    return path
+
+
+def _undecorated(stretch: str) -> str:
+    """Without three or more equal marks at the end."""
+    bare = stretch.rstrip(stretch[-1:]) if stretch[-1:] and not (stretch[-1].isalnum() or stretch[-1] == "_") else stretch
+    return bare if len(stretch) - len(bare) > 2 else stretch
+
+
 class Restorer:
     def __init__(self, log_p: np.ndarray):
         self.log_p = array("f", log_p.tobytes())
@@ -116,10 +138,22 @@ class Restorer:
                        ("", AS_NOTHING if looks else MARK_AS_NOTHING), (" ", AS_BOUNDARY if looks else MARK_AS_BOUNDARY)]
 
     def decode(self, stretch: str) -> str:
-        """The Viterbi path; states are the last three symbols."""
+        """The Viterbi path of the whole stretch; states are the last three symbols. What all survivors
+        share is given out on the way, so that long stretches hold short paths."""
         log_p = self.log_p
         best: dict[int, tuple[float, tuple | None]] = {0: (0.0, None)}
-        for ways in [*self._arcs(stretch), [(" ", 0.0)]]:
+        settled: list[str] = []
+        steps_held, most = 0, SETTLE_STEPS
+        for ways in chain(self._arcs(stretch), [[(" ", 0.0)]]):
+            steps_held += 1
+            if steps_held > most:
+                paths = [_unrolled(path) for _, path in best.values()]
+                same = next((i for i, nodes in enumerate(zip(*paths)) if any(x is not nodes[0] for x in nodes)), len(paths[0]))
+                settled += [part for _, part in paths[0][:same]]
+                best = {state: (score, _path([part for _, part in nodes[same:]]))
+                        for (state, (score, _)), nodes in zip(best.items(), paths)}
+                steps_held -= same
+                most = max(SETTLE_STEPS, 2 * steps_held)
             steps = [(out, cost, [self._symbol(c) for c in out]) for out, cost in ways]
             after: dict[int, tuple[float, tuple | None]] = {}
             for state, (score, path) in best.items():
@@ -133,19 +167,16 @@ class Restorer:
                     if to not in after or total > after[to][0]:
                         after[to] = (total, (path, out))
             best = after
-        path, out = max(best.values(), key=lambda x: x[0])[1], []
-        while path:
-            path, part = path
-            out.append(part)
-        return "".join(reversed(out)).strip()
+        path = max(best.values(), key=lambda x: x[0])[1]
+        return "".join([*settled, *(part for _, part in _unrolled(path))]).strip()
 
     def __call__(self, stretch: str) -> str:
+        if len(stretch) > REMEMBERED:
+            return self.decode(_undecorated(stretch.lower()))
         if stretch not in self.known:
             if len(self.known) > CACHED:
                 self.known = {}
-            low = _DECORATION.sub("", stretch.lower())
-            self.known[stretch] = " ".join(self.decode(low[i:i + LONGEST_STRETCH])
-                                           for i in range(0, len(low), LONGEST_STRETCH))
+            self.known[stretch] = self.decode(_undecorated(stretch.lower()))
         return self.known[stretch]
 
 

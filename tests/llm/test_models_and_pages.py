@@ -118,6 +118,24 @@ def test_restoration(restorer, given, expected):
     assert toxicity.restore(data, starts, restorer)[0].decode().strip() == expected
 
 
+def test_long_stretches_are_decoded_whole(restorer):
+    for before in range(18, 46):       # letters before the word, so that it begins 36 to 90 characters in
+        spelt = " ".join((("bookandtooth" * 9)[:before]) + "idiot" + "bookandthetooth" * 3)
+        assert "idiot" in restorer(spelt).replace(" ", "") and len(spelt) > 128
+        (_, data, starts), = pieces(pa.array([spelt]))
+        whole = toxicity.restore(data, starts, restorer)[0].decode()
+        assert whole == restorer.decode(spelt) and "idi ot" not in whole and "id iot" not in whole
+
+
+def test_settled_beginnings_change_nothing(restorer, monkeypatch):
+    texts = ["1d10t*" * 300, " ".join("the1oserandtr@share") * 40, "*" * 3 + "a*b0" * 700]
+    plain = []
+    monkeypatch.setattr(toxicity, "SETTLE_STEPS", 1 << 30)
+    plain = [restorer.decode(t) for t in texts]
+    monkeypatch.setattr(toxicity, "SETTLE_STEPS", 3)
+    assert [restorer.decode(t) for t in texts] == plain
+
+
 def test_corpus_counts_cover_all_rows(spark):
     df = spark.createDataFrame([("abc",), ("ab",), (None,), ("é",)], "text string").repartition(3)
     grams = toxicity.gram_counts(df)
