@@ -1,9 +1,9 @@
 """Toxicity of texts after undoing obfuscation by a noisy channel.
 
 A character language model of order four is counted over all texts. Stretches that a channel
-of leetspeak, spacing and repetition may have made (letters around signs and digits, tripled
-letters, runs of single letters) become lattices: each sign is a letter it looks like, a
-boundary or nothing, and each repetition a shorter one. The Viterbi path under language model
+of leetspeak, spacing and repetition may have made (letters beside signs and digits, doubled
+letters, runs of single letters and signs, words with a blank that the language model would leave out) become
+lattices: each sign is a letter it looks like, a boundary or nothing, and each repetition a shorter one. The Viterbi path under language model
 and channel costs restores the text; everything else has one path, itself. The restored text is scored by
 the strongest evidence of its words and their beginnings: the lower confidence bound of the
 share of toxic texts among the labelled ones that have it, calibrated by logistic regression.
@@ -16,6 +16,7 @@ import re
 from array import array
 from dataclasses import dataclass
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,8 @@ LEET = {"0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "gb",
 AS_LETTER, AS_NOTHING, AS_BOUNDARY = 1.0, 9.0, 4.0
 MARK_AS_NOTHING, MARK_AS_BOUNDARY = 1.0, 0.5
 SHORTENED, NOT_SPLIT = 6.0, 2.0
+JOINED = 6.0            # a blank between longer pieces of a word as nothing
+MARK_AT_END = 0.5       # an exclamation mark at the end of a word as what it mostly is, a boundary
 SURE = 0.9              # bound from which a word is evidence whatever stands beside it
 EVIDENCE = 0.5          # least bound of a word, or beginning, that counts as evidence
 
@@ -52,7 +55,7 @@ _LEAD = np.zeros(256, bool)
 _LEAD[192:] = True      # the rest of the character says which it is
 _LETTER = (_SYMBOL > 0) | _LEAD
 _LEET_BYTE = np.zeros(256, bool)
-_LEET_BYTE[[ord(c) for c in "01345789@$"]] = True
+_LEET_BYTE[[ord(c) for c in LEET if c < "\x80"]] = True
 _TWICE = np.uint64(0x5DEECE66D1234567)   # marks that two different words of a text have the evidence
 _RUNS = re.compile(r"(.)\1*", re.S)
 
@@ -123,10 +126,14 @@ class Restorer:
     def _arcs(self, stretch: str):
         """For each run of equal characters the ways it may have come about, with their costs."""
         spaced = not any(len(w) > 1 for w in stretch.split())
+        last = len(stretch)
         for found in _RUNS.finditer(stretch):
             c, n = found[1], len(found[0])
             if c.isspace():
-                yield [("", 0.0), (" ", NOT_SPLIT)] if spaced and n == 1 else [(" ", 0.0)]
+                if n > 1:
+                    yield [(" ", 0.0)]
+                else:
+                    yield [("", 0.0), (" ", NOT_SPLIT)] if spaced else [(" ", 0.0), ("", JOINED)]
             elif c.isalpha():
                 if n == 1:
                     yield [(c, 0.0)]
@@ -135,7 +142,8 @@ class Restorer:
             else:
                 looks = LEET.get(c, "")
                 yield [*((letter * k, AS_LETTER * k) for letter in looks for k in {1, min(n, 2)}),
-                       ("", AS_NOTHING if looks else MARK_AS_NOTHING), (" ", AS_BOUNDARY if looks else MARK_AS_BOUNDARY)]
+                       ("", AS_NOTHING if looks else MARK_AS_NOTHING),
+                       (" ", MARK_AT_END if c == "!" and found.end() == last else AS_BOUNDARY if looks else MARK_AS_BOUNDARY)]
 
     def decode(self, stretch: str) -> str:
         """The Viterbi path of the whole stretch; states are the last three symbols. What all survivors
@@ -170,42 +178,88 @@ class Restorer:
         path = max(best.values(), key=lambda x: x[0])[1]
         return "".join([*settled, *(part for _, part in _unrolled(path))]).strip()
 
+    def _restored(self, stretch: str) -> str:
+        low = stretch.lower()
+        found = self.decode(_undecorated(low))
+        return stretch if found == low.strip(punctuation) else found     # what the channel didn't make stays as it is
+
     def __call__(self, stretch: str) -> str:
         if len(stretch) > REMEMBERED:
-            return self.decode(_undecorated(stretch.lower()))
+            return self._restored(stretch)
         if stretch not in self.known:
             if len(self.known) > CACHED:
                 self.known = {}
-            self.known[stretch] = self.decode(_undecorated(stretch.lower()))
+            self.known[stretch] = self._restored(stretch)
         return self.known[stretch]
 
 
-def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(text, first byte, end) of what the channel may have made, in order."""
+def _blanks_left_out(data: np.ndarray, inner: np.ndarray, log_p: np.ndarray) -> np.ndarray:
+    """Where there is a blank between two letters of a text without which the language model finds the next three symbols
+    likelier by JOINED or more. `inner` says which bytes are not the first of a text."""
+    kept = np.flatnonzero(~_LEAD[data])    # as the model was counted
+    bytes_, text = data[kept], np.cumsum(~inner)[kept]
+    symbol = _SYMBOL[bytes_].astype("i4")
+    at = np.flatnonzero((bytes_[1:-1] == 32) & (symbol[:-2] > 0) & (symbol[2:] > 0) & (text[:-2] == text[2:])) + 1
+    symbol = np.concatenate([np.zeros(3, "i4"), symbol, np.zeros(3, "i4")])
+    text = np.concatenate([np.zeros(3, "i8"), text, np.zeros(3, "i8")])
+    a, b, c, x, y, z = (np.where(text[at + 3 + k] == text[at + 3], symbol[at + 3 + k], 0) for k in (-3, -2, -1, 1, 2, 3))
+    a = np.where(b > 0, a, 0)
+    z = np.where(y > 0, z, 0)
+    joined, split = np.zeros(len(at), "f4"), np.zeros(len(at), "f4")
+    for total, run in ((joined, (a, b, c, x, y, z)), (split, (a, b, c, 0 * c, x, y, z))):
+        for k in range(3, len(run)):
+            p = log_p[(run[k - 3] << 15) | (run[k - 2] << 10) | (run[k - 1] << 5) | run[k]]
+            total += np.where((run[k] > 0) | (run[k - 1] > 0), p, 0)    # one boundary is enough
+    return kept[at[joined - split > JOINED]]
+
+
+def stretches(data: np.ndarray, starts: np.ndarray, log_p: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(text, first byte, end) of what the channel may have made, in order. Without `log_p` no blank is left out
+    but those between single characters."""
     text, first, end = words(data, starts)
     if not len(first):
         return text, first, end
-    letter = _LETTER[data]
+    inner = np.ones(len(data), bool)       # the byte before is of the same text
+    inner[starts[:-1][starts[:-1] < len(data)]] = False
+    letter, sign = _LETTER[data], _LEET_BYTE[data]
+    pound = np.flatnonzero((data[1:] == 0xA3) & (data[:-1] == 0xC2))
+    euro = np.flatnonzero((data[2:] == 0xAC) & (data[1:-1] == 0x82) & (data[:-2] == 0xE2))
+    foreign = np.concatenate([pound, pound + 1, euro, euro + 1, euro + 2])      # the signs of LEET beyond ASCII
+    letter[foreign], sign[foreign] = False, True
     inside = np.zeros(len(data) + 1, "i8")
     runs = letter.copy()
     runs[1:] &= ~letter[:-1]
     inside[1:] = np.cumsum(runs)
     n_runs = inside[end] - inside[first] + (letter[first] & ~runs[first])
     leet = np.zeros(len(data), bool)       # a sign right before or after a letter
-    leet[1:] |= _LEET_BYTE[data[1:]] & letter[:-1]
-    leet[:-1] |= _LEET_BYTE[data[:-1]] & letter[1:]
+    leet[1:] |= sign[1:] & letter[:-1] & inner[1:]
+    leet[:-1] |= sign[:-1] & letter[1:] & inner[1:]
     low = LOWER[data]
-    leet[2:] |= letter[2:] & (low[2:] == low[1:-1]) & (low[1:-1] == low[:-2]) & (data[2:] < 128)
+    leet[1:] |= letter[1:] & (low[1:] == low[:-1]) & inner[1:] & (data[1:] < 128)     # a doubled letter
     marks = np.concatenate([[0], np.cumsum(leet)])
     odd = (n_runs > 1) | ((marks[end] > marks[first]) & (n_runs > 0))
-    # single letters, three or more in a row
+    # single letters and signs, three or more in a row and a letter among them
+    long = end - first
     lead = _LEAD[data[first]]
-    single = letter[first] & (end - first - lead == 1)
+    alone = letter[first] & (long - lead == 1)
+    width = np.where(data[first] < 128, 1, np.where(data[first] < 0xE0, 2, 3))
+    single = alone | (sign[first] & (long == width))
     joined = single[1:] & single[:-1] & (text[1:] == text[:-1])
     begin = np.r_[True, ~joined]
     group = np.cumsum(begin) - 1
     size = np.bincount(group)[group]
-    spaced = single & (size >= 3)
+    spaced = single & (size >= 3) & (np.bincount(group, alone)[group] > 0)
+    if log_p is not None and len(data) > 2:
+        # words with a blank that is better left out
+        after = np.searchsorted(first, _blanks_left_out(data, inner, log_p) + 1)
+        after = after[~spaced[after] & ~spaced[after - 1]]
+        chunk = np.zeros(len(first), bool)
+        chunk[after] = chunk[after - 1] = True
+        linked = joined & spaced[1:]
+        linked[after - 1] = True
+        begin = np.r_[True, ~linked]
+        group = np.cumsum(begin) - 1
+        spaced |= chunk
     take = np.flatnonzero((odd & ~spaced) | (spaced & begin))
     last = np.r_[np.flatnonzero(begin)[1:], len(first)] - 1
     stop = np.where(spaced[take], end[last[group[take]]], end[take])
@@ -214,7 +268,7 @@ def stretches(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndar
 
 def restore(data: np.ndarray, starts: np.ndarray, restorer: Restorer) -> list[bytes]:
     """The texts of a piece with what was decoded in its place."""
-    text, first, end = stretches(data, starts)
+    text, first, end = stretches(data, starts, np.frombuffer(restorer.log_p, "f4"))
     raw = data.tobytes()
     out = []
     cuts = np.searchsorted(text, np.arange(len(starts)))

@@ -118,6 +118,26 @@ def test_restoration(restorer, given, expected):
     assert toxicity.restore(data, starts, restorer)[0].decode().strip() == expected
 
 
+@pytest.mark.parametrize("given, expected", [
+    ("1 d 1 0 t", "idiot"), ("you i d 1 0 t", "you idiot"), ("$ c u m", "scum"), ("!diot", "idiot"), ("+rash", "trash"), ("|oser", "loser"),
+    ("£oser", "loser"), ("s(um", "scum"), ("<um of", "cum of"), ("mor*n", "moron"), ("iddiot", "idiot"), ("morron", "moron"), ("you traash", "you trash"),
+    ("id iot", "idiot"), ("the mor on", "the moron"), ("you wor thless", "you worthless"), ("The Book, you", "The Book, you"),
+    ("you are the loser of the book", "you are the loser of the book"), ("1 2 3 4", "1 2 3 4"), ("£500 of", "£500 of"), ("loser!", "loser!")])
+def test_restoration_of_all_signs_and_spacings(restorer, given, expected):
+    (_, data, starts), = pieces(pa.array([given]))
+    assert toxicity.restore(data, starts, restorer)[0].decode().strip() == expected
+
+
+def test_a_text_is_restored_without_its_neighbours(restorer):
+    texts = ["Dog", "Good", "1", "Dog", "a", "1-B", "id", "iot", "i", "d i", "o t", "", "id", " iot", "id ", "iot"]
+    (_, data, starts), = pieces(pa.array(texts))
+    alone = []
+    for t in texts:
+        found = list(pieces(pa.array([t])))
+        alone.append(toxicity.restore(found[0][1], found[0][2], restorer)[0])
+    assert toxicity.restore(data, starts, restorer) == alone
+
+
 def test_long_stretches_are_decoded_whole(restorer):
     for before in range(18, 46):       # letters before the word, so that it begins 36 to 90 characters in
         spelt = " ".join((("bookandtooth" * 9)[:before]) + "idiot" + "bookandthetooth" * 3)
