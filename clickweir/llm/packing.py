@@ -11,9 +11,6 @@ lowest cost so far that still has room; what does not fit goes on to the next on
 from __future__ import annotations
 
 import heapq
-import json
-import re
-import struct
 import zlib
 from collections.abc import Iterable, Iterator
 
@@ -22,86 +19,23 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
+from clickweir.llm.byte_bpe import shared
+
 SEQUENCE = 1024          # tokens of a sequence; a power of two
 GROUP_TOKENS = 1 << 20   # tokens that a task packs together
 LINEAR, QUADRATIC = 1.0, 1.0 / 2048   # cost of a token, and of a pair of tokens that attend
-CACHED_WORDS = 250_000   # words, of either generation, whose ids a task remembers, for speed alone
-BATCH_CHARS = 1 << 20
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint")
 
-# Letters of long standing in every version of Unicode, then at most some sentence marks.
-_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ɏ]+)([.,;:!?]*)")
-_UNSPLIT = re.compile(r" (?:\s|\Z)")
-_BEFORE_WORD = re.compile(r" (?=\S)")
-
-
 class Encoder:
-    """Token ids as little-endian 32-bit bytes.
-
-    The byte-level pre-tokenizer always starts a piece at a space that a non-space
-    follows, so a text's ids are the ids of its space-led words in a row. Words are
-    encoded once per task while they stay in a bounded cache. A word of letters is one
-    piece, and marks after it are another; the model encodes such pieces without the rest of the tokenizer.
-    """
+    """Token ids as little-endian 32-bit bytes. `cached_words` has no effect: nothing of the texts is kept."""
 
-    def __init__(self, tokenizer_json: str, cached_words: int = CACHED_WORDS):
-        from tokenizers import Tokenizer, models
-
-        self.tokenizer = Tokenizer.from_str(tokenizer_json)
-        self.tokenizer.encode_special_tokens = True   # their strings in a text are ordinary text
-        model = json.loads(tokenizer_json)["model"]
-        self.model = models.BPE(vocab=model["vocab"], cache_capacity=0,
-                                merges=[tuple(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]])
-        # the character that stands for each byte: itself if it prints, else one past 255
-        prints = [*range(33, 127), *range(161, 173), *range(174, 256)]
-        others = [b for b in range(256) if b not in set(prints)]
-        self.shown = {b: b for b in prints} | {b: 256 + n for n, b in enumerate(others)}
-        self.cached_words = cached_words
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}      # words of the generation before
-        self.marks: dict[str, bytes] = {"": b""}
-
-    def _encode(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes()
-                for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode space-led words into the cache, or bring them over from the older generation."""
-        odd = []
-        for word in words:
-            if (known := self.older.get(word)) is not None:
-                self.words[word] = known
-                continue
-            if not (plain := _PLAIN.fullmatch(word)):
-                odd.append(word)
-                continue
-            letters, marks = plain.groups()
-            if marks not in self.marks:
-                if len(self.marks) > 1000:
-                    self.marks = {"": b""}
-                self.marks[marks] = self._encode([marks])[0]
-            bare = self.words.get(letters)
-            if bare is None:
-                ids = [t.id for t in self.model.tokenize((" " + letters).encode().decode("latin-1").translate(self.shown))]
-                bare = self.words[letters] = struct.pack(f"<{len(ids)}I", *ids)
-            if marks:
-                self.words[word] = bare + self.marks[marks]
-        self.words.update(zip(odd, self._encode([" " + w for w in odd])))
+    def __init__(self, tokenizer_json: str, cached_words: int = 0):
+        self.model = shared(tokenizer_json)
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        split = [(_BEFORE_WORD.split(t) if _UNSPLIT.search(t) else t.split(" ")) for t in texts]
-        heads = self._encode([parts[0] for parts in split])
-        words: set[str] = set()
-        for parts in split:
-            parts.pop(0)
-            words.update(parts)
-        if len(self.words) > self.cached_words:
-            self.older, self.words = self.words, {}
-        self._learn([w for w in words if w not in self.words])
-        known = self.words.__getitem__
-        return [head + b"".join(map(known, parts)) for head, parts in zip(heads, split)]
+        return [self.model.ids(t).tobytes() for t in texts]
 
 
 def capacities(tokens: int, sequence: int = SEQUENCE) -> list[int]:
@@ -132,7 +66,7 @@ def assign(lengths: list[int], sequence: int = SEQUENCE, linear: float = LINEAR,
 
 def _pack_batches(batches: Iterable[pa.RecordBatch], tokenizer_json: str, sequence: int, group_tokens: int,
                   linear: float, quadratic: float, with_ids: bool) -> Iterator[pa.RecordBatch]:
-    encode = Encoder(tokenizer_json)    # of this task, so that idle workers hold no memory
+    encode = Encoder(tokenizer_json)
     end = np.zeros(1, "<u4").tobytes()
     part = TaskContext.get().partitionId()
     made = 0
@@ -163,22 +97,13 @@ def _pack_batches(batches: Iterable[pa.RecordBatch], tokenizer_json: str, sequen
 
     waiting = 0
     for batch in batches:
-        names, texts = batch.column(0).to_pylist(), batch.column(1)
-        at = 0
-        while at < len(names):
-            some: list[str] = []
-            chars = 0
-            while at + len(some) < len(names) and chars < BATCH_CHARS:
-                some.append(texts[at + len(some)].as_py() or "")
-                chars += len(some[-1])
-            for key, b in zip(names[at:at + len(some)], encode(some)):
-                keys.append(key)
-                ids.append(b + end)
-                waiting += len(b) // 4 + 1
-                if waiting >= group_tokens:
-                    yield packed()
-                    waiting = 0
-            at += len(some)
+        for key, text in zip(batch.column(0).to_pylist(), batch.column(1)):
+            keys.append(key)
+            ids.append(encode([text.as_py() or ""])[0] + end)
+            waiting += len(ids[-1]) // 4
+            if waiting >= group_tokens:
+                yield packed()
+                waiting = 0
     if keys:
         yield packed()
 
