@@ -93,7 +93,7 @@ def pieces(text: str, chars: int) -> list[str]:
         cut = text.find(" ", at + chars)
         while cut >= 0 and (text[cut - 1].isspace() or text[cut + 1:cut + 2].isspace()):
             cut = text.find(" ", cut + 1)
-        if cut < 0:
+        if cut < 0 or cut + 1 == len(text):
             break
         out.append(text[at:cut])
         at = cut

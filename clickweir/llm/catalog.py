@@ -111,6 +111,18 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of a byte-level BPE's and a piece model's tokens over all documents."""
+    import public_tokenizers
+
+    from clickweir.llm.token_align import align
+
+    with open(public_tokenizers.path("piece_bpe_32k.model"), "rb") as f:
+        pieces = f.read()
+    return align(table(spark, sf_dir, "documents"), tokenizer_json(), pieces)
+
+
 @query
 def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What every document loses to documents with smaller ids."""
