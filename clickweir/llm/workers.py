@@ -28,7 +28,7 @@ def ship_package(spark: SparkSession) -> None:
         return
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     # only the driver reads this file; Spark serves it to the executors
-    target = os.path.join(tempfile.mkdtemp(prefix="clickweir-"), "clickweir-package.zip")
+    target = os.path.join(tempfile.mkdtemp(prefix="clickweir-"), "clickweir-code.zip")
     with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
         for folder, _, names in os.walk(root):
             for name in sorted(names):
