@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from clickweir.session import ship_package
+from clickweir.llm.workers import ship_package
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -111,6 +111,14 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+@query
+def op12_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults of all conversations after planted damage, and the cheapest edits that repair their roles."""
+    from clickweir.llm.turn_repair import damaged, repair, report
+
+    return report(repair(*damaged(table(spark, sf_dir, "conversations"))))
+
+
 @query
 def op13_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Groups and links of a byte-level BPE's and a piece model's tokens over all documents."""
