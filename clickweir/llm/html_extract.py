@@ -2,10 +2,11 @@
 
 The standard library's parser streams the events of a page, which are cut into lines, one
 per block of text. A line's ratio is its text outside links over its tags, 0 in elements
-that are not content by their tag, role, class or id. The ratios are smoothed by a
-Gaussian and cut at their standard deviation; the element that holds nearly all text of the
-upper cluster, and what little else stands beside it, is the content region. All its lines
-outside such elements are kept.
+that are not content by their tag, role or class. The ratios are smoothed by a
+Gaussian and cut at their standard deviation. The upper cluster decides three things: the element that holds nearly
+all of its text, and what little else stands beside it or in the same article, is the content region; where
+most of it stands in articles, so does the content; and an element whose class or id may mean a notice or just a
+topic is content where its lines are in the upper cluster and not mostly links. All other lines of the region are kept.
 """
 
 from __future__ import annotations
@@ -28,18 +29,22 @@ BLOCKS = frozenset("""address article aside blockquote body caption center dd de
     optgroup option p pre section summary table tbody td tfoot th thead title tr ul""".split())
 CONTAINERS = frozenset("article body center div html main section table td".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-NOT_CONTENT = frozenset("""aside button canvas datalist dialog fieldset footer form head iframe input label math menu
+NOT_CONTENT = frozenset("""aside button canvas datalist dialog fieldset footer form head iframe input menu
     meter nav noscript object optgroup option progress script select style svg template textarea title""".split())
 NOT_CONTENT_ROLES = frozenset("""alert alertdialog banner complementary contentinfo dialog form menu menubar navigation
     search toolbar""".split())
-# Words of a class or id: such an element is not content; of the second kind only outside an article
-# and where no word of the third kind stands with it.
-HARD = frozenset("""ad ads adsense adslot advert advertisement advertisements advertising adverts breadcrumb breadcrumbs comment
-    commentlist comments commenting consent cookie cookies disclaimer discussion disqus footer gdpr login modal navbar
-    navigation newsletter notice notices notification overlay pager pagination paywall popup promo promotion promotions
-    related recommended recommendations replies reply respond share sharing signup skip social sponsor
-    sponsored subscribe subscription tagcloud toolbar topbar widget widgets""".split())
-SOFT = frozenset("banner header masthead menu nav sidebar side topnav".split())
+# A class or id is judged token by token, by its words. A token of words of these kinds alone, with one of the first, means that an
+# element is not content; with one of the second, that it may not be. Fixed values, as is common on web pages.
+CERTAIN = frozenset("""ad ads adsense adslot advert advertisement advertisements adverts breadcrumb breadcrumbs comment
+    commentlist comments commenting consent cookie cookies disqus footer gdpr login modal navbar newsletter overlay pager
+    pagination paywall popup promo respond share sharing signup skip sponsored subscribe tagcloud toolbar topbar
+    widget widgets""".split())
+POSSIBLE = frozenset("""advertising disclaimer discussion navigation notice notices notification promotion promotions related
+    recommended recommendations replies reply response responses social sponsor subscription""".split())
+SOFT = frozenset("banner header masthead menu nav sidebar side topnav".split())     # certain outside articles only
+BESIDE_THEM = frozenset("""area article articles bar block body bottom box button buttons center column content entry form global
+    icons inner item items layout left line link links list main media more outer page panel post posts row section site slot
+    story text top right title wrapper wrap container""".split())
 CONTENT_WORDS = frozenset("article body content entry main page post story text wrapper container layout".split())
 # A start tag ends these open elements, up to the nearest element that may hold them.
 ENDS = {"li": ("li", ("ul", "ol", "menu", "dir")), "dt": ("dt dd", ("dl",)), "dd": ("dt dd", ("dl",)),
@@ -57,7 +62,24 @@ class Line:
     tags: int
     container: int
     content: bool
-    article: bool
+    article: int      # 2 inside an article, 1 inside the main element alone
+    doubtful: bool    # in an element that may not be content
+
+
+def standing(class_: str, id_: str, article: int) -> int:
+    """2 if an element of this class and id is content, 1 if it may be, 0 if not. Inside an article ids come from
+    titles, so they are no certain sign there."""
+    least = 2
+    for named, certain in ((class_, True), (id_, not article)):
+        for token in named.split():
+            words = {w.lower() for w in _WORDS.findall(token)}
+            alone = all(w in CERTAIN or w in POSSIBLE or w in SOFT or w in BESIDE_THEM or w.isdigit() for w in words)
+            soft = words & SOFT and not words & CONTENT_WORDS and not article
+            if alone and (words & CERTAIN or soft):
+                least = min(least, 0 if certain else 1)
+            elif alone and words & POSSIBLE or not article and (words & (CERTAIN | POSSIBLE) or soft):
+                least = min(least, 1)
+    return least
 
 
 class _Lines(HTMLParser):
@@ -65,8 +87,10 @@ class _Lines(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.lines: list[Line] = []
         self.parents = [-1]            # of containers; 0 is the page
-        self.open: list[tuple[str, bool, bool, int, bool]] = []   # tag, content, article, container, link
-        self.state = (True, False, 0, False)
+        self.articles = [False]        # whether a container is an article
+        # tag, content, article, container, link, doubtful
+        self.open: list[tuple[str, bool, int, int, bool, bool]] = []
+        self.state = (True, 0, 0, False, False)
         self.parts: list[str] = []
         self.linked = self.tags = 0
 
@@ -74,8 +98,8 @@ class _Lines(HTMLParser):
         if self.parts:
             text = " ".join("".join(self.parts).split())
             if text:
-                content, article, container, _ = self.state
-                self.lines.append(Line(text, self.linked, self.tags, container, content, article))
+                content, article, container, _, doubtful = self.state
+                self.lines.append(Line(text, self.linked, self.tags, container, content, article, doubtful))
                 self.tags = 0
             self.parts, self.linked = [], 0
 
@@ -83,22 +107,21 @@ class _Lines(HTMLParser):
         if any(tag in BLOCKS or not content for tag, content, *_ in self.open[at:]):
             self.flush()
         del self.open[at:]
-        self.state = self.open[-1][1:] if self.open else (True, False, 0, False)
+        self.state = self.open[-1][1:] if self.open else (True, 0, 0, False, False)
 
-    def is_content(self, tag: str, attrs, article: bool) -> bool:
+    def standing(self, tag: str, attrs, article: int) -> int:
         if tag in NOT_CONTENT or tag == "header" and not article:
-            return False
+            return 0
         if not attrs:
-            return True
+            return 2
         named = dict(attrs)
         if "hidden" in named or _HIDDEN.search(named.get("style") or "") or named.get("aria-hidden") == "true":
-            return False
+            return 0
         if (named.get("role") or "").lower() in NOT_CONTENT_ROLES:
-            return False
-        if tag in ("html", "body", "main", "article"):
-            return True
-        words = {w.lower() for key in ("class", "id") for w in _WORDS.findall(named.get(key) or "")}
-        return not (words & HARD or words & SOFT and not words & CONTENT_WORDS and not article)
+            return 0
+        if tag in ("html", "body", "main"):
+            return 2
+        return standing(named.get("class") or "", named.get("id") or "", article or 2 * (tag == "article"))
 
     def handle_starttag(self, tag, attrs) -> None:
         self.tags += 1
@@ -122,15 +145,16 @@ class _Lines(HTMLParser):
                     break
         if tag in VOID:
             return
-        content, article, container, link = self.state
-        inside = article or tag in ("article", "main") or ("role", "main") in attrs
-        ok = content and self.is_content(tag, attrs, article)
-        if content and not ok:
+        content, article, container, link, doubtful = self.state
+        inside = 2 if tag == "article" else max(article, tag == "main" or ("role", "main") in attrs)
+        found = self.standing(tag, attrs, article)
+        if content and not found or found == 1 and not doubtful and tag not in BLOCKS:
             self.flush()
         if tag in CONTAINERS:
             self.parents.append(container)
+            self.articles.append(tag == "article")
             container = len(self.parents) - 1
-        self.state = (ok, inside, container, link or tag == "a")
+        self.state = (content and found > 0, inside, container, link or tag == "a", doubtful or found == 1)
         self.open.append((tag, *self.state))
 
     def handle_startendtag(self, tag, attrs) -> None:
@@ -156,8 +180,8 @@ class _Lines(HTMLParser):
             self.linked += len(data.strip())
 
 
-def page_lines(html: str) -> tuple[list[Line], list[int]]:
-    """The lines of a page, and each container's parent."""
+def page_lines(html: str) -> tuple[list[Line], list[int], list[bool]]:
+    """The lines of a page, each container's parent, and whether it is an article."""
     last = html.rfind("<")
     if last > html.rfind(">") and (html[last + 1:last + 2].isalpha() or html[last + 1:last + 2] in ("", "/", "!", "?")):
         html = html[:last]      # a tag cut off by the end of the page
@@ -165,7 +189,7 @@ def page_lines(html: str) -> tuple[list[Line], list[int]]:
     parser.feed(html)
     parser.close()
     parser.flush()
-    return parser.lines, parser.parents
+    return parser.lines, parser.parents, parser.articles
 
 
 def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
@@ -176,16 +200,18 @@ def smoothed(ratio: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
 
 def main_text(html: str | None) -> str:
     """The content lines of a page, joined by line ends."""
-    lines, parents = page_lines(html or "")
+    lines, parents, articles = page_lines(html or "")
     if not any(line.content for line in lines):
         return ""
     size = np.array([len(x.text) for x in lines], "f8")
     content = np.array([x.content for x in lines])
     ratio = np.array([max(len(x.text) - x.linked, 0) / max(1, x.tags) if x.content else 0.0 for x in lines])
+    few_links = np.array([x.linked <= MOSTLY_LINKS * len(x.text) for x in lines])
+    in_article = np.array([x.article == 2 for x in lines])
     smooth = smoothed(ratio)
-    if any(x.article and x.content for x in lines):    # then content stands in articles alone
-        content &= np.array([x.article for x in lines])
     upper = content & (ratio > 0) & (smooth >= smooth.std())
+    content &= ~np.array([x.doubtful for x in lines]) | upper & few_links
+    upper &= content
     if not upper.any():
         upper = content
     held, all_text = np.zeros(len(parents)), np.zeros(len(parents))
@@ -196,15 +222,22 @@ def main_text(html: str | None) -> str:
         held[parents[k]] += held[k]
         all_text[parents[k]] += all_text[k]
     region = max(k for k in range(len(parents)) if held[k] >= NEARLY_ALL * held[0])   # the innermost, as they nest
-    while region and all_text[parents[region]] <= (1 + BESIDE) * all_text[region]:
-        region = parents[region]
+    around, k = None, region
+    while k >= 0:
+        around, k = (k if articles[k] else around), parents[k]
+    if around is not None:
+        region = around           # the whole of its outermost article
+    elif (size * (upper & in_article)).sum() >= held[0] / 2:
+        content &= in_article     # most of it stands in articles, more than one
+        region = 0
+    else:
+        while region and all_text[parents[region]] <= (1 + BESIDE) * all_text[region]:
+            region = parents[region]
     inside = np.zeros(len(parents), bool)
     inside[region] = True
     for k in range(region + 1, len(parents)):
         inside[k] = inside[parents[k]]
-    kept = (x.text for x, c in zip(lines, content) if c and inside[x.container]
-            and (x.article or x.linked <= MOSTLY_LINKS * len(x.text)))
-    return "\n".join(kept)
+    return "\n".join(x.text for x, c, few in zip(lines, content, few_links) if c and inside[x.container] and (x.article or few))
 
 
 def extract(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:

@@ -181,6 +181,45 @@ PAGES = [
     ("<article><header><h1>H</h1></header><p>b</p><footer>f</footer></article>", "H\nb")]
 
 
+P = "An ordinary paragraph of some length, which says one thing after another, and then stops."
+Q = "Another paragraph, no shorter than the one above it, goes on with what was said and ends."
+
+
+@pytest.mark.parametrize("html, text", [
+    (f'<article>{P}<section id="discussion">{Q}</section></article>', f"{P}\n{Q}"),
+    (f'<article>{P}<div class="social-policy">{Q}</div></article>', f"{P}\n{Q}"),
+    (f'<article><p id="notice-2">{Q}</p>{P}</article>', f"{Q}\n{P}"),
+    (f'<article>{P}<h2 id="related-work">Related work</h2>{Q}</article>', f"{P}\nRelated work\n{Q}"),
+    (f'<article>{P}<h2 id="cookies">Cookies</h2><p>{Q}</p></article>', f"{P}\nCookies\n{Q}"),
+    (f"<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> be a number. {P}</p></article>", f"Let x=2 be a number. {P}"),
+    (f"<article><p>{P} <label>Note</label></p></article>", f"{P} Note"),
+    (f'<article>{P}<article class="comment">{Q}</article></article>', P),
+    (f'<main><article>{P}</article><div id="responses"><article class="comment">{Q}</article></div></main>', P),
+    (f'<body><div class="social-policy">{P}</div></body>', P),
+    (f'<article>{P}<div class="related"><a href=1>One thing</a> <a href=2>Another thing of that kind</a></div></article>', P),
+    (f'<article>{P}<div class="cookie-banner">{Q}</div><div class="ad">{Q}</div><p>{Q}</p></article>', f"{P}\n{Q}"),
+    (f"<article><p>{P}</p></article><p>Terms.</p><article><p>{Q}</p></article>", f"{P}\n{Q}"),
+    (f'<article><p>{P}</p><ul><li>a</li><li><a href=x>b</a></li></ul></article>', f"{P}\na\nb")])
+def test_words_of_classes_and_ratios_decide_together(html, text):
+    assert main_text(html) == text
+
+
+def test_ratios_smoothing_and_threshold_by_hand():
+    """Lines of doubtful elements stay just where a plain computation puts them in the upper cluster."""
+    rng = np.random.default_rng(3)
+    for _ in range(200):
+        sizes, tags, marked = rng.integers(1, 200, 12), rng.integers(0, 6, 12), rng.random(12) < 0.4
+        html = "<article>" + "".join(f'<p{" class=notice" if m else ""}>{"<b>" * t}{chr(97 + i) * n}{"</b>" * t}</p>'
+                                     for i, (n, t, m) in enumerate(zip(sizes.tolist(), tags.tolist(), marked))) + "</article>"
+        ratio = [n / (1 + t + (i == 0)) for i, (n, t) in enumerate(zip(sizes.tolist(), tags.tolist()))]
+        weight = [np.exp(-d * d / 2) for d in range(-3, 4)]
+        smooth = [sum(w * ratio[i + d] for w, d in zip(weight, range(-3, 4)) if 0 <= i + d < 12) / sum(weight) for i in range(12)]
+        mean = sum(smooth) / 12
+        bound = (sum((x - mean) ** 2 for x in smooth) / 12) ** 0.5
+        expected = [chr(97 + i) * n for i, n in enumerate(sizes.tolist()) if not marked[i] or smooth[i] >= bound]
+        assert main_text(html).split("\n") == expected
+
+
 @pytest.mark.parametrize("html, text", PAGES)
 def test_main_text(html, text):
     assert main_text(html) == text
