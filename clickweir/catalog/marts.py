@@ -13,6 +13,8 @@ from clickweir.plans import exploration, marts, serving
 from clickweir.schema import CAMPAIGN_COLUMNS, EVENT_COLUMNS, EVENT_TYPES
 from clickweir.session import scratch_path, stored
 from clickweir.sources import tables
+from clickweir.sources.driver_tables import ad_events_stream
+from clickweir.streaming import jobs
 
 _DAY = "CAST(event_date AS VARCHAR) AS event_date"
 _KEYS = f"{_DAY}, site_id, site_domain, site_category, CAST(device_type AS BIGINT) AS device_type"
@@ -211,6 +213,14 @@ def _(spark, d):
     return joined.select("id", "event_time", "window_start", "impressions", "clicks", "ctr")
 
 
+def stored_minutes(spark, d, path: str | None = None):
+    """The one-minute stream run with its sink, and the table it has written."""
+    path = path or scratch_path(spark, "metrics")
+    frame = jobs.ctr_metrics_stream(ad_events_stream(spark, d), ONE_MINUTE)
+    jobs.StreamRun(frame, jobs.versions_sink(path), scratch_path(spark, "progress"), "update").catch_up()
+    return jobs.read_metrics(spark, path, frame.schema)
+
+
 @query("batch_vs_stream_reconcile", """SELECT hour_start, coalesce(b.clicks, 0) AS batch_clicks, coalesce(s.clicks, 0) AS stream_clicks,
 coalesce(b.events, 0) AS batch_events, coalesce(s.events, 0) AS stream_events,
 coalesce(b.clicks, 0) - coalesce(s.clicks, 0) AS clicks_diff,
@@ -220,26 +230,28 @@ FROM (SELECT CAST(event_hour_timestamp AS TIMESTAMP) AS hour_start, CAST(sum(tot
 FULL JOIN (SELECT date_trunc('hour', window_start) AS hour_start, CAST(sum(clicks) AS BIGINT) AS clicks,
       CAST(sum(clicks + impressions) AS BIGINT) AS events FROM m1 GROUP BY 1) s USING (hour_start)""")
 def _(spark, d):
-    """Hourly batch totals against window totals of the unfiltered stream."""
+    """Hourly batch totals against the windows that the one-minute stream has stored."""
     batch = frames.hourly(spark, d).groupBy(
         F.col("event_hour_timestamp").cast("timestamp_ntz").alias("hour_start")).agg(
         F.sum("total_clicks").alias("clicks"), F.sum("total_impressions").alias("events"))
-    metrics = frames.metrics_1min(spark, d)
+    metrics = stored_minutes(spark, d)
     stream = metrics.groupBy(F.window("window_start", "1 hour")["start"].alias("hour_start")).agg(
         F.sum("clicks").alias("clicks"), F.sum(F.col("clicks") + F.col("impressions")).alias("events"))
     return joins.batch_vs_stream_reconcile(batch, stream, "hour_start")
 
 
-@query("materialize_table", f"""SELECT {_DAY}, count(*) AS n_rows, CAST(sum(total_clicks) AS BIGINT) AS clicks
-FROM hourly GROUP BY 1""")
+@query("materialize_table", f"""SELECT {_KEYS}, event_hour_timestamp, total_impressions, total_clicks, ctr_percentage, clicks_count,
+impressions_count, has_clicks, no_clicks, 1 AS loaded FROM hourly""")
 def _(spark, d):
-    """Hourly table written by day, one day refreshed again, read back."""
-    path = scratch_path(spark, "hourly")
-    table = tables.materialize_table(frames.hourly(spark, d), path, loaded_at="loaded_at")
-    day = frames.hourly(spark, d).where("event_date = DATE '2024-01-10'")
+    """Hourly table written by day; one day, which was written wrong, is redone from the staging of that day alone."""
+    staging, path = scratch_path(spark, "staging"), scratch_path(spark, "hourly")
+    staged = tables.materialize_table(frames.staged_for_marts(spark, d), staging)
+    wrong = staged.where("event_date <> DATE '2024-01-10' OR click = 1")
+    table = tables.materialize_table(marts.hourly_agg(wrong), path, loaded_at="loaded_at")
+    day = marts.hourly_agg(staged.where("event_date = DATE '2024-01-10'"))
     tables.materialize_table(day, path, loaded_at="loaded_at", refresh="partitions")
-    return spark.read.schema(table.schema).parquet(path).groupBy("event_date").agg(
-        F.count("loaded_at").alias("n_rows"), F.sum("total_clicks").alias("clicks"))
+    return spark.read.schema(table.schema).parquet(path) \
+        .withColumn("loaded", F.col("loaded_at").isNotNull().cast("int")).drop("loaded_at")
 
 
 @query("ctr_bounds", """SELECT count(*) AS n_rows, min(daily_ctr_percentage) AS min_ctr,

@@ -156,7 +156,7 @@ def _(spark, d):
     return serving.alert_low_ctr(frames.facts(spark, d))
 
 
-def _stored_events(spark, d) -> str:
+def stored_events(spark, d) -> str:
     """The raw table as its sink writes it, stamped with the event time so that rows can expire."""
     path = scratch_path(spark, "retention")
     events = ad_events_stream(spark, d)
@@ -173,25 +173,19 @@ def _stored_events(spark, d) -> str:
 FROM ad WHERE event_time >= TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY""")
 def _(spark, d):
     """A stored table after its clean-up: whole folders dropped, mixed ones rewritten."""
-    path = _stored_events(spark, d)
+    path = stored_events(spark, d)
     serving.retention_cleanup(spark, path, "2024-01-30 12:00:00", days=15)
     return spark.read.parquet(path).select("event_date", "id", F.col("event_time").cast("timestamp_ntz").alias("event_time"))
 
 
-_OLD = "event_time < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY"
+OLD = "event_time < TIMESTAMP '2024-01-30 12:00:00' - INTERVAL 15 DAY"
 
 
-@query("retention_split", f"""SELECT count(*) FILTER ({_OLD}) AS deleted_rows, count(*) FILTER (NOT {_OLD}) AS kept_rows FROM ad""")
+@query("retention_split", f"""SELECT count(*) FILTER ({OLD}) AS deleted_rows, count(*) FILTER (NOT {OLD}) AS kept_rows FROM ad""")
 def _(spark, d):
     return serving.retention_split(frames.ads(spark, d), "2024-01-30 12:00:00", 15, "event_time")
 
 
-@query("maintenance_report", f"""SELECT 'cleanup_events' AS step, CAST(count(*) FILTER ({_OLD}) AS VARCHAR) AS details FROM ad
-UNION ALL SELECT 'status', 'Maintenance completed'""")
-def _(spark, d):
-    return serving.maintenance(spark, _stored_events(spark, d), "2024-01-30 12:00:00", 15)
-
-
 @query("dq_freshness_today", "SELECT count(*) AS rows_today FROM ad WHERE event_time >= TIMESTAMP '2024-01-30 00:00:00'")
 def _(spark, d):
     return quality.freshness_today(frames.ads(spark, d), "event_time", "2024-01-30 18:00:00")

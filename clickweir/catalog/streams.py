@@ -91,10 +91,10 @@ def _(spark, d):
 
 
 _COLUMNS = [f.name for f in EVENT_SCHEMA.fields]
-_RAW = f"""SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, {', '.join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in _COLUMNS)}, event_time, 1 AS stamped FROM ad"""
+RAW = f"""SELECT CAST(CAST(event_time AS DATE) AS VARCHAR) AS event_date, {', '.join(f'CAST("{c}" AS VARCHAR) AS "{c}"' for c in _COLUMNS)}, event_time, 1 AS stamped FROM ad"""
 
 
-def _raw_rows(spark, path) -> DataFrame:
+def raw_rows(spark, path) -> DataFrame:
     """All columns as text, the event time, and whether both write stamps are there."""
     table = spark.read.option("basePath", path).parquet(path)
     stamped = (F.col("created_at").isNotNull() & F.col("updated_at").isNotNull()).cast("int")
@@ -102,14 +102,14 @@ def _raw_rows(spark, path) -> DataFrame:
                         F.col("event_time").cast("timestamp_ntz").alias("event_time"), stamped.alias("stamped"))
 
 
-@query("sink_raw_events", _RAW)
+@query("sink_raw_events", RAW)
 def _(spark, d):
     """Two jobs, each with its own checkpoint, write the clicks and the rest to one table."""
     path = scratch_path(spark, "sink")
     for clicks in (True, False):
         part = ad_events_stream(spark, d).where((F.col("click") == 1) == F.lit(clicks))
         jobs.StreamRun(part, jobs.raw_events_sink(path), scratch_path(spark, "progress")).catch_up()
-    return _raw_rows(spark, path)
+    return raw_rows(spark, path)
 
 
 @query("stream_source", "SELECT event_type, count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS user_sum FROM events GROUP BY 1")
@@ -163,11 +163,11 @@ def _deliver(spark, d, build, sink, mode):
     return sink_path, frame, path
 
 
-@query("exactly_once_checkpoint", _RAW)
+@query("exactly_once_checkpoint", RAW)
 def _(spark, d):
     """Three deliveries, the job stopped and restarted between them: every event once."""
     path, _, _ = _deliver(spark, d, lambda s: s, jobs.raw_events_sink, "append")
-    return _raw_rows(spark, path)
+    return raw_rows(spark, path)
 
 
 def _late(spark, d):

@@ -6,13 +6,16 @@ that prunes partitions and reaches the Parquet scan.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+from types import MappingProxyType
 from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from clickweir.functions.ratios import ctr_batch, ratio_2dp
 from clickweir.session import delete_path, stored
-from clickweir.sources.tables import leaf_folders
+from clickweir.sources.compaction import compact
+from clickweir.sources.tables import compact_versions, leaf_folders, versions_schema
 
 # --- fixed values: how long cached metrics live, alert limits -------------------
 TTL_MINUTES = {"1min": 5, "5min": 25}
@@ -204,17 +207,29 @@ def retention_cleanup(spark: SparkSession, path: str, as_of, days: int = RETENTI
     return sum(r["old"] for r in affected)
 
 
-def maintenance(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS,
-                column: str = "created_at") -> DataFrame:
-    """Run the clean-up of a stored table and report its steps."""
+def optimize_tables(spark: SparkSession, path: str, as_of, metrics: Mapping[str, tuple[str, T.StructType]] = MappingProxyType({}),
+                    name: str = "ad_events") -> DataFrame:
+    """Compact the closed days of the raw table and of tables of metric versions, given by name with their path
+    and the schema of their rows; (table_name, status) rows."""
+    day = str(as_of)[:10]
+    compact(spark, path, before=day)
+    for at, schema in metrics.values():
+        compact_versions(spark, at, versions_schema(schema), ["window_start"], day)
+    return spark.range(1).select(F.explode(F.array(*[F.lit(n) for n in (name, *metrics)])).alias("table_name"),
+                                 F.lit("Optimized").alias("status"))
+
+
+def maintenance(spark: SparkSession, path: str, as_of, days: int = RETENTION_DAYS, column: str = "created_at",
+                metrics: Mapping[str, tuple[str, T.StructType]] = MappingProxyType({})) -> DataFrame:
+    """Clean up the raw table, optimise it and the metric tables, and report the steps."""
     deleted = retention_cleanup(spark, path, as_of, days, column)
-    return maintenance_report(spark.range(1).select(F.lit(deleted).alias("deleted_rows")))
+    optimized = optimize_tables(spark, path, as_of, metrics)
+    return maintenance_report(spark.range(1).select(F.lit(deleted).alias("deleted_rows")), optimized)
 
 
-def maintenance_report(deleted: DataFrame) -> DataFrame:
-    """(step, details) rows of a maintenance run from its `deleted_rows` count."""
-    steps = F.array(
-        F.struct(F.lit("cleanup_events").alias("step"),
-                 F.col("deleted_rows").cast("string").alias("details")),
-        F.struct(F.lit("status").alias("step"), F.lit("Maintenance completed").alias("details")))
-    return deleted.select(F.inline(steps))
+def maintenance_report(deleted: DataFrame, optimized: DataFrame | None = None) -> DataFrame:
+    """(step, details) rows of a maintenance run from its `deleted_rows` count and the status of each optimised table."""
+    step = deleted.select(F.lit("cleanup_events").alias("step"), F.col("deleted_rows").cast("string").alias("details"))
+    if optimized is not None:
+        step = step.unionAll(optimized.select(F.lit("optimize_tables"), "status"))
+    return step.unionAll(deleted.select(F.lit("status"), F.lit("Maintenance completed")))

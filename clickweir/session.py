@@ -102,3 +102,20 @@ def delete_path(spark: SparkSession, path: str) -> bool:
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
     return fs.delete(hadoop_path, True)
+
+
+def list_path(spark: SparkSession, path: str) -> list[str]:
+    """Paths of what lies in a folder."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return [str(f.getPath().toString()) for f in fs.listStatus(hadoop_path)]
+
+
+def move_path(spark: SparkSession, path: str, target: str) -> None:
+    """Rename within a file system; the folder above the target is made."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    source, to = hadoop_path(path), hadoop_path(target)
+    fs = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(to.getParent())
+    if not fs.rename(source, to):
+        raise OSError(f"cannot move {path} to {target}")

@@ -16,7 +16,7 @@ from clickweir.operators.windows import (FIVE_MINUTES, ONE_MINUTE, assemble_brea
                                          dimension_counts, flatten_window, tumbling_counts,
                                          tumbling_ctr)
 from clickweir.functions.ratios import ctr_stream
-from clickweir.sources.tables import insert_if_absent, latest_versions, read_batches, write_batch
+from clickweir.sources.tables import insert_if_absent, latest_versions, read_batches, versions_schema, write_batch
 
 # --- fixed values: lateness and trigger interval ---------------------------------
 LATENESS = "10 seconds"
@@ -108,12 +108,6 @@ def versions_sink(path: str, day_of: str = "window_start") -> Callable:
     return write
 
 
-def versions_schema(schema: T.StructType) -> T.StructType:
-    """Columns of a table that a `versions_sink` writes, for rows of `schema`."""
-    return T.StructType([*schema.fields, T.StructField("written_at", T.TimestampType()),
-                         T.StructField("metric_date", T.DateType())])
-
-
 def read_metrics(spark: SparkSession, path: str, schema, keys: Sequence[str] = ("window_start",)) -> DataFrame:
     """Newest version of every window a `versions_sink` wrote."""
     return latest_versions(read_batches(spark, path, versions_schema(schema)).drop("metric_date"), keys)
