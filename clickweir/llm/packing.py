@@ -20,6 +20,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
 from clickweir.llm.byte_bpe import shared
+from clickweir.llm.workers import releasing
 
 SEQUENCE = 1024          # tokens of a sequence; a power of two
 GROUP_TOKENS = 1 << 20   # tokens that a task packs together
@@ -122,5 +123,5 @@ def pack(docs: DataFrame, tokenizer_json: str, id_col: str = "doc_id", text_col:
         raise ValueError("sequence must be a power of two")
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     return docs.select(F.col(id_col).cast("bigint"), F.col(text_col).cast("string")).mapInArrow(
-        lambda batches: _pack_batches(batches, tokenizer_json, sequence, group_tokens, linear, quadratic, with_ids),
+        releasing(lambda batches: _pack_batches(batches, tokenizer_json, sequence, group_tokens, linear, quadratic, with_ids)),
         schema)

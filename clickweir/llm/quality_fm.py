@@ -9,6 +9,7 @@ linear time as half of (sum of v*x) squared less the sum of (v*x) squared.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,7 @@ FACTORS = 8
 STEPS = 80
 LEARNING_RATE = 0.05
 DECAY = 1e-4
+KEPT_POWERS = 1 << 18
 STATISTICS = ("bytes", "words", "word length", "upper-case", "digits", "line ends", "marks", "symbols",
               "distinct words", "words repeated at once", "most frequent word", "words without letter",
               "given length", "given length by bytes")
@@ -37,14 +39,25 @@ _ODD = 0x9E3779B97F4A7C15                        # an odd multiplier has an inve
 _BACK = pow(_ODD, -1, 1 << 64)
 
 
-def _powers(base: int, n: int, _known: dict = {}) -> np.ndarray:  # noqa: B006
-    """base**0, base**1, ... modulo 2**64; kept, as every piece needs them."""
-    have = _known.get(base)
-    if have is None or len(have) < n:
-        out = np.full(max(n, 1 << 20), base, "u8")
-        out[0] = 1
-        have = _known[base] = np.multiply.accumulate(out)
-    return have[:n]
+@lru_cache(maxsize=6)
+def _first_powers(base: int) -> np.ndarray:
+    out = np.full(KEPT_POWERS, base, "u8")
+    out[0] = 1
+    return np.multiply.accumulate(out)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    """base**0, base**1, ... modulo 2**64. Only so many as an ordinary piece needs are kept."""
+    first = _first_powers(base)
+    if n <= len(first):
+        return first[:n]
+    step = np.uint64(pow(base, KEPT_POWERS, 1 << 64))
+    out = np.empty(n, "u8")
+    out[:KEPT_POWERS] = first
+    for at in range(KEPT_POWERS, n, KEPT_POWERS):
+        size = min(KEPT_POWERS, n - at)
+        np.multiply(out[at - KEPT_POWERS:at - KEPT_POWERS + size], step, out=out[at:at + size])
+    return out
 
 
 def words(data: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:

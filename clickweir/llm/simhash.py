@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweir.llm.components import connected_components
+from clickweir.llm.workers import releasing
 from clickweir.session import stored
 
 SHINGLE = 3
@@ -53,7 +54,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     text = F.col(text_col).cast("string")
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.xxhash64(text).alias("tie"), text).mapInArrow(
-        run, "doc_id bigint, tie bigint, fp bigint")
+        releasing(run), "doc_id bigint, tie bigint, fp bigint")
 
 
 def _masks(bits: list[int], blocks: int = 6) -> list[int]:
@@ -146,7 +147,7 @@ def links(prints: DataFrame, hot_key: int = HOT_KEY) -> DataFrame:
             F.col("s.choice").cast("bigint").alias("c2"), F.col("s.key").alias("k2"), "fp"]
     by = ["c1", "k1", "c2", "k2"]
     return (keyed.select(*keys).repartition(*by).sortWithinPartitions(*by)
-            .mapInArrow(_link_sorted, "a bigint, b bigint"))
+            .mapInArrow(releasing(_link_sorted), "a bigint, b bigint"))
 
 
 def _parts(prints: DataFrame, hot_key: int) -> DataFrame:

@@ -24,6 +24,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweir.llm.quality_fm import running_hash, stretch_hashes, words
 from clickweir.llm.utf8 import LOWER, pieces
+from clickweir.llm.workers import releasing
 from clickweir.session import stored
 
 LEARNED_ROWS = 6000     # labelled texts that are learned from: those of the smallest id hashes
@@ -76,7 +77,7 @@ def gram_counts(texts: DataFrame) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["gram", "n"])
 
-    got = (texts.mapInArrow(run, "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow())
+    got = (texts.mapInArrow(releasing(run), "gram bigint, n bigint").groupBy("gram").agg(F.sum("n").alias("n")).toArrow())
     out = np.zeros(1 << 20, "i8")       # 32**4 at most
     out[got["gram"].to_numpy()] = got["n"].to_numpy()
     return out
@@ -429,7 +430,7 @@ def _sample(docs: DataFrame, labels: DataFrame, learn: Column, id_col, text_col,
                 yield pa.RecordBatch.from_arrays([pa.array(docs[part][text]), pa.array(labels[part][text]),
                                                   pa.array(h.view("i8"))], ["doc", "label", "hash"])
 
-    pairs = stored(sample.mapInArrow(run, "doc bigint, label double, hash bigint"), "evidence")
+    pairs = stored(sample.mapInArrow(releasing(run), "doc bigint, label double, hash bigint"), "evidence")
     # what fewer than two toxic texts have, or mostly others, is none
     some = (pairs.groupBy("hash").agg(F.sum("label").alias("toxic"), F.count("*").alias("n"))
             .filter("toxic >= 2 and toxic >= 0.5 * n").select("hash"))
@@ -473,4 +474,4 @@ def score(docs: DataFrame, labels: DataFrame, learn: Column, id_col: str = "doc_
     names = ["doc_id", "score", *(["restored"] if with_text else []), *keep]     # `keep` may repeat the others
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string").alias("given text"),
                        *[F.col(k).alias(f"kept {k}") for k in own]).mapInArrow(
-        run, ", ".join(f"c{i} {t}" for i, t in enumerate(types))).toDF(*names)
+        releasing(run), ", ".join(f"c{i} {t}" for i, t in enumerate(types))).toDF(*names)

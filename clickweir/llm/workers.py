@@ -7,6 +7,8 @@ import os
 import tempfile
 import zipfile
 from collections.abc import Callable, Iterable, Iterator
+from functools import wraps
+from inspect import signature
 
 import pyarrow as pa
 from pyspark.sql import SparkSession
@@ -56,3 +58,15 @@ def releasing(fn: Callable[[Iterable[pa.RecordBatch]], Iterator[pa.RecordBatch]]
         finally:
             give_back()
     return run
+
+
+def frees(fn):
+    """`fn` of a group, with memory given back behind each."""
+    @wraps(fn)
+    def run(*args):
+        try:
+            return fn(*args)
+        finally:
+            give_back()
+    run.__signature__ = signature(fn)
+    return run
