@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, functions as F
 from clickweir.llm.quality_fm import _powers
 from clickweir.llm.suffix_runs import CONTEXT, REACH, WINDOW, Anchors, Run, anchors, context_order, contexts, merge, squeeze, unsqueeze
 from clickweir.llm.utf8 import pieces
+from clickweir.llm.workers import frees
 from clickweir.session import stored
 
 BUCKET_BYTES = 4 << 20
@@ -204,13 +205,29 @@ def _send_contexts(bucket: _Bucket, bits: int, ranges: int):
         yield LOCAL, -1, squeeze(*_joined(local))
 
 
-def _removed_windows(runs: list[Run]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(run, row, window start) of the windows that a smaller id has, from merged contexts."""
+def _same_windows(key: np.ndarray, group: np.ndarray, left: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order in which equal (group, left side) stand together, and where each such run begins. `left` has the bytes
+    as words; `key` is a hash of both, which decides unless two that differ share it."""
+    order = np.argsort(key, kind="stable")
+    new = np.r_[True, np.diff(key[order]) != 0]
+    lead = order[np.flatnonzero(new)][np.cumsum(new) - 1]
+    if (group[order] != group[lead]).any() or (left[order] != left[lead]).any():
+        order = np.lexsort((*left.T, group))
+        new = np.r_[True, (np.diff(group[order]) != 0) | (left[order][1:] != left[order][:-1]).any(axis=1)]
+    return order, new
+
+
+def _removed_windows(runs: list[Run], mix: int = 0xBF58476D1CE4E5B9) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(run, row, window start) of the windows that a smaller id has, from merged contexts. `mix` spreads the hashes of left sides."""
     of, place, strings, share = merge(runs)
     flat = np.concatenate([[0], np.cumsum([len(r.doc) for r in runs])])[of] + place
     doc, row, first, before, number = (np.concatenate([getattr(r, f) for r in runs])[flat]
                                        for f in ("doc", "row", "first", "before", "windows"))
-    back = np.frombuffer(b"".join(strings), "u1").reshape(-1, CONTEXT)[:, WINDOW:].astype("u8") + np.uint64(1)
+    sides = np.frombuffer(b"".join(strings), "u1").reshape(-1, CONTEXT)[:, WINDOW:]
+    back = sides.astype("u8") + np.uint64(1)
+    padded = np.zeros((len(sides), -(-sides.shape[1] // 8) * 8), "u1")
+    padded[:, :sides.shape[1]] = sides
+    side_words = padded.view("<u8")
     left = np.zeros(len(doc), "u8")        # hash of the bytes before the anchor, as far as `o`
     before, number = before.astype("i8"), number.astype("i8")
     out = []
@@ -220,13 +237,14 @@ def _removed_windows(runs: list[Run]) -> tuple[np.ndarray, np.ndarray, np.ndarra
         some = np.flatnonzero((before >= o) & (before - number < o))
         if len(some):
             key = (group[some] * np.uint64(0x9E3779B97F4A7C15)) ^ left[some]
-            order = np.argsort(key, kind="stable")
-            new = np.r_[True, np.diff(key[order]) != 0]
+            mask = np.zeros(padded.shape[1], "u1")
+            mask[:o] = 255
+            order, new = _same_windows(key, group[some], side_words[some] & mask.view("<u8"))
             least = np.minimum.reduceat(doc[some][order], np.flatnonzero(new))[np.cumsum(new) - 1]
             late = some[order][doc[some][order] > least]
             out.append((of[late], row[late], (first + before - o)[late].astype("i4")))
         if o < REACH:
-            left = left * np.uint64(0xBF58476D1CE4E5B9) + back[:, o]
+            left = left * np.uint64(mix) + back[:, o]
             left ^= left >> np.uint64(29)
     return tuple(_joined(out)) if out else (np.zeros(0, "i4"),) * 3
 
@@ -336,22 +354,27 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def back(df: DataFrame, kind: int) -> DataFrame:
         return copies.union(df.select("bucket", F.lit(kind), F.lit(None).cast("bigint"), none, "data"))
 
+    @frees
     def send_prints(key, left, right):
         found = _send_prints(_Bucket(left, right), bits, ranges)
         return _rows(((p, key[0].as_py(), d) for p, d in found), part=pa.int64(), bucket=pa.int64(), data=pa.binary())
 
+    @frees
     def find_alive(key, table):
         return _rows(_find_alive(table), bucket=pa.int64(), data=pa.binary())
 
+    @frees
     def send_contexts(key, left, right):
         own = key[0].as_py()
         found = _send_contexts(_Bucket(left, right), bits, ranges)
         return _rows(((own if k == LOCAL else p, own, k, d) for k, p, d in found),
                      part=pa.int64(), bucket=pa.int64(), kind=pa.int32(), data=pa.binary())
 
+    @frees
     def decide(key, table):
         return _rows(_decide(table), bucket=pa.int64(), data=pa.binary())
 
+    @frees
     def remove(key, left, right):
         b = _Bucket(left, right)
         out = _remove(b, with_text)

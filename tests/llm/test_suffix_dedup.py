@@ -119,6 +119,23 @@ def test_loser_tree_merges_front_coded_runs(k):
     assert [runs[r].strings()[p] for r, p in zip(of, place)] == strings
 
 
+def test_left_sides_of_one_hash_are_told_apart():
+    """Without the multiplier most left sides share their hash; the windows found stay the same."""
+    rng = np.random.default_rng(7)
+    runs = []
+    for k in range(3):
+        rows = np.zeros((4000, CONTEXT), "u1")
+        rows[:, WINDOW:] = rng.integers(0, 2, (len(rows), CONTEXT - WINDOW)) * (rng.random((len(rows), 1)) < 0.7)
+        rows[:, 40] = rng.integers(0, 2, len(rows))
+        rows = rows[np.lexsort(rows.T[::-1])]
+        n = len(rows)
+        before = rng.integers(0, REACH + 1, n).astype("u1")
+        runs.append(Run.of(rows, rng.integers(0, 50, n).astype("<i8"), np.arange(n).astype("<i4"), np.full(n, 100, "<i4"), before,
+                           np.minimum(before + 1, rng.integers(1, 26, n)).astype("u1")))
+    found = [sorted(zip(*(x.tolist() for x in suffix_dedup._removed_windows(runs, **mix)))) for mix in ({}, {"mix": 0})]
+    assert found[0] == found[1] and len(found[0]) > 1000
+
+
 def test_squeezed_columns_come_back():
     a, b = np.array([1, 2 ** 40, 3], "<u8"), np.array([7, 8, 9], "u1")
     x, y = unsqueeze(squeeze(a, b), "<u8", "u1")
