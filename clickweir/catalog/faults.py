@@ -8,19 +8,17 @@ from clickweir.catalog import frames
 from clickweir.catalog.registry import query
 from clickweir.catalog.sql import STAMP, ratio
 from clickweir.plans import faults
+from clickweir.schema import EVENT_COLUMNS, EVENT_TYPES
 from clickweir.session import scratch_path
 from clickweir.sources import tables
 from clickweir.sources.event_files import CORRUPT
 
 _ISO = STAMP.replace(" ", "T") + ".000000"
-_MESSAGE = """concat('{"id":', n, ',"click":', click, ',"hour":', coalesce(CAST(hour AS VARCHAR), 'null'),
-',"banner_pos":', banner_pos, ',"site_id":', coalesce('"' || site_id || '"', 'null'), ',"retry_count":', retry_count,
-',"last_error":"', last_error, '","error_history":["', last_error, '"]}')"""
 _RAW = """concat('{"raw_value":"', replace(broken_text, '"', '\\"'), '"}')"""
-_ENVELOPE = f"""concat('{{"original_message":', CASE WHEN broken THEN {_RAW} ELSE {_MESSAGE} END,
+_ENVELOPE = f"""concat('{{"original_message":', CASE WHEN broken THEN {_RAW} ELSE message END,
 ',"sent_to_dlq_at":"{_ISO}","reason":"', replace(reason, '"', '\\"'), '"}}')"""
 _DLQ = "routed WHERE action = 'dlq'"
-_ID = "CASE WHEN broken THEN 'unknown' ELSE CAST(n AS VARCHAR) END"
+_ID = "CASE WHEN broken THEN 'unknown' ELSE id END"
 
 
 def _dead_letters(spark, d):
@@ -34,11 +32,25 @@ def _dead_letters(spark, d):
     return faults.dlq_parse(messages)
 
 
-@query("retry_router", f"""SELECT n, event_time, CAST(next_retry_count AS BIGINT) AS next_retry_count, action, backoff_ms,
+_FIELDS = ", ".join(f"CASE WHEN NOT broken THEN CAST({c} AS BIGINT) END AS {c}" if EVENT_TYPES[c] == "int" else f"CASE WHEN NOT broken THEN {c} END AS {c}"
+                    for c in EVENT_COLUMNS)
+_DECODED = f"""{_FIELDS}, CASE WHEN NOT broken THEN CAST(retry_count AS BIGINT) END AS retry_count, CASE WHEN NOT broken THEN last_error END AS last_error,
+CASE WHEN NOT broken THEN last_error END AS error_history"""
+_EVENT = [*EVENT_COLUMNS, "retry_count", "last_error"]
+
+
+@query("retry_decode", f"SELECT n, {_DECODED}, CASE WHEN broken THEN broken_text ELSE message END AS payload_text, broken_text AS corrupt FROM retry")
+def _(spark, d):
+    """All fields of all messages, and the text of those that are no JSON."""
+    rows = faults.retry_decode(frames.retry_messages(spark, d))
+    return rows.select("n", *_EVENT, F.array_join("error_history", "|").alias("error_history"), "payload_text", F.col(CORRUPT).alias("corrupt"))
+
+
+@query("retry_router", f"""SELECT n, {_DECODED}, event_time, CAST(next_retry_count AS BIGINT) AS next_retry_count, action, backoff_ms,
 TIMESTAMP '{STAMP}' + to_milliseconds(backoff_ms) AS next_attempt_at, reason FROM routed""")
 def _(spark, d):
-    return frames.routed(spark, d).select("n", "event_time", "next_retry_count", "action", "backoff_ms",
-                                          "next_attempt_at", "reason")
+    return frames.routed(spark, d).select("n", *_EVENT, F.array_join("error_history", "|").alias("error_history"), "event_time",
+                                          "next_retry_count", "action", "backoff_ms", "next_attempt_at", "reason")
 
 
 @query("retry_decode_dlq", "SELECT n, event_time, reason FROM routed WHERE broken")
@@ -67,17 +79,15 @@ def _(spark, d):
     return spark.read.option("basePath", path).parquet(path).select(*rows.columns)
 
 
-@query("dlq_daily_log", f"""SELECT CAST(CAST(TIMESTAMP '{STAMP}' AS DATE) AS VARCHAR) AS log_date, reason AS error_reason, count(*) AS n_rows,
-count(DISTINCT {_ID}) AS n_messages FROM {_DLQ} GROUP BY 1, 2""")
+@query("dlq_daily_log", f"""SELECT {_ID} AS message_id, TIMESTAMP '{STAMP}' AS "timestamp", {_ENVELOPE} AS content, reason AS error_reason,
+CAST(CAST(TIMESTAMP '{STAMP}' AS DATE) AS VARCHAR) AS log_date FROM {_DLQ}""")
 def _(spark, d):
     """JSON-lines log by day, read back."""
     path = scratch_path(spark, "dlq_log")
     for _ in range(2):
         tables.dlq_daily_log(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), path, 0, run="a")
-    log = spark.read.schema("message_id string, timestamp timestamp, content string, error_reason string, "
-                            "log_date date").json(path)
-    return log.groupBy("log_date", "error_reason").agg(
-        F.count("*").alias("n_rows"), F.count_distinct("message_id").alias("n_messages"))
+    return spark.read.schema("message_id string, timestamp timestamp, content string, error_reason string, "
+                             "log_date date").json(path).drop("run", "batch_id")
 
 
 @query("dlq_alert_rows", f"SELECT {_ID} AS message_id, reason, '{_ISO}' AS sent_to_dlq_at FROM {_DLQ}")
@@ -96,7 +106,7 @@ def _(spark, d):
     return faults.retry_eligibility(rows, "last_error").select("n", "last_error", "retry_count", "eligible")
 
 
-@query("dlq_replay", f"""SELECT CAST(n AS VARCHAR) AS key, {_MESSAGE} AS value FROM retry WHERE NOT broken AND {_ELIGIBLE}""")
+@query("dlq_replay", f"""SELECT id AS key, message AS value FROM retry WHERE NOT broken AND {_ELIGIBLE}""")
 def _(spark, d):
     """Dead letters stored with their last error; eligible ones go back to the stream."""
     rows = faults.retry_decode(frames.retry_messages(spark, d)).where(F.col(CORRUPT).isNull())
@@ -108,7 +118,7 @@ def _(spark, d):
 
 @query("retry_recovered", """SELECT CAST(id AS VARCHAR) AS id, CAST(click AS BIGINT) AS click, NULL::BIGINT AS was_retried,
 NULL::BIGINT AS retry_count FROM ad UNION ALL
-SELECT CAST(n AS VARCHAR), CAST(click AS BIGINT), 1, CAST(next_retry_count AS BIGINT) FROM routed WHERE action = 'retry'""")
+SELECT id, CAST(click AS BIGINT), 1, CAST(next_retry_count AS BIGINT) FROM routed WHERE action = 'retry'""")
 def _(spark, d):
     recovered = frames.routed(spark, d).where("action = 'retry'").select(
         "id", "click", F.col("next_retry_count").alias("retry_count"))
@@ -133,5 +143,8 @@ def _(spark, d):
 @query("dlq_stats", f"""SELECT received, received AS stored, CAST(0 AS BIGINT) AS errors, {ratio('(100 * received)', 'total')} AS dlq_rate_pct
 FROM (SELECT count(*) FILTER (action = 'dlq') AS received, count(*) AS total FROM routed)""")
 def _(spark, d):
-    total = frames.ads(spark, d).count()
-    return faults.dlq_stats(_dead_letters(spark, d), total)
+    """All events in one aggregate, dead letters among them."""
+    dead = F.col("action") == "dlq"
+    value = F.when(dead, faults.dlq_envelope(faults.original_message(), F.col("reason"), frames.stamp()))
+    parsed = faults.dlq_parse(frames.routed(spark, d).select(value.alias("value"), dead.alias("dead")))
+    return faults.dlq_stats(parsed, dead=F.col("dead"))

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickweir.functions.payloads import event_to_json
+from clickweir.operators.evaluation import evaluate_once
 from clickweir.operators.windows import FIVE_MINUTES, ONE_MINUTE, tumbling_ctr
 from clickweir.plans import marts
 from clickweir.plans.faults import retry_decode, retry_router
 from clickweir.plans.ingest import classify
-from clickweir.schema import DAILY_GRAIN
+from clickweir.schema import DAILY_GRAIN, EVENT_COLUMNS
 from clickweir.session import scratch_path
 from clickweir.sources.driver_tables import ad_events, raw_text_rows
 from clickweir.catalog.sql import STAMP
@@ -76,18 +77,23 @@ def csv_copy(spark: SparkSession, rows: DataFrame) -> str:
 
 
 def retry_messages(spark: SparkSession, d: str) -> DataFrame:
-    """JSON retry messages; every 61st is cut short."""
+    """JSON retry messages of all event columns. Every 53rd has an id of text, every 59th a click that is no number, every
+    67th no hour, and every 61st is cut short."""
     n = F.col("id").cast("bigint")
     error = F.element_at(F.array(*[F.lit(x) for x in (
         "Timeout after 30s", "Connection error: reset", "Transformation failed", "Schema mismatch")]),
         F.col("banner_pos") % 4 + 1)
-    rows = ads(spark, d).withColumn("retry_count", F.col("c18")).withColumn("last_error", error) \
-        .withColumn("error_history", F.array("last_error"))
-    text = event_to_json(["id", "click", "hour", "banner_pos", "site_id", "retry_count",
-                          "last_error", "error_history"])
+    rows = ads(spark, d).select("*", n.alias("n"), F.col("c18").alias("retry_count"), error.alias("last_error"),
+                                F.array(error).alias("error_history"))
+    rest = event_to_json([c for c in EVENT_COLUMNS if c not in ("id", "click", "hour")] + ["retry_count", "last_error", "error_history"])
+    id_ = F.when(n % 53 == 52, F.concat(F.lit('"msg-'), n.cast("string"), F.lit('"'))).otherwise(n.cast("string"))
+    click = F.when(n % 59 == 58, '"x"').otherwise(F.col("click").cast("string"))
+    hour = F.when((n % 67 == 66) & (n % 59 != 58), "").otherwise(
+        F.concat(F.lit(',"hour":'), F.coalesce(F.col("hour").cast("string"), F.lit("null"))))
+    whole = F.concat(F.lit('{"id":'), id_, F.lit(',"click":'), click, hour, F.lit(","), F.substr(rest, F.lit(2)))
     broken = F.concat(F.lit('{"id":'), n.cast("string"), F.lit(',"click"'))
-    return rows.select(n.alias("n"), F.when(n % 61 == 60, broken).otherwise(text).alias("value"),
-                       "event_time")
+    value = F.when(n % 61 == 60, broken).otherwise(whole)
+    return evaluate_once(rows.select("n", value.alias("value"), "event_time"))
 
 
 def routed(spark: SparkSession, d: str) -> DataFrame:

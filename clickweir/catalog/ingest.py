@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from clickweir.catalog import frames
 from clickweir.catalog.registry import query
@@ -46,15 +46,15 @@ def _(spark, d):
     return files.publish_event_json(ingest.valid_events(frames.judged(spark, d)))
 
 
-@query("parse_event_json", """SELECT n, CASE WHEN broken THEN NULL ELSE CAST(n AS VARCHAR) END AS id,
-CASE WHEN broken THEN NULL ELSE CAST(click AS BIGINT) END AS click,
-CASE WHEN broken THEN NULL ELSE CAST(hour AS BIGINT) END AS hour,
-CASE WHEN broken THEN NULL ELSE site_id END AS site_id, CAST(broken AS BIGINT) AS is_corrupt FROM retry""")
+_DECODED = ", ".join(f"CASE WHEN NOT broken THEN {'CAST(' + c + ' AS BIGINT)' if EVENT_TYPES[c] == 'int' else c} END AS {c}" for c in EVENT_COLUMNS[1:])
+
+
+@query("parse_event_json", f"""SELECT n, CASE WHEN NOT broken AND n % 53 <> 52 THEN CAST(n AS VARCHAR) END AS id, {_DECODED},
+CAST(broken OR n % 53 = 52 OR n % 59 = 58 AS BIGINT) AS is_corrupt FROM retry""")
 def _(spark, d):
-    """Decode JSON payloads; undecodable ones stay, marked."""
+    """Decode JSON payloads; undecodable ones, and those with a field of a wrong type, stay, marked."""
     rows = files.parse_event_json(frames.retry_messages(spark, d), on_error="dlq")
-    return rows.select("n", "id", "click", "hour", "site_id",
-                       F.col(files.CORRUPT).isNotNull().cast("int").alias("is_corrupt"))
+    return rows.select("n", *EVENT_COLUMNS, F.col(files.CORRUPT).isNotNull().cast("int").alias("is_corrupt"))
 
 
 @query("event_json_round_trip", f"SELECT {_TYPED} FROM judged WHERE reason IS NULL")
@@ -155,15 +155,20 @@ def _(spark, d):
     return ingest.ingest_stats(frames.judged(spark, d))
 
 
-@query("csv_null_lenient", """SELECT nullif(id, '') AS id, TRY_CAST(nullif(click, '') AS BIGINT) AS click,
-TRY_CAST(hour AS BIGINT) AS hour, nullif(site_id, '') AS site_id, nullif(site_domain, '') AS site_domain,
-CASE WHEN n % 109 = 108 THEN NULL ELSE TRY_CAST(c14 AS BIGINT) END AS c14, 'adlog' AS source
-FROM (SELECT * REPLACE (CASE WHEN n % 109 = 108 AND n % 107 <> 106 THEN NULL ELSE click END AS click) FROM raw)""")
+_LENIENT = ", ".join(f"nullif(trim({c}), '') AS {c}" if c == "id" or EVENT_TYPES[c] == "string"
+                     else f"CASE WHEN regexp_full_match(trim({c}), '[+-]?[0-9]+') THEN CAST(trim({c}) AS BIGINT) END AS {c}" for c in EVENT_COLUMNS)
+
+
+@query("csv_null_lenient", f"""SELECT {_LENIENT}, 0 AS corrupt, 'adlog' AS source, 1 AS has_file, 1 AS processed,
+row_number() OVER (ORDER BY n, event_time) AS line FROM raw""")
 def _(spark, d):
     """Lenient scan of the CSV copy: empty and unreadable fields become NULL."""
-    rows = files.csv_null_lenient(spark, frames.csv_copy(spark, frames.raw(spark, d)), "adlog")
-    return rows.select("id", "click", "hour", "site_id", "site_domain", "c14",
-                       F.col("_source").alias("source"))
+    ordered = frames.raw(spark, d).orderBy(F.col("id").cast("bigint"), "event_time").coalesce(1)
+    rows = files.csv_null_lenient(spark, frames.csv_copy(spark, ordered), "adlog")
+    line = F.row_number().over(Window.partitionBy("_file").orderBy("_line_number"))
+    return rows.select(*EVENT_COLUMNS, F.col(files.CORRUPT).isNotNull().cast("int").alias("corrupt"), F.col("_source").alias("source"),
+                       (F.col("_file") != "").cast("int").alias("has_file"), F.col("_processed_at").isNotNull().cast("int").alias("processed"),
+                       line.alias("line"))
 
 
 @query("recent_events", """SELECT CAST(id AS VARCHAR) AS id, click, event_time FROM (

@@ -190,12 +190,25 @@ CTES["judged"] = """
 
 # --- retry messages --------------------------------------------------------------
 
-CTES["retry"] = """
-  SELECT n, click, hour, banner_pos, site_id, c18 AS retry_count, n % 61 = 60 AS broken,
-         CASE banner_pos % 4 WHEN 0 THEN 'Timeout after 30s' WHEN 1 THEN 'Connection error: reset'
-           WHEN 2 THEN 'Transformation failed' ELSE 'Schema mismatch' END AS last_error,
-         CASE WHEN n % 61 = 60 THEN concat('{"id":', n, ',"click"') END AS broken_text, event_time
-  FROM (SELECT *, CAST(id AS BIGINT) AS n FROM ad)"""
+_HELD = [c for c in EVENT_COLUMNS if c not in ("id", "click", "hour")]
+
+
+def _json(c: str) -> str:
+    value = f"CAST({c} AS VARCHAR)" if EVENT_TYPES[c] == "int" else f"'\"' || {c} || '\"'"
+    return f"',\"{c}\":', coalesce({value}, 'null')"
+
+
+CTES["retry"] = f"""
+  SELECT n, CASE WHEN n % 53 = 52 THEN 'msg-' || n ELSE CAST(n AS VARCHAR) END AS id, CASE WHEN n % 59 <> 58 THEN click END AS click,
+         CASE WHEN n % 67 <> 66 OR n % 59 = 58 THEN hour END AS hour, {', '.join(_HELD)}, c18 AS retry_count, n % 61 = 60 AS broken,
+         last_error, CASE WHEN n % 61 = 60 THEN concat('{{"id":', n, ',"click"') END AS broken_text, event_time,
+         concat('{{"id":', CASE WHEN n % 53 = 52 THEN '"msg-' || n || '"' ELSE CAST(n AS VARCHAR) END,
+                ',"click":', CASE WHEN n % 59 = 58 THEN '"x"' ELSE CAST(click AS VARCHAR) END,
+                CASE WHEN n % 67 = 66 AND n % 59 <> 58 THEN '' ELSE ',"hour":' || coalesce(CAST(hour AS VARCHAR), 'null') END,
+                {', '.join(_json(c) for c in _HELD)}, ',"retry_count":', c18,
+                ',"last_error":"', last_error, '","error_history":["', last_error, '"]}}') AS message
+  FROM (SELECT *, CAST(id AS BIGINT) AS n, CASE banner_pos % 4 WHEN 0 THEN 'Timeout after 30s' WHEN 1 THEN 'Connection error: reset'
+           WHEN 2 THEN 'Transformation failed' ELSE 'Schema mismatch' END AS last_error FROM ad)"""
 
 CTES["routed"] = """
   SELECT *, CASE WHEN broken THEN NULL ELSE retry_count + 1 END AS next_retry_count,
@@ -223,6 +236,8 @@ def with_ctes(body: str) -> str:
     body = body.strip()
     if not chain:
         return body
+    if body.upper().startswith("WITH RECURSIVE "):
+        return "WITH RECURSIVE " + ",\n".join(chain) + ",\n" + body[15:]
     if body.upper().startswith("WITH "):
         return "WITH " + ",\n".join(chain) + ",\n" + body[5:]
     return "WITH " + ",\n".join(chain) + "\n" + body

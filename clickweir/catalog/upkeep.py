@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import functions as F
 
 from clickweir.catalog import frames
@@ -10,11 +12,12 @@ from clickweir.catalog.serving import OLD, stored_events
 from clickweir.catalog.streams import RAW, raw_rows
 from clickweir.functions.times import parse_hour
 from clickweir.operators.windows import FIVE_MINUTES, ONE_MINUTE
-from clickweir.plans import incremental, serving
+from clickweir.plans import faults, incremental, retry_loop, serving
 from clickweir.schema import DAILY_GRAIN
 from clickweir.session import scratch_path
 from clickweir.sources import compaction, tables
 from clickweir.sources.driver_tables import ad_events_stream
+from clickweir.sources.event_files import CORRUPT
 from clickweir.streaming import jobs
 
 _DAY = "CAST(event_date AS VARCHAR) AS event_date"
@@ -91,3 +94,37 @@ def _(spark, d):
         jobs.StreamRun(frame, jobs.versions_sink(path), scratch_path(spark, "progress"), "update").catch_up()
         metrics[name] = (path, frame.schema)
     return serving.maintenance(spark, stored_events(spark, d), "2024-01-30 12:00:00", 15, metrics=metrics)
+
+
+# --- retries to their end -------------------------------------------------------------
+
+_START = "2024-02-01 00:00:00"
+# the end of the minute that a message is due in
+_DUE = """date_trunc('minute', {failed} + to_milliseconds(CAST(least(20000 * pow(2, {attempt} - 1), 100000) AS BIGINT))) + INTERVAL 1 MINUTE"""
+
+
+@query("retry_loop", f"""WITH RECURSIVE first AS (SELECT id AS key, retry_count + 1 AS attempt, TIMESTAMP '{_START}' AS failed FROM retry
+  WHERE NOT broken AND n % 50 <> 0 AND last_error <> 'Schema mismatch'),
+tries AS (
+  SELECT key, attempt, failed, CASE WHEN attempt < 6 THEN {_DUE.format(failed='failed', attempt='attempt')} END AS due FROM first
+  UNION ALL
+  SELECT key, attempt + 1, due, CASE WHEN attempt + 1 < 6 THEN {_DUE.format(failed='due', attempt='(attempt + 1)')} END
+  FROM tries WHERE due IS NOT NULL AND (length(key) * 7 + ascii(right(key, 1)) + attempt) % 4 <> 0)
+SELECT key, CAST(CASE WHEN due IS NULL THEN attempt - 1 ELSE attempt END AS BIGINT) AS attempts,
+  CASE WHEN due IS NULL THEN 'dead' ELSE 'recovered' END AS outcome, coalesce(due, failed) AS ended_at,
+  CASE WHEN due IS NULL THEN concat('Max retries exceeded (', attempt, ')') END AS reason
+FROM tries WHERE due IS NULL OR (length(key) * 7 + ascii(right(key, 1)) + attempt) % 4 = 0""")
+def _(spark, d):
+    """Failed messages through all their attempts: one in four attempts succeeds, the sixth is not made."""
+    root = scratch_path(spark, "retries")
+    decoded = faults.retry_decode(frames.retry_messages(spark, d)).where(
+        F.col(CORRUPT).isNull() & (F.col("n") % 50 != 0) & ~F.col("last_error").contains("Schema mismatch"))
+    failed = decoded.select(F.col("id").alias("key"), "retry_count", F.col("payload_text").alias("payload"), F.col("error_history").alias("errors"))
+    limits = {"max_attempts": 6, "base_ms": 20_000, "cap_ms": 100_000}
+    retry_loop.enqueue(failed, root, "a", datetime.fromisoformat(_START), **limits)
+
+    def recovers(due):
+        return (F.length("key") * 7 + F.ascii(F.right("key", F.lit(1))) + F.col("retry_count")) % 4 == 0
+
+    retry_loop.drain(spark, root, recovers, **limits)
+    return retry_loop.ended(spark, root).select("key", "attempts", "outcome", F.col("ended_at").cast("timestamp_ntz").alias("ended_at"), "reason")

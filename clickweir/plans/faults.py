@@ -3,11 +3,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F, types as T
+from pyspark.sql import Column, DataFrame, functions as F
 
 from clickweir.functions.payloads import json_field_default
 from clickweir.functions.ratios import ratio_2dp
 from clickweir.functions.times import backoff_ms
+from clickweir.operators.evaluation import evaluate_once
 from clickweir.schema import DLQ_SCHEMA, RETRY_SCHEMA
 from clickweir.sources.event_files import CORRUPT, parse_event_json
 
@@ -25,23 +26,16 @@ def retry_decode(messages: DataFrame, payload: str = "value") -> DataFrame:
     """Decode retry messages, keeping the text. Any JSON object decodes, whatever its fields and
     their types; what is no object, or no JSON, has its text in `_corrupt_record`.
 
-    Fields come by path: a number where text is meant is text, and what does not fit its type is NULL.
+    Every message is parsed once. A number where text is meant is text, and what does not fit its type is NULL.
     """
     text = F.col(payload).cast("string")
-    is_object = F.coalesce(F.schema_of_variant(F.try_parse_json(text)).startswith("OBJECT"), F.lit(False))
     kept = [c for c in messages.columns if c != payload]
-
-    def field(name: str) -> Column:
-        value = F.get_json_object(text, f"$.{name}")
-        kind = RETRY_SCHEMA[name].dataType
-        if isinstance(kind, T.ArrayType):
-            value = F.from_json(value, kind)
-        elif not isinstance(kind, T.StringType):
-            value = value.try_cast(kind)
-        return F.when(is_object, value).alias(name)
-
-    return messages.select(*kept, text.alias("payload_text"), *[field(n) for n in RETRY_SCHEMA.names],
-                           F.when(~is_object, text).alias(CORRUPT))
+    # only an object begins with a brace
+    parsed = evaluate_once(messages.select(*kept, text.alias("payload_text"),
+                                           F.when(F.ltrim(text).startswith("{"), F.try_parse_json(text)).alias("_variant")))
+    fields = [F.try_variant_get("_variant", f"$.{f.name}", f.dataType.simpleString()).alias(f.name) for f in RETRY_SCHEMA]
+    return parsed.select(*kept, "payload_text", *fields,
+                         F.when(F.col("_variant").isNull(), F.coalesce("payload_text", F.lit(""))).alias(CORRUPT))
 
 
 def retry_router(decoded: DataFrame, max_attempts: int = MAX_RETRIES,
@@ -158,11 +152,14 @@ def retry_stats(routed: DataFrame) -> DataFrame:
         F.count_if(F.col("action") == "dlq").alias("dlq_sent"), F.count_if(broken).alias("errors"))
 
 
-def dlq_stats(parsed: DataFrame, all_events: int | None = None) -> DataFrame:
-    """received, stored, errors, and the dead-letter share of all events in percent."""
+def dlq_stats(parsed: DataFrame, all_events: int | None = None, dead: Column | None = None) -> DataFrame:
+    """received, stored, errors, and the dead-letter share of all events in percent. `dead` says which rows are
+    dead letters, where `parsed` has a row for every event; then one aggregate counts both."""
+    letter = F.lit(True) if dead is None else dead
     broken = F.col(CORRUPT).isNotNull()
-    stats = parsed.agg(F.count("*").alias("received"), F.count_if(~broken).alias("stored"),
-                       F.count_if(broken).alias("errors"))
-    if all_events is None:
-        return stats
-    return stats.withColumn("dlq_rate_pct", ratio_2dp(F.col("received") * 100, F.lit(all_events)))
+    stats = parsed.agg(F.count_if(letter).alias("received"), F.count_if(letter & ~broken).alias("stored"),
+                       F.count_if(letter & broken).alias("errors"), F.count("*").alias("_events"))
+    if all_events is None and dead is None:
+        return stats.drop("_events")
+    every = F.col("_events") if all_events is None else F.lit(all_events)
+    return stats.withColumn("dlq_rate_pct", ratio_2dp(F.col("received") * 100, every)).drop("_events")

@@ -77,12 +77,9 @@ DLQ_SCHEMA = T.StructType([
     T.StructField("reason", T.StringType()),
 ])
 
+# What a retry message holds: the event, whose id may be any text, and its history.
 RETRY_SCHEMA = T.StructType([
-    T.StructField("id", T.StringType()),
-    T.StructField("click", T.IntegerType()),
-    T.StructField("hour", T.IntegerType()),
-    T.StructField("banner_pos", T.IntegerType()),
-    T.StructField("site_id", T.StringType()),
+    *[T.StructField(f.name, T.StringType() if f.name == "id" else f.dataType) for f in EVENT_SCHEMA],
     T.StructField("retry_count", T.IntegerType()),
     T.StructField("last_error", T.StringType()),
     T.StructField("error_history", T.ArrayType(T.StringType())),
