@@ -3,7 +3,8 @@ what its sink holds."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from clickweir.catalog import frames
 from clickweir.catalog.exploration import breakdown_text
@@ -16,6 +17,7 @@ from clickweir.sources import tables
 from clickweir.sources.driver_tables import DRIVER_EVENT_SCHEMA, ad_events_stream, events_glob
 from clickweir.sources.event_files import CORRUPT, parse_event_json, stream_source
 from clickweir.streaming import jobs
+from clickweir.streaming.progress import ProgressLog, arrival_latency, open_windows, read_progress
 
 _M = "window_start, window_end, impressions, clicks, ctr"
 
@@ -270,3 +272,86 @@ def _(spark, d):
     return spark.read.parquet(path).groupBy(
         "action", F.coalesce("backoff_ms", F.lit(-1).cast("bigint")).alias("backoff_ms")) \
         .agg(F.count("*").alias("n_rows"))
+
+
+# --- failures inside a batch, reports, state ---------------------------------------------
+
+class _Lost(Exception):
+    """The failure that a query injects into its own sink."""
+
+
+def _failing(write, when: str, failed: list):
+    """A sink that fails once, before it writes, after half of the rows, or after all of them."""
+    def deliver(batch, batch_id):
+        if when in failed:
+            return write(batch, batch_id)
+        failed.append(when)
+        if when == "half":
+            write(batch.where(F.pmod(F.xxhash64("id"), F.lit(2)) == 0), batch_id)
+        if when == "after":
+            write(batch, batch_id)
+        raise _Lost(when)
+    return deliver
+
+
+@query("exactly_once_failures", RAW)
+def _(spark, d):
+    """Three deliveries, and in each batch the sink fails once: before, half-way through and after its write. The job
+    goes on from its checkpoint, and every event is there once."""
+    sink, progress, path = scratch_path(spark, "sink"), scratch_path(spark, "progress"), scratch_path(spark, "arrivals")
+    failed: list[str] = []
+    for i, when in enumerate(("before", "half", "after")):
+        _arrivals(spark, d, upto=i + 1, path=path, first=i)
+        run = jobs.StreamRun(_arrival_stream(spark, d, path), _failing(jobs.raw_events_sink(sink), when, failed), progress)
+        for _ in range(2):
+            try:
+                run.catch_up()
+                break
+            except StreamingQueryException:
+                if failed[-1] != when:
+                    raise
+    if len(failed) < 3:
+        raise RuntimeError(f"only {failed} were tried")
+    return raw_rows(spark, sink)
+
+
+@query("stream_progress", f"""WITH first AS (SELECT count(*) AS n FROM ad WHERE {_A}), middle AS (SELECT count(*) AS n FROM ad WHERE {_B})
+SELECT 0 AS delivery, n AS input_rows, 0 AS dropped_rows FROM first UNION ALL SELECT 1, n, 0 FROM middle
+UNION ALL SELECT 2, (SELECT count(*) FROM ad) - (SELECT n FROM first) - (SELECT n FROM middle),
+(SELECT count(*) FROM ad WHERE NOT coalesce({_A}, false) AND NOT coalesce({_B}, false)
+ AND event_time < (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 10 SECOND FROM ad WHERE {_B}))""")
+def _(spark, d):
+    """Rows read and rows dropped as too late, by the stored reports of a job that was restarted for each delivery."""
+    log, reports = ProgressLog(), scratch_path(spark, "reports")
+    sink, progress, path = scratch_path(spark, "sink"), scratch_path(spark, "progress"), scratch_path(spark, "arrivals")
+    spark.streams.addListener(log)
+    try:
+        for i in range(3):
+            _arrivals(spark, d, upto=i + 1, path=path, first=i)
+            once = jobs.stream_dedup(jobs.bounded_lateness(_arrival_stream(spark, d, path)), "id")
+            ended = jobs.StreamRun(once, lambda b, n: tables.write_batch(b.select("id"), sink, n), progress).catch_up()
+            log.wait(ended.runId)
+            log.store(spark, reports)
+    finally:
+        spark.streams.removeListener(log)
+    rows = read_progress(spark, reports).where("input_rows > 0")
+    return rows.select((F.row_number().over(Window.orderBy("batch_id")) - 1).alias("delivery"), "input_rows", "dropped_rows")
+
+
+@query("open_windows", """SELECT window_start, window_end, impressions, clicks FROM m1
+WHERE window_end > (SELECT date_trunc('millisecond', max(event_time)) FROM ad) - INTERVAL 3 DAY""")
+def _(spark, d):
+    """The windows that a stopped stream still waits for, read from its state."""
+    frame, progress, sink = jobs.ctr_metrics_stream(ad_events_stream(spark, d), ONE_MINUTE, lateness="3 days"), \
+        scratch_path(spark, "progress"), scratch_path(spark, "sink")
+    jobs.StreamRun(frame, jobs.versions_sink(sink), progress, "update").catch_up()
+    return open_windows(spark, progress)
+
+
+@query("arrival_latency", """SELECT count(*) AS events, min(s) AS min_s, round(avg(s), 6) AS mean_s, max(s) AS max_s, quantile_cont(s, 0.5) AS p50_s,
+quantile_cont(s, 0.95) AS p95_s, quantile_cont(s, 0.99) AS p99_s FROM (SELECT 30.0::DOUBLE * (CAST(id AS BIGINT) % 7) AS s FROM ad)""")
+def _(spark, d):
+    """How long after their time events were stored, here 0 to 180 seconds by their ids."""
+    stored = frames.ads(spark, d).select("event_time", F.timestamp_micros(
+        F.unix_micros(F.col("event_time").cast("timestamp")) + 30_000_000 * (F.col("id").cast("bigint") % 7)).alias("created_at"))
+    return arrival_latency(stored).withColumn("mean_s", F.round("mean_s", 6))
