@@ -8,6 +8,7 @@ from clickweir.catalog import frames
 from clickweir.catalog.registry import query
 from clickweir.catalog.sql import ctr, ratio, stream_ctr
 from clickweir.functions import payloads, ratios, times
+from clickweir.schema import DAILY_GRAIN
 from clickweir.sources.driver_tables import read_driver_table
 
 _TS = """make_timestamp(2000 + hour // 1000000, (hour // 10000) % 100, (hour // 100) % 100, hour % 100, 0, 0)"""
@@ -111,14 +112,14 @@ def _(spark, d):
                        payloads.json_field_default(F.col("props"), "$.missing.id", "unknown").alias("missing_id"))
 
 
-@query("audit_columns", """SELECT CAST(event_date AS VARCHAR) AS event_date, count(*) AS n_rows, count(*) AS stamped,
-count(*) AS same_stamp FROM daily GROUP BY 1""")
+@query("audit_columns", """SELECT CAST(event_date AS VARCHAR) AS event_date, site_id, site_domain, site_category, CAST(device_type AS BIGINT) AS device_type,
+daily_total_impressions, daily_total_clicks, 1 AS stamped, 1 AS same_stamp FROM daily""")
 def _(spark, d):
     """Every row of a write carries the same creation and update stamp."""
     rows = frames.daily(spark, d).select("*", *payloads.audit_columns())
-    return rows.groupBy("event_date").agg(
-        F.count("*").alias("n_rows"), F.count("created_at").alias("stamped"),
-        F.count_if(F.col("created_at") == F.col("updated_at")).alias("same_stamp"))
+    recent = F.col("created_at").between(F.current_timestamp() - F.expr("INTERVAL 1 HOUR"), F.current_timestamp())
+    return rows.select(*DAILY_GRAIN, "daily_total_impressions", "daily_total_clicks", recent.cast("int").alias("stamped"),
+                       (F.col("created_at") == F.col("updated_at")).cast("int").alias("same_stamp"))
 
 
 @query("cross_features", """SELECT concat_ws('|', coalesce(site_id, ''), site_category) AS site_cross,

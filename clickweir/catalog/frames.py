@@ -22,8 +22,8 @@ def ads(spark: SparkSession, d: str) -> DataFrame:
     return ad_events(spark, d)
 
 
-def raw(spark: SparkSession, d: str) -> DataFrame:
-    return raw_text_rows(ads(spark, d))
+def raw(spark: SparkSession, d: str, *columns: str) -> DataFrame:
+    return raw_text_rows(ads(spark, d), columns or None)
 
 
 def judged(spark: SparkSession, d: str) -> DataFrame:

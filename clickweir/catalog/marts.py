@@ -186,14 +186,15 @@ _ON = " AND ".join(f"s.{c} IS NOT DISTINCT FROM k.{c}" for c in CAMPAIGN_COLUMNS
 SELECT k.campaign_id, count(*) AS impressions, CAST(sum(s.click) AS BIGINT) AS clicks
 FROM stg s JOIN dim k ON {_ON} GROUP BY 1)""")
 def _(spark, d):
-    return marts.campaign_performance(frames.staged_for_campaigns(spark, d), frames.campaigns(spark, d))
+    staged = stored(frames.staged_for_campaigns(spark, d), "staged")
+    return marts.campaign_performance(staged, stored(marts.dim_campaigns(staged), "campaigns"))
 
 
 @query("fact_to_campaign", f"""SELECT CAST(s.id AS VARCHAR) AS id, CAST(s.click AS BIGINT) AS click, k.campaign_id
 FROM stg s LEFT JOIN dim k ON {_ON}""")
 def _(spark, d):
-    events = frames.staged_for_campaigns(spark, d)
-    joined = joins.fact_to_campaign(events, frames.campaigns(spark, d), CAMPAIGN_COLUMNS)
+    events = stored(frames.staged_for_campaigns(spark, d), "staged")
+    joined = joins.fact_to_campaign(events, stored(marts.dim_campaigns(events), "campaigns"), CAMPAIGN_COLUMNS)
     return joined.select("id", "click", "campaign_id")
 
 

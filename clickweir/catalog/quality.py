@@ -105,32 +105,45 @@ def _(spark, d):
     return q.report(singular_checks(STAMP), stored_tables(spark, d))
 
 
-_STAMPS = ("loaded_at", "created_at", "updated_at")
-_SQL_TABLE = {"source": "ad", "staging": "stg", "hourly": "hourly", "campaigns": "dim", "facts": "fact"}
-
-
-def _check_sql(check) -> tuple[str, str]:
-    table = _SQL_TABLE[check.table]
-    if check.name.endswith(_STAMPS):    # set when the table is written, never NULL
-        return check.name, "(SELECT 1 WHERE false)"
-    if isinstance(check, q.RowCheck):
-        return check.name, f"(SELECT 1 FROM {table} WHERE {check.violation})"
-    keys = ", ".join(check.columns)
-    where = " AND ".join(f"{c} IS NOT NULL" for c in check.columns) if check.skip_nulls else "true"
-    return check.name, f"(SELECT 1 FROM {table} WHERE {where} GROUP BY {keys} HAVING count(*) > 1)"
+def _missing(table: str, sql_table: str, columns: str) -> list[tuple[str, str]]:
+    return [(f"not_null_{table}_{c}", f"(SELECT 1 FROM {sql_table} WHERE {c} IS NULL)") for c in columns.split()]
+
+
+_NEVER = "(SELECT 1 WHERE false)"      # stamps are set when a table is written
+_GENERIC = [
+    *_missing("source", "ad", "id click hour site_id"),
+    ("unique_source_id", "(SELECT id FROM ad GROUP BY id HAVING count(*) > 1)"),
+    ("accepted_values_source_click", "(SELECT 1 FROM ad WHERE click <> 0 AND click <> 1)"),
+    *_missing("staging", "stg", "id click event_timestamp event_date event_hour site_id"),
+    ("unique_staging_id", "(SELECT id FROM stg GROUP BY id HAVING count(*) > 1)"),
+    ("accepted_values_staging_click", "(SELECT 1 FROM stg WHERE click <> 0 AND click <> 1)"),
+    *_missing("hourly", "hourly", "event_date event_hour_timestamp site_id total_impressions total_clicks ctr_percentage clicks_count impressions_count"),
+    ("expression_hourly_ctr_percentage", "(SELECT 1 FROM hourly WHERE ctr_percentage > 100 OR ctr_percentage IS NULL)"),
+    *_missing("campaigns", "dim", "campaign_id"),
+    ("unique_campaigns_campaign_id", "(SELECT 1 FROM dim GROUP BY campaign_id HAVING count(*) > 1)"),
+    ("accepted_values_campaigns_is_active", "(SELECT 1 FROM dim WHERE is_active <> 0 AND is_active <> 1)"),
+    *_missing("facts", "fact", "event_date site_id daily_total_impressions daily_total_clicks daily_ctr_percentage hours_with_data"),
+    ("unique_combination_facts", "(SELECT 1 FROM fact GROUP BY event_date, site_id, device_type HAVING count(*) > 1)"),
+    ("expression_facts_daily_total_impressions", "(SELECT 1 FROM fact WHERE daily_total_impressions < 0 OR daily_total_impressions IS NULL)"),
+    ("expression_facts_daily_total_clicks", "(SELECT 1 FROM fact WHERE daily_total_clicks < 0 OR daily_total_clicks IS NULL)"),
+    ("expression_facts_daily_ctr_percentage", "(SELECT 1 FROM fact WHERE daily_ctr_percentage > 100 OR daily_ctr_percentage < 0 OR daily_ctr_percentage IS NULL)"),
+    ("expression_facts_hours_with_data", "(SELECT 1 FROM fact WHERE hours_with_data <= 0 OR hours_with_data IS NULL)"),
+    *[(f"not_null_{t}_loaded_at", _NEVER) for t in ("staging", "hourly", "campaigns", "facts")],
+    *[(f"not_null_campaigns_{c}", _NEVER) for c in ("created_at", "updated_at")],
+]
 
 
-@query("dq_report", _report_sql([_check_sql(c) for c in generic_checks(audited=True)]))
+@query("dq_report", _report_sql(_GENERIC))
 def _(spark, d):
     """All column checks of source, staging and marts."""
     return q.report(generic_checks(audited=True), stored_tables(spark, d))
 
 
-_FAST = _report_sql([_check_sql(c) for c in generic_checks(audited=True)])
+_FAST = _report_sql(_GENERIC)
 
 
-@query("dq_report_fail_fast", f"""SELECT seq, test, failures, CASE WHEN seq > coalesce(first_fail, 1000) THEN 'skipped'
-ELSE status END AS status FROM (SELECT *, min(CASE WHEN failures > 0 THEN seq END) OVER () AS first_fail FROM ({_FAST}))""")
+@query("dq_report_fail_fast", f"""SELECT seq, test, CASE WHEN seq <= coalesce(first_fail, 1000) THEN failures END AS failures,
+CASE WHEN seq > coalesce(first_fail, 1000) THEN 'skipped' ELSE status END AS status FROM (SELECT *, min(CASE WHEN failures > 0 THEN seq END) OVER () AS first_fail FROM ({_FAST}))""")
 def _(spark, d):
     return q.report(generic_checks(audited=True), stored_tables(spark, d), fail_fast=True)
 

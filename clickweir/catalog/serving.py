@@ -125,7 +125,7 @@ def _(spark, d):
 
 @query("regex_numeric_check", """SELECT count(*) AS total, count(*) FILTER (regexp_matches(hour, '^[0-9]+$')) AS valid FROM raw""")
 def _(spark, d):
-    return serving.regex_numeric_check(frames.raw(spark, d), "hour")
+    return serving.regex_numeric_check(frames.raw(spark, d, "hour"), "hour")
 
 
 @query("like_prefix_filter", """SELECT CAST(id AS VARCHAR) AS id, device_id FROM ad WHERE device_id LIKE 'dev_1%'""")

@@ -114,7 +114,7 @@ def _(spark, d):
     return raw_rows(spark, path)
 
 
-@query("stream_source", "SELECT event_type, count(*) AS n_rows, CAST(sum(user_id) AS BIGINT) AS user_sum FROM events GROUP BY 1")
+@query("stream_source", "SELECT event_id, ts, user_id, event_type, value, props FROM events")
 def _(spark, d):
     """A subscription by format name and options."""
     stream = stream_source(spark, "parquet", {"path": events_glob(d)}, DRIVER_EVENT_SCHEMA)
@@ -123,8 +123,7 @@ def _(spark, d):
         return lambda batch, batch_id: tables.write_batch(batch, path, batch_id)
 
     path, _ = _run(spark, stream, sink, "append")
-    return spark.read.parquet(path).groupBy("event_type").agg(
-        F.count("*").alias("n_rows"), F.sum("user_id").alias("user_sum"))
+    return spark.read.parquet(path).select("event_id", "ts", "user_id", "event_type", "value", "props")
 
 
 # --- arrivals out of order ---------------------------------------------------------
@@ -260,18 +259,16 @@ def _(spark, d):
     return side("good").unionByName(side("dead"))
 
 
-@query("retry_router_stream", "SELECT action, coalesce(backoff_ms, -1) AS backoff_ms, count(*) AS n_rows FROM routed GROUP BY 1, 2")
+@query("retry_router_stream", "SELECT n, action, backoff_ms, reason FROM routed")
 def _(spark, d):
     """The router as a streaming projection."""
     routed = faults.retry_router(faults.retry_decode(_message_stream(spark, d)), now=frames.stamp())
 
     def sink(path):
-        return lambda b, i: tables.write_batch(b.select("action", "backoff_ms"), path, i)
+        return lambda b, i: tables.write_batch(b.select("n", "action", "backoff_ms", "reason"), path, i)
 
     path, _ = _run(spark, routed, sink, "append")
-    return spark.read.parquet(path).groupBy(
-        "action", F.coalesce("backoff_ms", F.lit(-1).cast("bigint")).alias("backoff_ms")) \
-        .agg(F.count("*").alias("n_rows"))
+    return spark.read.parquet(path).select("n", "action", "backoff_ms", "reason")
 
 
 # --- failures inside a batch, reports, state ---------------------------------------------

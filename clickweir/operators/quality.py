@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
+from itertools import groupby
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -106,28 +107,45 @@ def _key_failures(check: KeyCheck, tables: Mapping[str, DataFrame]) -> DataFrame
         .select(F.lit(check.name).alias("test"), "failures")
 
 
-def report(checks: Sequence[Check], tables: Mapping[str, DataFrame],
-           fail_fast: bool = False) -> DataFrame:
-    """(seq, test, failures, status) for a suite.
-
-    With fail_fast, checks after the first failing one are 'skipped', the state in
-    which a run that stops there leaves them.
-    """
+def _failures(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    """(test, failures) of checks; the row checks of a table share one pass."""
     parts = []
     for table in dict.fromkeys(c.table for c in checks):
         rows = [c for c in checks if c.table == table and isinstance(c, RowCheck)]
         if rows:
             parts.append(_row_failures(tables[table], rows))
     parts += [_key_failures(c, tables) for c in checks if isinstance(c, KeyCheck)]
-    found = reduce(DataFrame.unionByName, parts)
-    order = F.create_map(*[x for i, c in enumerate(checks) for x in (F.lit(c.name), F.lit(i + 1))])
-    found = found.select(order[F.col("test")].alias("seq"), "test", "failures")
-    status: Column = F.when(F.col("failures") > 0, "fail").otherwise("pass")
+    return reduce(DataFrame.unionByName, parts)
+
+
+def report(checks: Sequence[Check], tables: Mapping[str, DataFrame],
+           fail_fast: bool = False) -> DataFrame:
+    """(seq, test, failures, status) for a suite.
+
+    With fail_fast, checks run table by table in their order, and nothing runs behind the first that fails: the checks
+    behind it are 'skipped', without a number of failures.
+    """
     if fail_fast:
-        one_per_check = Window.partitionBy(F.lit(0))
-        first = F.min(F.when(F.col("failures") > 0, F.col("seq"))).over(one_per_check)
-        status = F.when(F.col("seq") > F.coalesce(first, F.lit(len(checks))), "skipped").otherwise(status)
-    return found.withColumn("status", status)
+        return _report_until_failure(checks, tables)
+    order = F.create_map(*[x for i, c in enumerate(checks) for x in (F.lit(c.name), F.lit(i + 1))])
+    found = _failures(checks, tables).select(order[F.col("test")].alias("seq"), "test", "failures")
+    return found.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+
+
+def _report_until_failure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:
+    rows, stopped = [], False
+    for _, group in groupby(enumerate(checks, 1), key=lambda x: x[1].table):
+        run = list(group)
+        # one row per check
+        failures = {} if stopped else {r["test"]: r["failures"] for r in _failures([c for _, c in run], tables).collect()}
+        for seq, check in run:
+            if stopped:
+                rows.append((seq, check.name, None, "skipped"))
+            else:
+                stopped = failures[check.name] > 0
+                rows.append((seq, check.name, failures[check.name], "fail" if stopped else "pass"))
+    spark = next(iter(tables.values())).sparkSession
+    return spark.createDataFrame(rows, "seq int, test string, failures long, status string")
 
 
 def freshness_today(df: DataFrame, created_at: str, as_of) -> DataFrame:

@@ -12,10 +12,11 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from clickweir.functions.ratios import ratio_2dp
 from clickweir.operators.global_order import running_total
-from clickweir.operators.joins import broadcast_if_small
+from clickweir.operators.joins import BROADCAST_BYTES, broadcast_if_small, estimated_bytes
 from clickweir.schema import ENCODED_COLUMNS, INT_COLUMNS
 from clickweir.session import stored
 
+HEAVY_VALUES = 1000      # parts of a column; values that hold one or more are few
 NUMERIC_FEATURES = tuple(c for c in INT_COLUMNS if c not in ("click", "hour"))
 
 
@@ -44,18 +45,38 @@ def label_dictionary(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return stored(coded.withColumn("code", F.col("code") - 1), "labels")
 
 
-def label_encode(df: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS,
-                 dictionary: DataFrame | None = None) -> DataFrame:
-    """Replace columns by their codes; values not in the dictionary (and NULL) get -1."""
+def label_encode(df: DataFrame, columns: Sequence[str] = ENCODED_COLUMNS, dictionary: DataFrame | None = None,
+                 max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Replace columns by their codes; values not in the dictionary (and NULL) get -1.
+
+    A dictionary of up to `max_bytes` is broadcast, column by column. With a larger one, the values that hold at least one
+    HEAVY_VALUES-th of a column's rows, so at most so many, are broadcast. Only the other cells, as
+    row, column and value, are shuffled: once to their codes and once back to their rows.
+    """
     if dictionary is None:
         dictionary = label_dictionary(df, columns)
+    if estimated_bytes(dictionary) <= max_bytes:
+        return _with_codes(df, columns, dictionary, -1)
+    rows = stored(df.withColumn("_row", F.monotonically_increasing_id()), "encoded-rows")
+    cells = rows.select("_row", *[F.col(c).cast("string").alias(c) for c in columns]) \
+        .unpivot(["_row"], list(columns), "column_name", "value").where(F.col("value").isNotNull())
+    per_value = cells.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    heavy = stored(per_value.where(F.col("n") * HEAVY_VALUES >= rows.count()), "heavy-values")
+    few = stored(dictionary.join(F.broadcast(heavy.drop("n")), ["column_name", "value"]), "heavy-codes")    # HEAVY_VALUES per column at most
+    light = cells.join(F.broadcast(few), ["column_name", "value"], "left_anti").join(dictionary, ["column_name", "value"])
+    codes = light.groupBy("_row").agg(*[F.max(F.when(F.col("column_name") == c, F.col("code"))).alias(f"_light_{c}") for c in columns])
+    out = _with_codes(rows, columns, few, None).join(codes, "_row", "left")
+    return out.select(*[F.coalesce(F.col(c), F.col(f"_light_{c}"), F.lit(-1)).alias(c) if c in columns else F.col(c) for c in df.columns])
+
+
+def _with_codes(df: DataFrame, columns: Sequence[str], dictionary: DataFrame, unknown: int | None) -> DataFrame:
+    """Codes by broadcast of the dictionary, which is known to be small."""
     out = df
     for c in columns:
         codes = dictionary.where(F.col("column_name") == c).select(
             F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-        side = broadcast_if_small(codes)
-        out = out.join(side, F.col(c).cast("string") == F.col(f"_v_{c}"), "left") \
-            .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(-1))).drop(f"_v_{c}", f"_c_{c}")
+        out = out.join(F.broadcast(codes), F.col(c).cast("string") == F.col(f"_v_{c}"), "left") \
+            .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(unknown).cast("bigint"))).drop(f"_v_{c}", f"_c_{c}")
     return out
 
 

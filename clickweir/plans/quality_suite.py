@@ -46,6 +46,7 @@ def generic_checks(audited: bool = False) -> list[Check]:
 
 def singular_checks(as_of: str) -> list[Check]:
     """Seventeen business checks; each names the rows that break it."""
+    # --- fixed values: the conditions that break a business rule ------------------------
     return [
         KeyCheck("staging_no_duplicates", "staging", ("id",)),
         RowCheck("staging_valid_click_values", "staging", "click NOT IN (0, 1) OR click IS NULL"),
@@ -57,7 +58,7 @@ def singular_checks(as_of: str) -> list[Check]:
                  "ctr_percentage NOT BETWEEN 0 AND 100 OR ctr_percentage IS NULL"),
         RowCheck("hourly_has_data", "hourly", "total_impressions = 0 OR impressions_count = 0"),
         RowCheck("hourly_no_negative_values", "hourly",
-                 "least(total_impressions, total_clicks, clicks_count, impressions_count) < 0"),
+                 "total_impressions < 0 OR total_clicks < 0 OR clicks_count < 0 OR impressions_count < 0"),
         RowCheck("facts_clicks_lte_impressions", "facts",
                  "daily_total_clicks > daily_total_impressions"),
         RowCheck("facts_ctr_range", "facts",
@@ -65,7 +66,7 @@ def singular_checks(as_of: str) -> list[Check]:
         RowCheck("facts_hours_valid", "facts", "hours_with_data NOT BETWEEN 0 AND 24"),
         RowCheck("facts_moving_avg_reasonable", "facts", "ctr_7day_moving_avg NOT BETWEEN 0 AND 100"),
         RowCheck("facts_no_negative_values", "facts",
-                 "least(daily_total_impressions, daily_total_clicks, hours_with_data) < 0"),
+                 "daily_total_impressions < 0 OR daily_total_clicks < 0 OR hours_with_data < 0"),
         RowCheck("facts_reasonable_dod_change", "facts",
                  "abs(coalesce(clicks_dod_pct_change, 0)) > 1000"),
         KeyCheck("facts_unique_date_site_device", "facts", ("event_date", "site_id", "device_type")),

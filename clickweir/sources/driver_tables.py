@@ -8,6 +8,8 @@ residues carry click = 2, a NULL hour or a NULL site.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from clickweir.operators.evaluation import evaluate_once
@@ -90,8 +92,8 @@ def ad_events_stream(spark: SparkSession, sf_dir: str,
     return as_ad_events(events).withColumn("event_time", F.col("event_time").cast("timestamp"))
 
 
-def raw_text_rows(ads: DataFrame) -> DataFrame:
-    """Events as an untyped text feed with further seeded defects: non-numeric hours,
+def raw_text_rows(ads: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+    """Events, or some of their columns, as an untyped text feed with further seeded defects: non-numeric hours,
     out-of-range clicks, banners and devices, exponent notation, empty text and a
     missing last column."""
     n = F.col("id").cast("bigint")
@@ -111,4 +113,5 @@ def raw_text_rows(ads: DataFrame) -> DataFrame:
         "c21": F.when(n % 137 != 136, text("c21")),
     }
     return evaluate_once(ads.select(
-        *[special.get(c, text(c)).alias(c) for c in ads.columns if c != "event_time"], "event_time"))
+        *[special.get(c, text(c)).alias(c) for c in (ads.columns if columns is None else columns) if c != "event_time"],
+        *(["event_time"] if columns is None else [])))
