@@ -2,9 +2,9 @@
 
 The words of every source, in the order of a hash of its documents, are packed into blocks
 of a fixed length. An output shard is a fixed number of slots, each of which takes one
-block. For every shard the numbers of slots that the sources get are a stratified
-multinomial draw (one uniform draw in each of as many strata as the shard has slots), so
-every expectation is exact and the totals stay near it. The slots that a source got are
+block. For every shard the numbers of slots that the sources get are a multinomial draw: each slot draws its source by
+the targets. The last shards are not drawn but get what each source's total still lacks, so the totals are the
+targets. The slots that a source got are
 numbered through; the number modulo the source's blocks goes through a pseudorandom
 permutation of the block numbers, another one in each epoch, and gives the block to take.
 
@@ -14,6 +14,8 @@ meets in one task; only one row per source and one per bucket are ordered togeth
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweir.session import stored
@@ -22,7 +24,9 @@ WEIGHTS = (5, 2, 1)      # by the sources' order, repeating
 MOST_EPOCHS = 3          # a source is taken so many times at most
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
-SHARD_GROUP = 256        # shards whose draws are made together
+SHARD_GROUP = 256        # shards whose draws are summed together
+CELLS = 4096             # of the unit interval, by which a draw finds its source
+CORRECTED = 8            # shards that even out the draws hold so many times the root of all slots
 BUCKET_ROWS = 2048       # documents that are ordered together
 ROUNDS = 12              # of the block permutation
 TASK_SLOTS = 100_000     # slots that a task maps to blocks
@@ -101,6 +105,26 @@ def placed(sizes: DataFrame, rows: int, bucket_rows: int = BUCKET_ROWS) -> DataF
             .withColumn("start", F.col("base") + F.col("inner")).drop("t_source", "t_bucket", "base", "inner", "bucket"))
 
 
+def drawn_slots(shares: DataFrame, all_slots: int, shard_slots: int = SHARD_SLOTS) -> tuple[DataFrame, int]:
+    """(source, shard, draws): multinomial counts of every shard that is drawn, and how many such shards there are.
+
+    `shares` has source, low and high, its part of the unit interval. Draws meet the sources by equal cells of the interval, so
+    a source with many slots has as many cells, and no task gets all of it.
+    """
+    reserve = math.isqrt(all_slots) * CORRECTED
+    n = max(0, (all_slots - reserve) // shard_slots)
+    spark = shares.sparkSession
+    tasks = 1 + all_slots // TASK_SLOTS
+    u = (spark.range(0, n, 1, min(tasks, max(1, n))).withColumnRenamed("id", "shard")
+         .select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shard_slots - 1).cast("bigint"))).alias("i"))
+         .withColumn("u", _uniform(F.col("shard"), F.col("i")))
+         .select("shard", "u", F.floor(F.col("u") * CELLS).alias("cell")))
+    cells = shares.filter("high > low").withColumn("cell", F.explode(F.sequence(
+        F.floor(F.col("low") * CELLS), F.least(F.floor(F.col("high") * CELLS), F.lit(CELLS - 1).cast("bigint")))))
+    return (u.join(cells, "cell").filter((F.col("u") >= F.col("low")) & (F.col("u") < F.col("high")))
+            .groupBy("source", "shard").agg(F.count("*").alias("draws"))), n
+
+
 def slots(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, shard_slots: int = SHARD_SLOTS,
           most_epochs: int = MOST_EPOCHS) -> DataFrame:
     """source, shard, slot, epoch, block: the block of its source that each slot takes.
@@ -110,31 +134,30 @@ def slots(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, shard_
     every = Window.partitionBy(F.lit(0))
     upto = Window.partitionBy(F.lit(0)).orderBy("rank").rowsBetween(Window.unboundedPreceding, 0)
     blocks = F.ceil(F.col("source_size") / block_words).cast("bigint")
-    s = (targets.filter("source_size > 0").withColumn("blocks", blocks)
-         .withColumn("share", F.col("target") * F.col("blocks") / F.col("source_size"))
-         .withColumn("all_slots", F.round(F.sum("share").over(every)).cast("bigint"))
-         .withColumn("high", F.when(F.col("rank") == F.max("rank").over(every), F.lit(1.0))
-                     .otherwise(F.least(F.lit(1.0), F.sum("share").over(upto) / F.sum("share").over(every))))
-         .withColumn("low", F.coalesce(F.lag("high").over(Window.partitionBy(F.lit(0)).orderBy("rank")), F.lit(0.0)))
-         .withColumn("shards", F.ceil(F.col("all_slots") / shard_slots).cast("bigint"))
-         .filter("shards > 0"))
-    groups = (s.withColumn("shard_group", F.explode(F.sequence(
-        F.lit(0).cast("bigint"), F.expr(f"(shards - 1) div {SHARD_GROUP}"))))
-        .repartition("source", "shard_group")
-        .withColumn("shard", F.explode(F.sequence(
-            F.col("shard_group") * SHARD_GROUP,
-            F.least(F.col("shards") - 1, F.col("shard_group") * SHARD_GROUP + SHARD_GROUP - 1)))))
-    n = F.least(F.lit(shard_slots), F.col("all_slots") - F.col("shard") * shard_slots)
-
-    def drawn(share: Column) -> Column:
-        """Slots of the shard whose draw lies below the share."""
-        at = share * n
-        stratum = F.floor(at)
-        return (stratum + (_uniform(F.col("shard"), stratum) < at - stratum).cast("bigint")).cast("bigint")
-
-    draws = (groups.withColumn("first_slot", F.when(F.col("low") > 0, drawn(F.col("low"))).otherwise(F.lit(0)))
-             .withColumn("end_slot", F.when(F.col("high") < 1, drawn(F.col("high"))).otherwise(n))
-             .withColumn("draws", F.col("end_slot") - F.col("first_slot"))
+    s = stored(targets.filter("source_size > 0").withColumn("blocks", blocks)
+               .withColumn("share", F.col("target") * F.col("blocks") / F.col("source_size"))
+               .withColumn("wanted", F.round("share").cast("bigint"))
+               .withColumn("high", F.when(F.col("rank") == F.max("rank").over(every), F.lit(1.0))
+                           .otherwise(F.least(F.lit(1.0), F.sum("share").over(upto) / F.sum("share").over(every))))
+               .withColumn("low", F.coalesce(F.lag("high").over(Window.partitionBy(F.lit(0)).orderBy("rank")), F.lit(0.0)))
+               .select("source", "rank", "blocks", "wanted", "low", "high"), "mix-shares")
+    all_slots = s.agg(F.coalesce(F.sum("wanted"), F.lit(0))).first()[0]
+    counts, n_drawn = drawn_slots(s.select("source", "low", "high"), all_slots, shard_slots)
+    counts = stored(counts, "mix-draws")
+    had = counts.groupBy(F.col("source").alias("h_source")).agg(F.sum("draws").alias("had"))
+    n_last = max(1, -(-all_slots // shard_slots) - n_drawn)
+    # what a source lacks, evenly over the last shards
+    lacks = s.join(had, F.col("source").eqNullSafe(F.col("h_source")), "left") \
+        .withColumn("lack", F.greatest(F.col("wanted") - F.coalesce("had", F.lit(0)), F.lit(0)))
+    part = F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(n_last - 1).cast("bigint")))
+    last = (lacks.filter("lack > 0").select("source", "lack", part.alias("k"))
+            .select("source", (F.col("k") + F.lit(n_drawn)).alias("shard"),
+                    F.expr(f"(lack * (k + 1)) div {n_last} - (lack * k) div {n_last}").alias("draws")).filter("draws > 0"))
+    of = s.select(F.col("source").alias("o_source"), "rank", "blocks")
+    before = Window.partitionBy("shard").orderBy("rank").rowsBetween(Window.unboundedPreceding, -1)
+    draws = (counts.unionByName(last).join(of, F.col("source").eqNullSafe(F.col("o_source")))
+             .withColumn("shard_group", F.expr(f"shard div {SHARD_GROUP}"))
+             .withColumn("first_slot", F.coalesce(F.sum("draws").over(before), F.lit(0)))
              .select("source", "blocks", "shard_group", "shard", "first_slot", "draws"))
     earlier = Window.partitionBy("source").orderBy("shard_group").rowsBetween(Window.unboundedPreceding, -1)
     bases = (draws.groupBy("source", "shard_group").agg(F.sum("draws").alias("of_group"))
@@ -143,7 +166,6 @@ def slots(targets: DataFrame, words: int, block_words: int = BLOCK_WORDS, shard_
     in_group = Window.partitionBy("source", "shard_group").orderBy("shard").rowsBetween(Window.unboundedPreceding, -1)
     numbered = (draws.withColumn("inner", F.coalesce(F.sum("draws").over(in_group), F.lit(0)))
                 .join(bases, F.col("source").eqNullSafe(F.col("b_source")) & (F.col("shard_group") == F.col("b_group")))
-                .filter("draws > 0")
                 .repartition(1 + words // (block_words * TASK_SLOTS), "source", "shard")
                 .select("source", "blocks", "shard", "first_slot", (F.col("base") + F.col("inner")).alias("before"),
                         F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("draws") - 1)).alias("i")))

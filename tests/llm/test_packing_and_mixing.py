@@ -1,9 +1,13 @@
 """Packing by exact round trip, mixing against its own bounds, and edge cases."""
 
+import math
+import re
+import struct
 import zlib
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -121,6 +125,78 @@ def test_mix(spark):
     assert mixing.mix(df.limit(0)).collect() == []
 
 
+def spark_hash(*values):
+    """xxhash64 of a row of values: each is hashed with the hash before it as the seed, and null leaves it."""
+    h = 42
+    for kind, v in values:
+        if v is not None:
+            data = v.encode() if kind == "s" else struct.pack("<i" if kind == "i" else "<q", v)
+            h = xxhash.xxh64_intdigest(data, h)
+    return h
+
+
+def signed(h):
+    return h - (1 << 64) if h >> 63 else h
+
+
+def plain_mix(rows):
+    """`taken` of every row by plain loops over documents, shards, slots and blocks."""
+    seed = ("i", mixing.SEED)
+    docs = [(i, len(mixing_words(t)), s, signed(spark_hash(("s", t)))) for i, t, s in rows]
+    sizes = {}
+    for _, n, s, _ in docs:
+        sizes[s] = sizes.get(s, 0) + n
+    want, order = targets(sizes), sorted(sizes, key=lambda s: (s is None, s))
+    buckets = max(1, -(-len(docs) // mixing.BUCKET_ROWS))
+    placed, start = [], dict.fromkeys(sizes, 0)
+    for i, n, s, tie in sorted(docs, key=lambda d: (signed(spark_hash(seed, ("l", d[0]), ("l", d[3]))) % buckets, d[0] is not None, d[0] or 0, d[3], d[1])):
+        placed.append((i, n, s, start[s]))
+        start[s] += n
+    blocks = {s: -(-n // mixing.BLOCK_WORDS) for s, n in sizes.items() if n}
+    share = {s: want[s] * blocks[s] / sizes[s] for s in order if s in blocks}
+    wanted = {s: int(x + 0.5) for s, x in share.items()}
+    slots = sum(wanted.values())
+    n_drawn = max(0, (slots - math.isqrt(slots) * mixing.CORRECTED) // mixing.SHARD_SLOTS)
+    draws, bounds, upto = {s: 0 for s in share}, [], 0.0
+    for s in share:
+        upto += share[s]
+        bounds.append((s, upto / sum(share.values())))
+    bounds[-1] = (bounds[-1][0], 1.0)
+    for shard in range(n_drawn):
+        for i in range(mixing.SHARD_SLOTS):
+            u = (spark_hash(seed, ("l", shard), ("l", i)) >> 11) * 2.0 ** -53
+            draws[next(s for s, high in bounds if u < high)] += 1
+    times = {}
+    for s, n in draws.items():
+        for k in range(max(n, wanted[s])):
+            epoch, x = divmod(k, blocks[s])
+            if epoch < mixing.MOST_EPOCHS:
+                for r in range(1, mixing.ROUNDS + 1):
+                    key = [("s", s), ("l", epoch)]
+                    partner = (signed(spark_hash(seed, ("s", "key"), ("i", r), *key)) % blocks[s] - x) % blocks[s]
+                    if spark_hash(seed, ("s", "bit"), ("i", r), ("l", max(x, partner)), *key) & 1:
+                        x = partner
+                times[s, x] = times.get((s, x), 0) + 1
+    out = []
+    for i, n, s, at in placed:
+        out.append((i, n, sum(times.get((s, w // mixing.BLOCK_WORDS), 0) for w in range(at, at + n))))
+    return sorted(out, key=str), n_drawn
+
+
+def mixing_words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def test_taken_by_plain_loops(spark, monkeypatch):
+    rows = [(i, t, s) for i, t, s, *_ in corpus(spark, 12)[0]]
+    rows += [(10_000 + i, " ".join(f"x{j}" for j in range(4000)), "za"[i % 3 == 0]) for i in range(20)]
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 256)
+    expected, n_drawn = plain_mix(rows)
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string").repartition(5)
+    got = sorted(((r.doc_id, r.size, r.taken) for r in mixing.mix(df, shard_slots=256).collect()), key=str)
+    assert n_drawn > 5 and got == expected
+
+
 def test_mixed_texts_are_what_the_mix_takes(spark):
     rows, df = corpus(spark, 12)
     texts = mixing.mixed_texts(df)

@@ -63,7 +63,7 @@ def test_all_mixed_words_are_packed(kept):
 
 def test_registered():
     assert [k for k in QUERIES if k.startswith("op")] and set(QUERIES) <= set(queries()) and set(ORACLES) <= set(oracle_sql())
-    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 11)) and "pipeline" in QUERIES
+    assert sorted(int(k[2:].split("_")[0]) for k in QUERIES if k.startswith("op")) == list(range(1, 14)) and "pipeline" in QUERIES
 
 
 @pytest.mark.parametrize("key", sorted(ORACLES))
