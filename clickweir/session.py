@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
-import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -35,27 +34,6 @@ def build_session(app_name: str = "clickweir", master: str | None = None,
     return builder.getOrCreate()
 
 
-_SHIPPED: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Send this package to the Python workers of the application, once. Code that runs Python
-    on executors then needs no installation there."""
-    sc = spark.sparkContext
-    if sc.applicationId in _SHIPPED:
-        return
-    root = os.path.dirname(os.path.abspath(__file__))
-    target = os.path.join(tempfile.mkdtemp(prefix="clickweir-"), "clickweir-package.zip")
-    with zipfile.ZipFile(target, "w", zipfile.ZIP_DEFLATED) as out:
-        for folder, _, names in os.walk(root):
-            for name in sorted(names):
-                if name.endswith(".py"):
-                    path = os.path.join(folder, name)
-                    out.write(path, os.path.relpath(path, os.path.dirname(root)))
-    sc.addPyFile(target)
-    _SHIPPED.add(sc.applicationId)
-
-
 def scratch_root(spark: SparkSession) -> str:
     """Folder all executors can reach: the session's checkpoint folder.
 
