@@ -20,6 +20,7 @@ from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, est
 from clickweir.session import stored
 
 THRESHOLD = 0.9
+GROUP_BLOCKS = 4     # blocks of a group
 PIVOTS = 16     # cells; the pivots are the vectors of the smallest hashes, a bounded sample
 
 
@@ -87,7 +88,8 @@ def links_of_tile(x: Block, y: Block, same: bool, threshold: float, rows: int =
 
 
 def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec_id",
-                 vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, pivots: int = PIVOTS) -> DataFrame:
+                 vector_col: str = "embedding", block_rows: int = BLOCK_ROWS, pivots: int = PIVOTS,
+                 group_blocks: int = GROUP_BLOCKS) -> DataFrame:
     """vec_id, n_links, component_id, kept: one row per row of `df`.
 
     Null, empty or zero vectors, those with null or non-finite components and those without
@@ -118,21 +120,20 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
              .withColumn("dim", F.size("vector"))
              .withColumn("sub", F.pmod(F.xxhash64("id"), "n")))
     made = stored(blocks(tiles, ["cell", "sub", "dim"]), "blocks")
-    own = F.struct("dim", "cell", "sub")
-    partner = F.struct("dim", "other.cell", F.col("other_sub").alias("sub"))
+    # a task compares all blocks of two groups, so a block is sent once for each group that its group meets
+    own = F.struct("dim", "cell", F.expr(f"sub div {group_blocks}").alias("grp"))
+    partner = F.struct("dim", "other.cell", F.col("other_grp").alias("grp"))
     paired = (made.join(F.broadcast(meets), "cell").withColumn("other", F.explode("other"))
-              .withColumn("other_sub", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("other.n") - 1)))
-              .select(F.least(own, partner).alias("p"), F.greatest(own, partner).alias("q"), own.alias("me"), "block"))
+              .withColumn("other_grp", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(other.n - 1) div {group_blocks}"))))
+              .select(F.least(own, partner).alias("p"), F.greatest(own, partner).alias("q"), own.alias("me"), "sub", "block"))
 
     def compare(key, table):
         p, q = key[0].as_py(), key[1].as_py()
-        found = {tuple(m.values()): b for m, b in zip(table.column("me").to_pylist(), table.column("block").to_pylist())}
-        p, q = tuple(p.values()), tuple(q.values())
-        if p not in found or q not in found:   # a block that holds no vector of this length
-            ids, sums, least = [], [], []
-        else:
-            x = Block.from_bytes(found[p])
-            ids, sums, least = links_of_tile(x, x if p == q else Block.from_bytes(found[q]), p == q, threshold)
+        parts = sorted(zip(table.column("sub").to_pylist(), table.column("me").to_pylist(), table.column("block").to_pylist()), key=lambda x: x[0])
+        left = [Block.from_bytes(b) for _, me, b in parts if me == p]
+        right = left if p == q else [Block.from_bytes(b) for _, me, b in parts if me == q]
+        found = [links_of_tile(x, y, x is y, threshold) for i, x in enumerate(left) for y in (right[i:] if p == q else right)]
+        ids, sums, least = (np.concatenate([np.zeros(0, "i8"), *[f[k] for f in found]]) for k in range(3))
         return pa.table({"id": pa.array(ids, pa.int64()), "links": pa.array(sums, pa.int64()), "least": pa.array(least, pa.int64())})
 
     found = stored(paired.groupBy("p", "q").applyInArrow(compare, "id bigint, links bigint, least bigint"), "tile-links")
