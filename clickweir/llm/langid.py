@@ -18,6 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from clickweir.llm.utf8 import LOWER, owner, pieces
+from clickweir.llm.workers import releasing
 from clickweir.session import stored
 
 PER_LANGUAGE = 300    # texts of a language that are learned from: those of the smallest id hashes
@@ -80,29 +81,44 @@ def _small(texts: list[str], rows: int = BATCH_ROWS):
             yield data, starts
 
 
+def gram_codes(text: str) -> np.ndarray:
+    """The grams that a text has, as ascending codes."""
+    return np.unique(np.concatenate([np.zeros(0, "i4"), *[code for data, starts in _small([text]) for _, code in _grams(data, starts)]]))
+
+
 def fit(texts: list[str], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
-    """Landmarks are the first texts of each language in turn; the model is a few MB."""
+    return fit_codes([gram_codes(t) for t in texts], languages, landmarks, ridge)
+
+
+def fit_codes(codes: list[np.ndarray], languages: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> Model:
+    """A model of texts given by their grams. Landmarks are the first texts of each language in turn; the model is a few MB."""
     names = sorted(set(languages))
     each = -(-landmarks // max(1, len(names)))
     taken: dict[str, int] = {}
     marks = []
-    for text, lang in zip(texts, languages):
+    for some, lang in zip(codes, languages):
         if taken.setdefault(lang, 0) < each:
             taken[lang] += 1
-            marks.append(text)
-    known = np.unique(np.concatenate([np.zeros(0, "i4"), *[np.unique(code) for data, starts in _small(marks, 1)
-                                                          for _, code in _grams(data, starts)]]))
+            marks.append(some)
+    known = np.unique(np.concatenate([np.zeros(0, "i4"), *marks]))
     model = Model(names, known, np.zeros((len(known), 0), "f4"), np.zeros((0, 0)), np.zeros((0, len(names))))
     if not len(known):
         return model
     table = model.table()
-    seen = np.concatenate([model.presence(d, s, table) for d, s in _small(marks)])
+
+    def presence(some: list[np.ndarray]) -> np.ndarray:
+        out = np.zeros((len(some), len(known) + 1), "f4")
+        for row, c in zip(out, some):
+            row[table[c]] = 1
+        return out[:, :-1]
+
+    seen = presence(marks)
     seen = seen[seen.sum(axis=1) > 0]
     model.landmarks = np.ascontiguousarray((seen / np.sqrt(seen.sum(axis=1))[:, None]).T)
     values, vectors = np.linalg.eigh((model.landmarks.T @ model.landmarks).astype("f8"))
     values = np.where(values > 1e-6, values, np.inf)
     model.features = vectors / np.sqrt(values)
-    rows = np.concatenate([model.kernel(model.presence(d, s, table)) for d, s in _small(texts)]) @ model.features
+    rows = np.concatenate([model.kernel(presence(codes[at:at + BATCH_ROWS])) for at in range(0, len(codes), BATCH_ROWS)]) @ model.features
     target = np.where(np.array(languages)[:, None] == np.array(names)[None, :], 1.0, -1.0)
     # rows of a rare language weigh as much in sum as those of others
     share = np.array([1 / languages.count(x) for x in names])[[names.index(x) for x in languages]]
@@ -138,9 +154,17 @@ def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: s
     the text enters a prediction; other columns are not read. The score is (f + 1) / 2 of the best language's
     regression f to +1 and -1, held to 0 and 1.
     """
-    rows = training_rows(docs, F.coalesce(learn, F.lit(False)), id_col, text_col, lang_col, per_language).collect()
-    rows.sort(key=lambda r: (r.order, r.lang, r.text))    # at most per_language rows of each language
-    model = fit([r.text for r in rows], [r.lang for r in rows], landmarks)
+    chosen = training_rows(docs, F.coalesce(learn, F.lit(False)), id_col, text_col, lang_col, per_language)
+
+    def count(batches):
+        for batch in batches:
+            codes = [gram_codes(t.as_py()).astype("<i4").tobytes() for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(codes, pa.binary())], ["lang", "order", "codes"])
+
+    # of each text only which grams it has, and at most per_language texts of each language
+    rows = chosen.select("lang", "order", "text").mapInArrow(releasing(count), "lang string, order bigint, codes binary").collect()
+    rows.sort(key=lambda r: (r.order, r.lang, bytes(r.codes)))
+    model = fit_codes([np.frombuffer(r.codes, "<i4") for r in rows], [r.lang for r in rows], landmarks)
 
     def run(batches):
         table = model.table()
@@ -159,4 +183,4 @@ def identify(docs: DataFrame, learn: Column, id_col: str = "doc_id", text_col: s
                                              ["doc_id", "lang_pred", "score"])
 
     return docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).cast("string")).mapInArrow(
-        run, "doc_id bigint, lang_pred string, score double")
+        releasing(run), "doc_id bigint, lang_pred string, score double")
