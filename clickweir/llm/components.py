@@ -36,9 +36,9 @@ def connected_components(edges: DataFrame, label: str = "links") -> DataFrame:
     """node, component (the smallest node reachable) for every node that has a link.
 
     `edges` has columns a and b; direction, repetition and loops don't matter. Large-star and
-    small-star rounds, each a stored table, until nothing changes; minima are combined before
-    shuffles, so a node with very many links is no hot key. Only a count and a checksum
-    reach the driver.
+    small-star rounds, each a stored table, until nothing changes. Minima are combined before
+    shuffles; a node with very many links meets them in a join, which adaptive skew handling splits
+    on the side of the links. Only a count and a checksum reach the driver.
     """
     spark = edges.sparkSession
     first = edges.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()

@@ -1,5 +1,8 @@
 """Language, quality, toxicity and page text: held-out accuracy, parts, edge cases."""
 
+import itertools
+import random
+
 import numpy as np
 import pyarrow as pa
 import pytest
@@ -156,6 +159,30 @@ def test_settled_beginnings_change_nothing(restorer, monkeypatch):
     assert [restorer.decode(t) for t in texts] == plain
 
 
+def test_viterbi_against_all_paths(restorer):
+    """Every way through the lattices of short stretches, scored one symbol after the other."""
+    def score(parts):
+        state, total = 0, 0.0
+        for out, cost in [*parts, (" ", 0.0)]:
+            total -= cost
+            for c in out:
+                s = restorer._symbol(c)
+                if s == 0 and state & 31 == 0:
+                    continue
+                total += restorer.log_p[(state << 5) | s]
+                state = ((state << 5) | s) & 0x7FFF
+        return total
+
+    rng = random.Random(4)
+    stretches = ["1d10t", "s t u", "b00k", "iddiot!", "a*b", "t h e", "@$$", "mor on", "6itch"]
+    stretches += ["".join(rng.choices("abotdi10$! *", k=rng.randint(1, 7))) for _ in range(200)]
+    for stretch in stretches:
+        paths = list(itertools.product(*restorer._arcs(stretch)))
+        best = max(map(score, paths))
+        texts = {"".join(out for out, _ in p).strip() for p in paths if score(p) > best - 1e-4}
+        assert restorer.decode(stretch) in texts, stretch
+
+
 def test_corpus_counts_cover_all_rows(spark):
     df = spark.createDataFrame([("abc",), ("ab",), (None,), ("é",)], "text string").repartition(3)
     grams = toxicity.gram_counts(df)
