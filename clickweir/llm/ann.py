@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, Window
 
-from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, estimates, usable
+from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, estimates, usable, vector_type
 from clickweir.session import stored
 
 QUERY_ROWS = 1024
@@ -60,7 +60,7 @@ def nearest(df: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_id",
     vectors of one length are compared. An empty table gives no rows. Every pair of a query
     and a candidate goes through a tile, so nothing is missed.
     """
-    rows = (df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"),
+    rows = (df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(vector_type(df, vector_col)).alias("vector"),
                       F.coalesce(is_query, F.lit(False)).alias("asks"))
             .filter(usable(F.col("vector")) & F.col("id").isNotNull())
             .groupBy("id", "vector").agg(F.max("asks").alias("asks"))

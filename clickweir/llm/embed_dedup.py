@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from clickweir.llm.components import connected_components
-from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, estimates, usable
+from clickweir.llm.vectors import BLOCK_ROWS, SLACK, Block, blocks, cosines, estimates, usable, vector_type
 from clickweir.session import stored
 
 THRESHOLD = 0.9
@@ -96,7 +96,8 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
     an id link with nothing and are kept; so do vectors of different lengths among each other. Repeated rows
     are vectors like others and link. An empty table gives no rows. Other columns are not read.
     """
-    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast("array<float>").alias("vector"))
+    kind = vector_type(df, vector_col)
+    rows = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(vector_col).cast(kind).alias("vector"))
     good = usable(F.col("vector")) & F.col("id").isNotNull()
     merged = stored(rows.filter(good).groupBy("vector").agg(F.min("id").alias("rep"), F.count("*").alias("weight")),
                     "vectors")
@@ -104,7 +105,7 @@ def near_vectors(df: DataFrame, threshold: float = THRESHOLD, id_col: str = "vec
     sample = [r.vector for r in merged.orderBy(F.xxhash64("rep")).limit(pivots).select("vector").collect()]
     centres = np.array([v for v in sample if len(v) == len(sample[0])], "f8") if sample else np.ones((1, 1))
     put = stored(merged.select(F.col("rep").alias("id"), "weight", "vector").mapInArrow(
-        _nearest_pivot(centres), "id bigint, weight bigint, vector array<float>, cell bigint, angle double"), "cells")
+        _nearest_pivot(centres), f"id bigint, weight bigint, vector {kind}, cell bigint, angle double"), "cells")
     cells = {r.cell: r for r in put.groupBy("cell").agg(
         F.count("*").alias("n"), F.max("angle").alias("radius")).collect()}
     unit = centres / np.sqrt((centres * centres).sum(axis=1))[:, None]

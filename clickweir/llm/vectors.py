@@ -3,7 +3,8 @@
 A unit vector x is held as s*q with int8 q and a scale s. With e = |x - s*q|, known for each
 vector, the inner product of x and y differs from s_x*s_y*(q_x.q_y) by at most
 e_x + (1 + e_x)*e_y. Products of int8 codes are integers below 2**24 for up to
-1,000 dimensions, so single-precision matrix products give them exactly.
+1,000 dimensions, so single-precision matrix products give them exactly; longer vectors are multiplied in parts
+of 1,000, which are added in double precision.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 BLOCK_ROWS = 4096
+EXACT_DIMENSIONS = 1000
 SLACK = 1e-7      # above all rounding in bounds and scaled products
 
 
@@ -25,6 +27,12 @@ def usable(vector: Column) -> Column:
     return vector.isNotNull() & ~bad & F.exists(vector, lambda v: v != 0)
 
 
+def vector_type(df: DataFrame, vector_col: str) -> str:
+    """Arrays of single precision stay so, others become arrays of double precision."""
+    kind = df.schema[vector_col].dataType
+    return "array<float>" if kind.simpleString() == "array<float>" else "array<double>"
+
+
 @dataclass
 class Block:
     ids: np.ndarray        # int64
@@ -46,9 +54,10 @@ class Block:
         return cls(np.asarray(ids, "i8"), np.asarray(weight, "i8"), x, norms, codes, scale, error)
 
     def to_bytes(self) -> bytes:
-        """Original vectors in single precision, as they came; the rest follows from them."""
+        """Original vectors, in single precision if that holds them; the rest follows from them."""
         out = io.BytesIO()
-        np.savez(out, ids=self.ids, weight=self.weight, vectors=self.vectors.astype("f4"))
+        single = self.vectors.astype("f4")
+        np.savez(out, ids=self.ids, weight=self.weight, vectors=single if (single == self.vectors).all() else self.vectors)
         return out.getvalue()
 
     @classmethod
@@ -59,7 +68,13 @@ class Block:
 
 def estimates(x: Block, y: Block) -> tuple[np.ndarray, np.ndarray]:
     """Estimated cosines of all pairs, and per row of x the largest error over y."""
-    product = x.codes.astype("f4") @ y.codes.astype("f4").T
+    a, b = x.codes.astype("f4"), y.codes.astype("f4")
+    if a.shape[1] <= EXACT_DIMENSIONS:
+        product = a @ b.T
+    else:
+        product = np.zeros((len(a), len(b)))
+        for at in range(0, a.shape[1], EXACT_DIMENSIONS):
+            product += a[:, at:at + EXACT_DIMENSIONS] @ b[:, at:at + EXACT_DIMENSIONS].T
     product *= x.scale.astype("f4")[:, None]
     product *= y.scale.astype("f4")[None, :]
     return product, x.error

@@ -1,5 +1,6 @@
 """SimHash, components, vectors: against brute force, and edge cases."""
 
+import math
 import re
 
 import numpy as np
@@ -137,6 +138,21 @@ def test_nearest(spark, sizes):
     assert nearest(df.limit(0), F.lit(True)).collect() == []
 
 
+def test_double_vectors_keep_their_precision(spark):
+    """Cosines that single precision cannot tell apart, on both sides of the threshold; and over 1,000 dimensions."""
+    tilt = [math.acos(0.9) + d for d in (-1e-10, 1e-10)]
+    rows = [(0, [1.0, 0.0]), *[(i + 1, [math.cos(a), math.sin(a)]) for i, a in enumerate(tilt)], (3, [0.0, -1.0])]
+    df = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    assert {r.vec_id: r.n_links for r in near_vectors(df).collect()} == {0: 1, 1: 2, 2: 1, 3: 0}
+    first = nearest(df, F.col("vec_id") == 0).orderBy("rank").collect()
+    assert [r.vec_id for r in first] == [1, 2, 3] and first[0].score > 0.9 > first[1].score
+    rng = np.random.default_rng(5)
+    x = Block.of(np.arange(8), np.ones(8), rng.normal(size=(8, 2500)))
+    codes = x.codes.astype("i8") @ x.codes.astype("i8").T
+    assert np.allclose(estimates(x, x)[0], codes * x.scale[:, None] * x.scale[None, :], rtol=1e-6)
+    assert (Block.from_bytes(x.to_bytes()).vectors == x.vectors).all()
+
+
 def test_error_bounds_hold():
     rng = np.random.default_rng(1)
     x, y = (Block.of(np.arange(50), np.ones(50), rng.normal(size=(50, 64)) * 10.0 ** rng.integers(-3, 3, (50, 1))) for _ in range(2))
