@@ -335,7 +335,7 @@ def _(spark, d):
     return rows.select((F.row_number().over(Window.orderBy("batch_id")) - 1).alias("delivery"), "input_rows", "dropped_rows")
 
 
-@query("open_windows", """SELECT window_start, window_end, impressions, clicks FROM m1
+@query("stream_open_windows", """SELECT window_start, window_end, impressions, clicks FROM m1
 WHERE window_end > (SELECT date_trunc('millisecond', max(event_time)) FROM ad) - INTERVAL 3 DAY""")
 def _(spark, d):
     """The windows that a stopped stream still waits for, read from its state."""
