@@ -28,11 +28,13 @@ from clickweir.llm.quality_fm import _powers
 from clickweir.llm.suffix_runs import CONTEXT, REACH, WINDOW, Anchors, Run, anchors, context_order, contexts, merge, squeeze, unsqueeze
 from clickweir.llm.utf8 import pieces
 from clickweir.llm.workers import frees
+from clickweir.operators.joins import BROADCAST_BYTES, estimated_bytes
 from clickweir.session import stored
 
 BUCKET_BYTES = 4 << 20
 MOST_BUCKETS = 8192          # beyond that, buckets grow up to LARGE_BUCKET
 LARGE_BUCKET = 64 << 20
+SALTS = 16                   # tasks that the copies of one text go to
 HOT_GRAM = 2000              # texts of a gram that are still compared by contexts
 PRINT_BITS = 40              # of a fingerprint; more where there are more anchors
 NO_ID = (1 << 63) - 1        # stands for a null id, larger than all
@@ -320,6 +322,16 @@ def _rows(found, **kinds) -> pa.Table:
     return pa.table({name: pa.array([f[i] for f in found], kind) for i, (name, kind) in enumerate(kinds.items())})
 
 
+def _with_least(rows: DataFrame, least: DataFrame) -> DataFrame:
+    """Rows of repeated texts with the least id of their text. The texts are broadcast if they are few; else the copies of one
+    text are dealt to SALTS tasks, each of which gets the text."""
+    if estimated_bytes(least) <= BROADCAST_BYTES:
+        return rows.join(F.broadcast(least), F.col("sha") == F.col("c_sha"))
+    salted = least.withColumn("c_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    return rows.withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")) \
+        .join(salted, (F.col("sha") == F.col("c_sha")) & (F.col("salt") == F.col("c_salt")))
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False,
                    keep: tuple[str, ...] = (), bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256: one row per row of `docs`.
@@ -342,9 +354,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     bits = min(64, max(PRINT_BITS, total.bit_length() + 10))
     bucket = F.pmod(F.xxhash64("id", "sha"), F.lit(buckets)).alias("bucket")
     dealt = dealt.select("*", bucket)
-    least = marks.groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1")
-    copies = (marks.select("id", "sha").join(least.select(F.col("sha").alias("c_sha"), "least"), F.col("sha") == F.col("c_sha"))
-              .filter("id > least").select("id", "sha", bucket).distinct())
+    least = stored(marks.groupBy("sha").agg(F.min("id").alias("least"), F.count("*").alias("n")).filter("n > 1")
+                   .select(F.col("sha").alias("c_sha"), "least"), "repeated-texts")
+    copies = _with_least(marks.select("id", "sha"), least).filter("id > least").select("id", "sha", bucket).distinct()
     none = F.lit(None).cast("binary")
     copies = stored(copies.select("bucket", F.lit(COPY).alias("kind"), "id", "sha", none.alias("data")), "whole-copies")
 

@@ -6,6 +6,7 @@ import random
 import numpy as np
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from clickweir.llm import suffix_dedup
 from clickweir.llm.suffix_dedup import remove_repeats
@@ -119,6 +120,17 @@ def test_loser_tree_merges_front_coded_runs(k):
     assert [runs[r].strings()[p] for r, p in zip(of, place)] == strings
 
 
+def test_copies_are_found_by_either_join(spark, monkeypatch):
+    rows = [(i, f"{'same text ' * 8}{i // 40}") for i in range(400)] + [(7, "once")]
+    marks = spark.createDataFrame(rows, "id bigint, sha string")
+    least = marks.groupBy("sha").agg(F.min("id").alias("least")).select(F.col("sha").alias("c_sha"), "least")
+    found = []
+    for most in (1 << 40, 0):
+        monkeypatch.setattr(suffix_dedup, "BROADCAST_BYTES", most)
+        found.append(sorted(map(tuple, suffix_dedup._with_least(marks, least).select("id", "sha", "least").collect())))
+    assert found[0] == found[1] and len(found[0]) == 401
+
+
 def test_left_sides_of_one_hash_are_told_apart():
     """Without the multiplier most left sides share their hash; the windows found stay the same."""
     rng = np.random.default_rng(7)
