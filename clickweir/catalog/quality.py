@@ -142,10 +142,11 @@ def _(spark, d):
 _FAST = _report_sql(_GENERIC)
 
 
-@query("dq_report_fail_fast", f"""SELECT seq, test, CASE WHEN seq <= coalesce(first_fail, 1000) THEN failures END AS failures,
-CASE WHEN seq > coalesce(first_fail, 1000) THEN 'skipped' ELSE status END AS status FROM (SELECT *, min(CASE WHEN failures > 0 THEN seq END) OVER () AS first_fail FROM ({_FAST}))""")
+@query("dq_report_fail_fast", f"""SELECT seq, test, failures, CASE WHEN seq > coalesce(first_fail, 1000) THEN 'skipped'
+ELSE status END AS status FROM (SELECT *, min(CASE WHEN failures > 0 THEN seq END) OVER () AS first_fail FROM ({_FAST}))""")
 def _(spark, d):
-    return q.report(generic_checks(audited=True), stored_tables(spark, d), fail_fast=True)
+    """The statuses of a run that stops at the first failure, with the failures of all checks."""
+    return q.report(generic_checks(audited=True), stored_tables(spark, d), fail_fast=True, count_skipped=True)
 
 
 _DRIFT = " UNION ALL ".join(

@@ -119,17 +119,23 @@ def _failures(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataF
 
 
 def report(checks: Sequence[Check], tables: Mapping[str, DataFrame],
-           fail_fast: bool = False) -> DataFrame:
+           fail_fast: bool = False, count_skipped: bool = False) -> DataFrame:
     """(seq, test, failures, status) for a suite.
 
     With fail_fast, checks run table by table in their order, and nothing runs behind the first that fails: the checks
-    behind it are 'skipped', without a number of failures.
+    behind it are 'skipped', without a number of failures. With count_skipped these are counted all the same, so the
+    report says what a run that stopped would have left unseen.
     """
-    if fail_fast:
+    if fail_fast and not count_skipped:
         return _report_until_failure(checks, tables)
     order = F.create_map(*[x for i, c in enumerate(checks) for x in (F.lit(c.name), F.lit(i + 1))])
     found = _failures(checks, tables).select(order[F.col("test")].alias("seq"), "test", "failures")
-    return found.withColumn("status", F.when(F.col("failures") > 0, "fail").otherwise("pass"))
+    status = F.when(F.col("failures") > 0, "fail").otherwise("pass")
+    if fail_fast:
+        one_per_check = Window.partitionBy(F.lit(0))
+        first = F.min(F.when(F.col("failures") > 0, F.col("seq"))).over(one_per_check)
+        status = F.when(F.col("seq") > F.coalesce(first, F.lit(len(checks))), "skipped").otherwise(status)
+    return found.withColumn("status", status)
 
 
 def _report_until_failure(checks: Sequence[Check], tables: Mapping[str, DataFrame]) -> DataFrame:

@@ -6,6 +6,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
+from clickweir.catalog import QUERIES
 from clickweir.operators import global_order, profiling, quality as q, sampling
 from clickweir.plans import model_prep
 from clickweir.plans.quality_suite import generic_checks, singular_checks
@@ -46,6 +47,14 @@ def test_report_and_fail_fast(spark):
     assert {r["status"] for r in q.report(CHECKS, good, fail_fast=True).collect()} == {"pass"}
 
 
+def test_fail_fast_counts_skipped_checks(spark, sf):
+    bad = {"t": spark.createDataFrame([(1, 0), (1, 5), (2, 1)], "id int, click int")}
+    got = {r["seq"]: (r["failures"], r["status"]) for r in q.report(CHECKS, bad, fail_fast=True, count_skipped=True).collect()}
+    assert got == {1: (0, "pass"), 2: (1, "fail"), 3: (1, "skipped"), 4: (1, "skipped")}
+    report = QUERIES["dq_report_fail_fast"](spark, sf).collect()
+    assert {r["status"] for r in report} == {"pass", "fail", "skipped"} and all(r["failures"] is not None for r in report)
+
+
 def test_row_checks_share_one_scan(spark):
     df = {"t": spark.createDataFrame([(1, 0)], "id int, click int")}
     row_checks = [c for c in CHECKS if isinstance(c, q.RowCheck)]
