@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from clickweir.catalog import frames
 from clickweir.catalog.registry import query
@@ -163,12 +163,11 @@ _LENIENT = ", ".join(f"nullif(trim({c}), '') AS {c}" if c == "id" or EVENT_TYPES
 row_number() OVER (ORDER BY n, event_time) AS line FROM raw""")
 def _(spark, d):
     """Lenient scan of the CSV copy: empty and unreadable fields become NULL."""
-    ordered = frames.raw(spark, d).orderBy(F.col("id").cast("bigint"), "event_time").coalesce(1)
-    rows = files.csv_null_lenient(spark, frames.csv_copy(spark, ordered), "adlog")
-    line = F.row_number().over(Window.partitionBy("_file").orderBy("_line_number"))
+    ordered = frames.raw(spark, d).orderBy(F.col("id").cast("bigint"), "event_time")
+    rows = files.csv_numbered_lines(spark, frames.csv_copy(spark, ordered), "adlog")
     return rows.select(*EVENT_COLUMNS, F.col(files.CORRUPT).isNotNull().cast("int").alias("corrupt"), F.col("_source").alias("source"),
                        (F.col("_file") != "").cast("int").alias("has_file"), F.col("_processed_at").isNotNull().cast("int").alias("processed"),
-                       line.alias("line"))
+                       F.col("_line_number").alias("line"))
 
 
 @query("recent_events", """SELECT CAST(id AS VARCHAR) AS id, click, event_time FROM (

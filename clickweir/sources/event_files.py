@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from clickweir.schema import EVENT_SCHEMA, RAW_SCHEMA, STRING_COLUMNS
+from clickweir.session import stored
 
 CORRUPT = "_corrupt_record"
 
@@ -95,6 +96,22 @@ def csv_null_lenient(spark: SparkSession, path: str, source: str) -> DataFrame:
         F.monotonically_increasing_id().alias("_line_number"))
 
 
+def csv_numbered_lines(spark: SparkSession, path: str, source: str) -> DataFrame:
+    """The lenient scan with `_line_number` 1, 2, ... over all files in the order of their names.
+
+    A task reads a split of a file from its first line to its last, so within a split numbers have no gaps. The rows are
+    stored as they come; only the splits, one row each, are put in order, and each split's rows are moved by what lies before it.
+    """
+    rows = stored(csv_null_lenient(spark, path, source).withColumn("_split", F.col("_metadata.file_block_start")), "numbered-lines")
+    splits = rows.groupBy("_file", "_split").agg(F.min("_line_number").alias("_first"), F.count("*").alias("_lines"))
+    # one row per split
+    before = Window.partitionBy(F.lit(0)).orderBy("_file", "_split").rowsBetween(Window.unboundedPreceding, -1)
+    moved = splits.select(F.col("_file").alias("_f"), F.col("_split").alias("_s"),
+                          (F.coalesce(F.sum("_lines").over(before), F.lit(0)) - F.col("_first") + 1).alias("_by"))
+    return (rows.join(F.broadcast(moved), (F.col("_file") == F.col("_f")) & (F.col("_split") == F.col("_s")))
+            .withColumn("_line_number", F.col("_line_number") + F.col("_by")).drop("_split", "_f", "_s", "_by"))
+
+
 def publish_event_json(df: DataFrame) -> DataFrame:
     """Keyed JSON messages: key is the id as text, value the whole event."""
     from clickweir.functions.payloads import event_to_json

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
+from clickweir.catalog import QUERIES, ingest as ingest_catalog
 from clickweir.operators import validation as v
 from clickweir.plans import ingest
 from clickweir.schema import EVENT_COLUMNS, EVENT_SCHEMA, RAW_SCHEMA
@@ -119,6 +120,35 @@ def test_csv_empty_and_short_lines(spark, tmp_path):
     assert lenient[0]["_source"] == "feed" and lenient[1]["_corrupt_record"] is not None
 
 
+def test_lines_are_numbered_over_files_and_splits(spark, tmp_path):
+    for f in range(3):
+        lines = [",".join({**VALID, "id": str(100 * f + i), "site_id": "s" * i}.values()) for i in range(40 - 10 * f)]
+        (tmp_path / f"part-{f}.csv").write_text(csv_text(*lines))
+    (tmp_path / "part-3.csv").write_text(csv_text())
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "1k")
+    try:
+        numbered = files.csv_numbered_lines(spark, str(tmp_path), "feed")
+        assert files.csv_null_lenient(spark, str(tmp_path), "feed").select(F.spark_partition_id()).distinct().count() > 5
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+    assert numbered.columns == files.csv_null_lenient(spark, str(tmp_path), "feed").columns
+    got = sorted((r["_line_number"], int(r["id"])) for r in numbered.collect())
+    assert got == list(enumerate([*range(40), *range(100, 130), *range(200, 220)], 1))
+
+
+def test_lenient_copy_is_written_by_many_tasks(spark, sf, monkeypatch):
+    written = []
+    copy = ingest_catalog.frames.csv_copy
+    monkeypatch.setattr(ingest_catalog.frames, "csv_copy", lambda spark, rows: written.append(rows) or copy(spark, rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        lines = [r["line"] for r in QUERIES["csv_null_lenient"](spark, sf).collect()]
+        assert written[0].select(F.spark_partition_id()).distinct().count() > 1
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sorted(lines) == list(range(1, len(lines) + 1))
+
+
 def test_scan_limit(spark):
     df = spark.range(10)
     assert files.scan_limit(df, 3, [F.col("id").desc()]).count() == 3
