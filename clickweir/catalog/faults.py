@@ -9,7 +9,7 @@ from clickweir.catalog.registry import query
 from clickweir.catalog.sql import STAMP, ratio
 from clickweir.plans import faults
 from clickweir.schema import EVENT_COLUMNS, EVENT_TYPES
-from clickweir.session import scratch_path
+from clickweir.session import scratch_path, stored
 from clickweir.sources import tables
 from clickweir.sources.event_files import CORRUPT
 
@@ -72,7 +72,7 @@ def _(spark, d):
 {_ENVELOPE} AS message_content, reason AS error_reason, TIMESTAMP '{STAMP}' AS processed_at FROM {_DLQ}""")
 def _(spark, d):
     """Dead letters written to their table, a replay of the batch included, read back."""
-    rows, path = faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), scratch_path(spark, "dlq")
+    rows, path = stored(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), "dead-letters"), scratch_path(spark, "dlq")
     for _ in range(2):
         tables.store_dlq_messages(rows.where("offset % 2 = 0"), path, 0, run="a")
     tables.store_dlq_messages(rows.where("offset % 2 = 1"), path, 0, run="b")
@@ -82,10 +82,10 @@ def _(spark, d):
 @query("dlq_daily_log", f"""SELECT {_ID} AS message_id, TIMESTAMP '{STAMP}' AS "timestamp", {_ENVELOPE} AS content, reason AS error_reason,
 CAST(CAST(TIMESTAMP '{STAMP}' AS DATE) AS VARCHAR) AS log_date FROM {_DLQ}""")
 def _(spark, d):
-    """JSON-lines log by day, read back."""
-    path = scratch_path(spark, "dlq_log")
+    """JSON-lines log by day, a replay of the batch included, read back."""
+    rows, path = stored(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), "dead-letters"), scratch_path(spark, "dlq_log")
     for _ in range(2):
-        tables.dlq_daily_log(faults.dlq_rows(_dead_letters(spark, d), frames.stamp()), path, 0, run="a")
+        tables.dlq_daily_log(rows, path, 0, run="a")
     return spark.read.schema("message_id string, timestamp timestamp, content string, error_reason string, "
                              "log_date date").json(path).drop("run", "batch_id")
 

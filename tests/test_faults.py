@@ -2,6 +2,7 @@ import json
 
 from pyspark.sql import functions as F
 
+from clickweir.catalog import QUERIES
 from clickweir.plans import faults
 from clickweir.sources import tables
 from conftest import rows
@@ -109,3 +110,13 @@ def test_recovered_and_history(spark):
     got = faults.retry_error_history(df, F.lit("Connection timeout")).collect()
     assert got[0]["error_history"] == ["Connection refused", "Connection timeout"]
     assert got[1]["error_history"] == ["Connection timeout"] and got[1]["last_error"] == "Connection timeout"
+
+
+def test_a_replayed_log_decodes_once(spark, sf, monkeypatch):
+    """Both writes of the batch, the replay too, read the stored dead letters."""
+    logged = []
+    write = tables.dlq_daily_log
+    monkeypatch.setattr(tables, "dlq_daily_log", lambda rows, *a, **k: logged.append(rows) or write(rows, *a, **k))
+    assert QUERIES["dlq_daily_log"](spark, sf).count() > 0
+    plans = [rows._jdf.queryExecution().optimizedPlan().toString() for rows in logged]
+    assert len(plans) == 2 and not any("parse_json" in p or "from_json" in p.lower() for p in plans)
