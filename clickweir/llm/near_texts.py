@@ -5,6 +5,10 @@ fingerprints that differ in at most three bits, as in `simhash`: what comes out
 star of the texts that share one. Every such pair of texts is verified: two are near copies if their sets of five-word
 shingles are alike by 0.8 or more (Jaccard). Words are less disturbed by an edit than shingles are, so texts that alike
 have a close fingerprint far more often than by fingerprints of the shingles themselves.
+
+A pair of forest or star that is not alike may part texts that are alike by other pairs. So where one parts groups, every
+close pair between the groups is looked at in turn, and verified unless bounds on its shingles rule it out. Pairs
+within a group link nothing more, so a large group of near copies never makes all its pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickweir.llm.components import connected_components
-from clickweir.llm.simhash import HOT_KEY, SEED, _keys, _masks, forest
+from clickweir.llm.simhash import HOT_KEY, MOST_BITS, SEED, TILE, _keys, _masks, forest
 from clickweir.llm.workers import releasing, ship_package
 from clickweir.session import stored
 
@@ -77,14 +81,33 @@ def _alike(batches: Iterable[pa.RecordBatch], shingle: int, similarity: float) -
         yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
 
+def sketch(text: str | None, shingle: int = SHINGLE) -> tuple[int, np.ndarray]:
+    """The number of different shingles, and the parity of the shingles in each of 256 buckets. Sets that differ in d shingles
+    have sketches that differ in d bits at most."""
+    from xxhash import xxh64_intdigest
+
+    found = shingles(text, shingle)
+    buckets = np.array([xxh64_intdigest(s, SEED) & 255 for s in found], "i8")
+    return len(found), np.packbits(np.bincount(buckets, minlength=256) & 1).view("i8")
+
+
+def _sketches(batches: Iterable[pa.RecordBatch], shingle: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        got = [sketch(t.as_py(), shingle) for t in batch.column("text")]
+        bits = np.array([b for _, b in got], "i8").reshape(-1, 4)
+        kept = batch.drop_columns(["text"])
+        yield pa.RecordBatch.from_arrays([*kept.columns, pa.array([n for n, _ in got], pa.int64()), *[pa.array(bits[:, k]) for k in range(4)]],
+                                         [*kept.schema.names, "n", *[f"s{k}" for k in range(4)]])
+
+
 def _hashes(text_col: str) -> list:
     """Two hashes that tell texts apart; null is a text of its own, and so is the empty one."""
     text = F.col(text_col).cast("string")
     return [F.xxhash64(text, F.lit(1)).alias("t1"), F.xxhash64(F.lit(SEED), text).alias("t2")]
 
 
-def _link_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Links of nodes within equal keys; rows come sorted by their keys, with fp and node last."""
+def _groups(batches: Iterable[pa.RecordBatch]) -> Iterator[list[np.ndarray]]:
+    """Rows of equal keys, the groups that end in a batch together; rows come sorted by the key, their first column."""
     held = None
     for batch in chain(batches, [None]):
         if batch is not None:
@@ -92,32 +115,65 @@ def _link_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             held = rows if held is None else np.concatenate([held, rows])
         if held is None or not len(held):
             continue
-        starts = np.flatnonzero(np.r_[True, (held[1:, :-2] != held[:-1, :-2]).any(axis=1)])
+        starts = np.flatnonzero(np.r_[True, held[1:, 0] != held[:-1, 0]])
         ends = np.r_[starts[1:], len(held)]
         whole = len(starts) - (batch is not None)      # the last group may go on
-        a, b = [np.zeros(0, "i8")], [np.zeros(0, "i8")]
-        for s, e in zip(starts[:whole], ends[:whole]):
-            if e - s > 1:
-                fps, at = np.unique(held[s:e, -2], return_index=True)
-                node = held[s:e, -1][at]
-                x, y = forest(fps.view("u8"))
-                a.append(node[np.searchsorted(fps, x.view("i8"))])
-                b.append(node[np.searchsorted(fps, y.view("i8"))])
+        yield [held[s:e] for s, e in zip(starts[:whole], ends[:whole]) if e - s > 1]
         held = held[starts[whole]:] if whole < len(starts) else held[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
 
 
-def _candidates(texts: DataFrame, prints: int, hot_key: int) -> DataFrame:
-    """Pairs of nodes: of every fingerprint the links between values, and of texts of one value with the first."""
-    of = texts.select("node", F.posexplode(F.array(*[f"p{k}" for k in range(prints)])).alias("print", "fp"))
-    first = stored(of.groupBy("print", "fp").agg(F.min("node").alias("first")), "fingerprints")
-    star = of.join(first, ["print", "fp"]).filter(F.col("node") > F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+def _links_batch(a: list[np.ndarray], b: list[np.ndarray]) -> pa.RecordBatch:
+    none = [np.zeros(0, "i8")]
+    return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a or none)), pa.array(np.concatenate(b or none))], ["a", "b"])
+
+
+def _link_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Links of nodes within equal keys; rows of key, fp and node come sorted by their keys."""
+    for groups in _groups(batches):
+        a, b = [], []
+        for rows in groups:
+            fps, at = np.unique(rows[:, 1], return_index=True)
+            node = rows[:, 2][at]
+            x, y = forest(fps.view("u8"))
+            a.append(node[np.searchsorted(fps, x.view("i8"))])
+            b.append(node[np.searchsorted(fps, y.view("i8"))])
+        yield _links_batch(a, b)
+
+
+def _cross_sorted(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
+    """Close pairs of nodes with different labels that may be alike; rows of key, fp, node, label, n and the
+    sketch come sorted by their keys. Tiles within one label are passed over."""
+    share = (1 - similarity) / (1 + similarity)      # of both sizes, in which sets of that similarity may differ
+    for rows in chain.from_iterable(_groups(batches)):
+        if (rows[:, 3] == rows[0, 3]).all():
+            continue
+        rows = rows[np.argsort(rows[:, 3], kind="stable")]
+        fps, node, label, n, bits = rows[:, 1].view("u8"), rows[:, 2], rows[:, 3], rows[:, 4], rows[:, 5:].view("u8")
+        for at in range(0, len(rows), TILE):
+            for to in range(at, len(rows), TILE):
+                x, y = slice(at, at + TILE), slice(to, to + TILE)
+                if label[x][0] == label[y][-1]:
+                    continue
+                near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= MOST_BITS) & (label[x, None] != label[None, y])
+                i, j = np.nonzero(near)
+                i, j = i + at, j + to
+                i, j = i[i < j], j[i < j]
+                most = share * (n[i] + n[j]) + 1e-6
+                may = np.maximum(np.abs(n[i] - n[j]), np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype="i8")) <= most
+                if may.any():
+                    yield _links_batch([np.minimum(node[i], node[j])[may]], [np.maximum(node[i], node[j])[may]])
+
+
+def _by_close_keys(rows: DataFrame, hot_key: int, count: int) -> DataFrame:
+    """`rows` of print and fp once for each of their keys, such that close fingerprints share one; sorted by `key` within tasks.
+    `count` says about how many rows there are."""
+    kept = [c for c in rows.columns if c not in ("print", "fp")]
     masks = _masks(list(range(64)), BLOCKS)
     # one hash stands for print, choice and key; two keys of one hash are compared together, which links nothing more
-    keyed = (first.withColumn("k", F.explode(_keys(F.col("fp"), masks)))
-             .select(F.xxhash64("print", "k.choice", "k.key").alias("key"), "k.choice", "fp", "first"))
+    keyed = (rows.withColumn("k", F.explode(_keys(F.col("fp"), masks)))
+             .select(F.xxhash64("print", "k.choice", "k.key").alias("key"), "k.choice", "fp", *kept))
     # a hot key is in a crowded bucket of keys; only these count their keys one by one
-    buckets = max(1 << 16, first.count() * len(masks) // 1024)
+    buckets = max(1 << 16, count * len(masks) // 1024)
     bucket = F.pmod("key", F.lit(buckets))
     crowded = stored(keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).filter(F.col("n") > hot_key).select("bucket"), "crowded")
     hot = stored(keyed.join(crowded, bucket == F.col("bucket"), "left_semi").groupBy("key").agg(F.count("*").alias("n"))
@@ -125,13 +181,56 @@ def _candidates(texts: DataFrame, prints: int, hot_key: int) -> DataFrame:
     # a hot key's other bits, cut in turn; which bits these are depends on the choice
     inner = F.array(*[_keys(F.col("fp"), _masks([b for b in range(64) if not m >> b & 1])) for m in masks])
     parts = F.transform(F.get(inner, F.col("choice")), lambda s: F.xxhash64("key", s["choice"], s["key"]))
-    rows = keyed.join(hot, "key", "left").select(
-        F.explode(F.when(F.col("hot"), parts).otherwise(F.array("key"))).alias("key"), "fp", "first")
-    by = ["key"]
-    close = rows.repartition(*by).sortWithinPartitions(*by).mapInArrow(releasing(_link_sorted), "a bigint, b bigint")
+    dealt = keyed.join(hot, "key", "left").select(
+        F.explode(F.when(F.col("hot"), parts).otherwise(F.array("key"))).alias("key"), "fp", *kept)
+    return dealt.repartition("key").sortWithinPartitions("key")
+
+
+def _prints(texts: DataFrame, prints: int, *columns: str) -> DataFrame:
+    return texts.select("node", *columns, F.posexplode(F.array(*[f"p{k}" for k in range(prints)])).alias("print", "fp"))
+
+
+def _candidates(texts: DataFrame, prints: int, hot_key: int) -> DataFrame:
+    """Pairs of nodes: of every fingerprint the links between values, and of texts of one value with the first."""
+    of = _prints(texts, prints)
+    first = stored(of.groupBy("print", "fp").agg(F.min("node").alias("first")), "fingerprints")
+    star = of.join(first, ["print", "fp"]).filter(F.col("node") > F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
+    close = _by_close_keys(first, hot_key, first.count()).mapInArrow(releasing(_link_sorted), "a bigint, b bigint")
     return star.unionAll(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
+def _verified(pairs: DataFrame, content: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """The pairs whose texts are alike."""
+    both = pairs.join(content.select(F.col("node").alias("a"), F.col("text").alias("x")), "a") \
+        .join(content.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
+    return stored(both.mapInArrow(releasing(lambda b: _alike(b, shingle, similarity)), "a bigint, b bigint"), "near-copies")
+
+
+def _groups_of_copies(texts: DataFrame, pairs: DataFrame, content: DataFrame, shingle: int, similarity: float, prints: int,
+                      hot_key: int) -> DataFrame:
+    """node, component of all texts with a near copy, as if every close pair had been verified.
+
+    Verified `pairs` give groups. One that is not alike and lies between two groups leaves open whether other pairs link them;
+    close texts of different groups are always joined by a chain of `pairs`, so the groups at such pairs are all that can be
+    linked yet. Of these, the close pairs between groups are verified.
+    """
+    parts = stored(connected_components(_verified(pairs, content, shingle, similarity), "near-links"), "groups")
+    label = stored(content.select("node").join(parts, "node", "left").select("node", F.coalesce("component", "node").alias("label")), "group-labels")
+    parted = stored(pairs.join(label.select(F.col("node").alias("a"), F.col("label").alias("la")), "a")
+                    .join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").filter("la <> lb"), "parted")
+    ends = stored(parted.select(F.col("la").alias("label")).union(parted.select("lb")).distinct(), "open-groups")
+    # the sketches of all texts in such groups
+    members = texts.select("node", *[f"p{k}" for k in range(prints)]).join(label.join(ends, "label"), "node").join(content, "node") \
+        .select("node", "label", *[f"p{k}" for k in range(prints)], "text")
+    kinds = ", ".join(f"{c} bigint" for c in ("node", "label", *[f"p{k}" for k in range(prints)], "n", "s0", "s1", "s2", "s3"))
+    open_texts = stored(members.mapInArrow(releasing(lambda b: _sketches(b, shingle)), kinds), "open-texts")
+    rows = _prints(open_texts, prints, "label", "n", "s0", "s1", "s2", "s3").select("print", "fp", "node", "label", "n", "s0", "s1", "s2", "s3")
+    close = _by_close_keys(rows, hot_key, prints * open_texts.count()).mapInArrow(
+        releasing(lambda b: _cross_sorted(b, similarity)), "a bigint, b bigint").distinct()
+    more = _verified(stored(close.join(parted.select("a", "b"), ["a", "b"], "left_anti"), "pairs-between-groups"), content, shingle, similarity)
+    return connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "group-links")
+
+
 def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY,
                 prints: int = PRINTS, hot_key: int = HOT_KEY) -> DataFrame:
     """The rows of `docs` that stay: one of each group of near copies, that of the smallest id (null ids last). Of
@@ -153,10 +252,7 @@ def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     wanted = texts.join(ends, "node").select("node", "t1", "t2")
     content = stored(docs.select(*_hashes(text_col), F.col(text_col).cast("string").alias("text")).join(wanted, ["t1", "t2"])
                      .groupBy("node").agg(F.first("text").alias("text")), "candidate-texts")
-    both = pairs.join(content.select(F.col("node").alias("a"), F.col("text").alias("x")), "a") \
-        .join(content.select(F.col("node").alias("b"), F.col("text").alias("y")), "b").select("a", "b", "x", "y")
-    alike = both.mapInArrow(releasing(lambda b: _alike(b, shingle, similarity)), "a bigint, b bigint")
-    parts = connected_components(stored(alike, "near-copies"), "near-links").withColumnRenamed("node", "linked")
+    parts = _groups_of_copies(texts, pairs, content, shingle, similarity, prints, hot_key).withColumnRenamed("node", "linked")
     kept = (texts.join(parts, F.col("node") == F.col("linked"), "left").groupBy(F.coalesce("component", "node").alias("part"))
             .agg(F.min(F.struct("first", "t1", "t2")).alias("k"))
             .select(F.col("k.first.doc_id").alias("k_id"), F.col("k.t1").alias("k1"), F.col("k.t2").alias("k2")))

@@ -67,6 +67,56 @@ def test_a_large_group_makes_few_pairs(spark):
     assert near_texts._candidates(texts, near_texts.PRINTS, 64).count() < 100 * len(rows)
 
 
+def by_close_pairs(rows):
+    """The smallest ids of the groups, by every pair of texts with a close fingerprint and alike by 0.8 or more."""
+    sets, marks = [near_texts.shingles(t) for _, t in rows], [near_texts.word_prints(t) for _, t in rows]
+    label = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= 0.8 * (len(sets[i]) + len(sets[j]) - both) and np.bitwise_count(marks[i] ^ marks[j]).min() <= 3:
+                label = [min(label[i], label[j]) if x in (label[i], label[j]) else x for x in label]
+    least = {}
+    for (i, _), x in zip(rows, label):
+        least[x] = min(least.get(x, i), i)
+    return sorted(least.values())
+
+
+def shuffled(seed=7, groups=8):
+    """Texts of the same words, so of the same fingerprints, in several orders; of each order two or three near copies."""
+    rng, rows = random.Random(seed), []
+    for g in range(groups):
+        base = [f"g{g}w{i}" for i in range(150)]
+        for order in range(5):
+            rng.shuffle(base)
+            for c in range(rng.randint(2, 3)):
+                copy = list(base)
+                for at in rng.sample(range(149), c):       # neighbours change places, or a word is another one
+                    copy[at], copy[at + 1] = (copy[at + 1], copy[at]) if g % 2 else (f"n{at}", copy[at + 1])
+                rows.append((1000 * g + 10 * order + c, " ".join(copy)))
+    return rows
+
+
+@pytest.mark.parametrize("hot_key", [4, near_texts.HOT_KEY])
+def test_links_beside_the_forest_are_kept(spark, hot_key):
+    rows = shuffled()
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    expected = by_close_pairs(rows)
+    assert len(expected) < len(rows) / 2
+    assert sorted(r.doc_id for r in near_texts.one_of_each(df, hot_key=hot_key).collect()) == expected
+
+
+def test_sketches_bound_the_difference():
+    rng = random.Random(3)
+    for _ in range(200):
+        base = [f"w{rng.randint(0, 50)}" for _ in range(rng.randint(1, 300))]
+        other = [w if rng.random() < 0.9 else "x" for w in base][:rng.randint(1, 300)]
+        a, b = " ".join(base), " ".join(other)
+        (n, x), (m, y) = near_texts.sketch(a), near_texts.sketch(b)
+        differ = len(near_texts.shingles(a) ^ near_texts.shingles(b))
+        assert max(abs(n - m), int(np.bitwise_count((x ^ y).view("u8")).sum())) <= differ
+
+
 @pytest.mark.parametrize("k", range(near_texts.PRINTS))
 def test_prints_are_weighted_majorities(k):
     from xxhash import xxh64_intdigest
