@@ -7,8 +7,9 @@ shingles are alike by 0.8 or more (Jaccard). Words are less disturbed by an edit
 have a close fingerprint far more often than by fingerprints of the shingles themselves.
 
 A pair of forest or star that is not alike may part texts that are alike by other pairs. So where one parts groups, every
-close pair between the groups is looked at in turn, and verified unless bounds on its shingles rule it out. Pairs
-within a group link nothing more, so a large group of near copies never makes all its pairs.
+close pair between the groups is looked at in turn, and verified unless bounds on its shingles rule it out. This is done
+where the texts of a key meet, and what comes out is again a forest: neither a large group of near copies nor many close
+texts that are not alike ever leave a task as pairs.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from clickweir.llm.components import connected_components
-from clickweir.llm.simhash import HOT_KEY, MOST_BITS, SEED, TILE, _keys, _masks, forest
+from clickweir.llm.simhash import HOT_KEY, MOST_BITS, SEED, _keys, _masks, forest
 from clickweir.llm.workers import releasing, ship_package
 from clickweir.session import stored
 
@@ -30,6 +31,9 @@ SHINGLE = 5
 SIMILARITY = 0.8
 PRINTS = 6
 BLOCKS = 5       # of a fingerprint; those of three bits apart agree in two of them, 10 keys of about 26 bits
+CHOICES = _masks(list(range(64)), BLOCKS)
+INNER = [_masks([b for b in range(64) if not m >> b & 1]) for m in CHOICES]      # of a choice's other bits, for hot keys
+OPEN_TILE = 512      # texts of a key that are verified against as many others in one place
 _MIX = 0x9E3779B97F4A7C15
 
 
@@ -140,49 +144,124 @@ def _link_sorted(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield _links_batch(a, b)
 
 
-def _cross_sorted(batches: Iterable[pa.RecordBatch], similarity: float) -> Iterator[pa.RecordBatch]:
-    """Close pairs of nodes with different labels that may be alike; rows of key, fp, node, label, n and the
-    sketch come sorted by their keys. Tiles within one label are passed over."""
-    share = (1 - similarity) / (1 + similarity)      # of both sizes, in which sets of that similarity may differ
+def _first_meeting(differ: np.ndarray, place: int) -> np.ndarray:
+    """Whether pairs meet at no earlier place; `differ` has the differing bits of each fingerprint."""
+    at, rest = divmod(place, len(INNER[0]) + 1)
+    at, choice = divmod(at, len(CHOICES))
+    first = (np.bitwise_count(differ[:, :at]) > MOST_BITS).all(axis=1)
+    for mask in (*CHOICES[:choice], *INNER[choice][:max(0, rest - 1)]):
+        first &= (differ[:, at] & np.uint64(mask)) != 0
+    return first
+
+
+def _may_be_alike(n: np.ndarray, bits: np.ndarray, i: np.ndarray, j: np.ndarray, similarity: float) -> np.ndarray:
+    """False for pairs that the sizes or sketches of their sets rule out."""
+    most = (1 - similarity) / (1 + similarity) * (n[i] + n[j]) + 1e-6      # by so many may sets of that similarity differ
+    return np.maximum(np.abs(n[i] - n[j]), np.bitwise_count(bits[i] ^ bits[j]).sum(axis=-1, dtype="i8")) <= most
+
+
+def _open_sorted(batches: Iterable[pa.RecordBatch], similarity: float, tile: int = OPEN_TILE) -> Iterator[pa.RecordBatch]:
+    """key, place, x, y, node of the texts to be verified with others of their key: those of close pairs of different labels that may be
+    alike, where these first meet. Rows of key, place, node, label, n, sketch and fingerprints come sorted by their keys; a key of
+    many texts is cut into tiles, of which x and y meet."""
     for rows in chain.from_iterable(_groups(batches)):
         if (rows[:, 3] == rows[0, 3]).all():
             continue
-        rows = rows[np.argsort(rows[:, 3], kind="stable")]
-        fps, node, label, n, bits = rows[:, 1].view("u8"), rows[:, 2], rows[:, 3], rows[:, 4], rows[:, 5:].view("u8")
-        for at in range(0, len(rows), TILE):
-            for to in range(at, len(rows), TILE):
-                x, y = slice(at, at + TILE), slice(to, to + TILE)
-                if label[x][0] == label[y][-1]:
+        for place in np.unique(rows[:, 1]):      # one, unless two keys have one hash
+            here = rows[rows[:, 1] == place]
+            here = here[np.argsort(here[:, 3], kind="stable")]
+            node, label, n, bits, marks = here[:, 2], here[:, 3], here[:, 4], here[:, 5:9].view("u8"), here[:, 9:].view("u8")
+            fps = marks[:, int(place) // (len(INNER[0]) + 1) // len(CHOICES)]
+            for at in range(0, len(here), tile):
+                for to in range(at, len(here), tile):
+                    x, y = slice(at, at + tile), slice(to, to + tile)
+                    if label[x][0] == label[y][-1]:
+                        continue
+                    i, j = np.nonzero((np.bitwise_count(fps[x, None] ^ fps[None, y]) <= MOST_BITS) & (label[x, None] != label[None, y]))
+                    i, j = i + at, j + to
+                    i, j = i[i < j], j[i < j]
+                    may = _may_be_alike(n, bits, i, j, similarity)
+                    i, j = i[may], j[may]
+                    first = _first_meeting(marks[i] ^ marks[j], int(place))
+                    if first.any():
+                        found = node[np.unique(np.r_[i[first], j[first]])]
+                        same = [pa.array(np.full(len(found), v, "i8")) for v in (here[0, 0], place, at, to)]
+                        yield pa.RecordBatch.from_arrays([*same, pa.array(found)], ["key", "place", "x", "y", "node"])
+
+
+def _with_texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[np.ndarray, list[str | None]]]:
+    """The rows of each key and their texts; rows come sorted by the key, their first column, and with the text last."""
+    held, texts = None, []
+    for batch in chain(batches, [None]):
+        if batch is not None:
+            rows = np.column_stack([c.to_numpy(zero_copy_only=False) for c in batch.columns[:-1]]).astype("i8")
+            held = rows if held is None else np.concatenate([held, rows])
+            texts += batch.columns[-1].to_pylist()
+        if held is None or not len(held):
+            continue
+        starts = np.flatnonzero(np.r_[True, held[1:, 0] != held[:-1, 0]])
+        ends = np.r_[starts[1:], len(held)]
+        whole = len(starts) - (batch is not None)      # the last group may go on
+        for s, e in zip(starts[:whole], ends[:whole]):
+            yield held[s:e], texts[s:e]
+        cut = starts[whole] if whole < len(starts) else len(held)
+        held, texts = held[cut:], texts[cut:]
+
+
+def _hashed(text: str | None, shingle: int) -> np.ndarray:
+    from xxhash import xxh64_intdigest
+
+    return np.unique(np.array([xxh64_intdigest(s, SEED) for s in shingles(text, shingle)], "u8"))
+
+
+def _alike_sorted(batches: Iterable[pa.RecordBatch], shingle: int, similarity: float) -> Iterator[pa.RecordBatch]:
+    """A spanning forest of the close pairs that are alike, between different labels of a key. Rows of key, node, label, n,
+    sketch, fingerprints and text come sorted by their keys. Hashes of shingles find the pairs, the shingles decide."""
+    for rows, texts in _with_texts(batches):
+        node, label, n, bits, marks = rows[:, 1], rows[:, 2].copy(), rows[:, 3], rows[:, 4:8].view("u8"), rows[:, 8:].view("u8")
+        hashes: list[np.ndarray | None] = [None] * len(rows)
+        a, b = [], []
+        for i in range(len(rows) - 1):
+            j = np.flatnonzero(label[i + 1:] != label[i]) + i + 1
+            j = j[(np.bitwise_count(marks[j] ^ marks[i]) <= MOST_BITS).any(axis=1)]
+            for k in j[_may_be_alike(n, bits, np.full(len(j), i), j, similarity)]:
+                if label[k] == label[i]:
                     continue
-                near = (np.bitwise_count(fps[x, None] ^ fps[None, y]) <= MOST_BITS) & (label[x, None] != label[None, y])
-                i, j = np.nonzero(near)
-                i, j = i + at, j + to
-                i, j = i[i < j], j[i < j]
-                most = share * (n[i] + n[j]) + 1e-6
-                may = np.maximum(np.abs(n[i] - n[j]), np.bitwise_count(bits[i] ^ bits[j]).sum(axis=1, dtype="i8")) <= most
-                if may.any():
-                    yield _links_batch([np.minimum(node[i], node[j])[may]], [np.maximum(node[i], node[j])[may]])
-
-
-def _by_close_keys(rows: DataFrame, hot_key: int, count: int) -> DataFrame:
-    """`rows` of print and fp once for each of their keys, such that close fingerprints share one; sorted by `key` within tasks.
-    `count` says about how many rows there are."""
-    kept = [c for c in rows.columns if c not in ("print", "fp")]
-    masks = _masks(list(range(64)), BLOCKS)
+                for t in (i, k):
+                    if hashes[t] is None:
+                        hashes[t] = _hashed(texts[t], shingle)
+                both = len(np.intersect1d(hashes[i], hashes[k], assume_unique=True))
+                if both >= similarity * (n[i] + n[k] - both):
+                    x, y = shingles(texts[i], shingle), shingles(texts[k], shingle)
+                    both = len(x & y)
+                    if both >= similarity * (len(x) + len(y) - both):
+                        a.append(node[i])
+                        b.append(node[k])
+                        label[label == label[k]] = label[i]
+            hashes[i] = None
+        yield _links_batch([np.array(a, "i8")], [np.array(b, "i8")])
+
+
+def _by_close_keys(rows: DataFrame, hot_key: int, count: int, *columns: str) -> DataFrame:
+    """`columns` of `rows` once for each key of their print and fp, such that close fingerprints share one; sorted by `key`
+    within tasks. `count` says about how many rows there are. `place` is a number for the print, the choice of blocks and
+    that of the blocks within."""
     # one hash stands for print, choice and key; two keys of one hash are compared together, which links nothing more
-    keyed = (rows.withColumn("k", F.explode(_keys(F.col("fp"), masks)))
-             .select(F.xxhash64("print", "k.choice", "k.key").alias("key"), "k.choice", "fp", *kept))
+    keyed = (rows.withColumn("k", F.explode(_keys(F.col("fp"), CHOICES)))
+             .withColumn("key", F.xxhash64("print", "k.choice", "k.key")).withColumn("choice", F.col("k.choice")))
     # a hot key is in a crowded bucket of keys; only these count their keys one by one
-    buckets = max(1 << 16, count * len(masks) // 1024)
+    buckets = max(1 << 16, count * len(CHOICES) // 1024)
     bucket = F.pmod("key", F.lit(buckets))
     crowded = stored(keyed.groupBy(bucket.alias("bucket")).agg(F.count("*").alias("n")).filter(F.col("n") > hot_key).select("bucket"), "crowded")
     hot = stored(keyed.join(crowded, bucket == F.col("bucket"), "left_semi").groupBy("key").agg(F.count("*").alias("n"))
                  .filter(F.col("n") > hot_key).select("key", F.lit(True).alias("hot")), "hot-keys")
     # a hot key's other bits, cut in turn; which bits these are depends on the choice
-    inner = F.array(*[_keys(F.col("fp"), _masks([b for b in range(64) if not m >> b & 1])) for m in masks])
-    parts = F.transform(F.get(inner, F.col("choice")), lambda s: F.xxhash64("key", s["choice"], s["key"]))
-    dealt = keyed.join(hot, "key", "left").select(
-        F.explode(F.when(F.col("hot"), parts).otherwise(F.array("key"))).alias("key"), "fp", *kept)
+    inner = F.array(*[_keys(F.col("fp"), masks) for masks in INNER])
+    parts = F.transform(F.get(inner, F.col("choice")), lambda s: F.struct(F.xxhash64("key", s["choice"], s["key"]).alias("key"), (s["choice"] + 1).alias("rest")))
+    whole = F.array(F.struct("key", F.lit(0).alias("rest")))
+    place = (F.col("print").cast("bigint") * len(CHOICES) + F.col("choice")) * (len(INNER[0]) + 1) + F.col("part.rest")
+    dealt = keyed.join(hot, "key", "left").withColumn("part", F.explode(F.when(F.col("hot"), parts).otherwise(whole))) \
+        .withColumn("place", place).select(F.col("part.key").alias("key"), *columns)
     return dealt.repartition("key").sortWithinPartitions("key")
 
 
@@ -195,7 +274,7 @@ def _candidates(texts: DataFrame, prints: int, hot_key: int) -> DataFrame:
     of = _prints(texts, prints)
     first = stored(of.groupBy("print", "fp").agg(F.min("node").alias("first")), "fingerprints")
     star = of.join(first, ["print", "fp"]).filter(F.col("node") > F.col("first")).select(F.col("first").alias("a"), F.col("node").alias("b"))
-    close = _by_close_keys(first, hot_key, first.count()).mapInArrow(releasing(_link_sorted), "a bigint, b bigint")
+    close = _by_close_keys(first, hot_key, first.count(), "fp", "first").mapInArrow(releasing(_link_sorted), "a bigint, b bigint")
     return star.unionAll(close.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
 
 
@@ -220,14 +299,16 @@ def _groups_of_copies(texts: DataFrame, pairs: DataFrame, content: DataFrame, sh
                     .join(label.select(F.col("node").alias("b"), F.col("label").alias("lb")), "b").filter("la <> lb"), "parted")
     ends = stored(parted.select(F.col("la").alias("label")).union(parted.select("lb")).distinct(), "open-groups")
     # the sketches of all texts in such groups
-    members = texts.select("node", *[f"p{k}" for k in range(prints)]).join(label.join(ends, "label"), "node").join(content, "node") \
-        .select("node", "label", *[f"p{k}" for k in range(prints)], "text")
-    kinds = ", ".join(f"{c} bigint" for c in ("node", "label", *[f"p{k}" for k in range(prints)], "n", "s0", "s1", "s2", "s3"))
+    marks = [f"p{k}" for k in range(prints)]
+    members = texts.select("node", *marks).join(label.join(ends, "label"), "node").join(content, "node").select("node", "label", *marks, "text")
+    kinds = ", ".join(f"{c} bigint" for c in ("node", "label", *marks, "n", "s0", "s1", "s2", "s3"))
     open_texts = stored(members.mapInArrow(releasing(lambda b: _sketches(b, shingle)), kinds), "open-texts")
-    rows = _prints(open_texts, prints, "label", "n", "s0", "s1", "s2", "s3").select("print", "fp", "node", "label", "n", "s0", "s1", "s2", "s3")
-    close = _by_close_keys(rows, hot_key, prints * open_texts.count()).mapInArrow(
-        releasing(lambda b: _cross_sorted(b, similarity)), "a bigint, b bigint").distinct()
-    more = _verified(stored(close.join(parted.select("a", "b"), ["a", "b"], "left_anti"), "pairs-between-groups"), content, shingle, similarity)
+    judged = ("n", "s0", "s1", "s2", "s3", *marks)
+    rows = _by_close_keys(_prints(open_texts, prints, "label", *judged), hot_key, prints * open_texts.count(), "place", "node", "label", *judged)
+    meeting = stored(rows.mapInArrow(releasing(lambda b: _open_sorted(b, similarity)), "key bigint, place bigint, x bigint, y bigint, node bigint"), "open-keys")
+    more = meeting.join(open_texts, "node").join(content, "node") \
+        .select(F.xxhash64("key", "place", "x", "y").alias("key"), "node", "label", *judged, "text").repartition("key").sortWithinPartitions("key") \
+        .mapInArrow(releasing(lambda b: _alike_sorted(b, shingle, similarity)), "a bigint, b bigint")
     return connected_components(parts.select(F.col("node").alias("a"), F.col("component").alias("b")).union(more), "group-links")
 
 

@@ -106,6 +106,31 @@ def test_links_beside_the_forest_are_kept(spark, hot_key):
     assert sorted(r.doc_id for r in near_texts.one_of_each(df, hot_key=hot_key).collect()) == expected
 
 
+@pytest.mark.parametrize("tile", [16, near_texts.OPEN_TILE])
+def test_close_texts_that_are_not_alike_never_leave_as_pairs(spark, monkeypatch, tile):
+    """Long texts of the same words in 120 orders: every pair is close, and bounds rule none out."""
+    rng, rows = random.Random(11), []
+    base = [f"w{i}" for i in range(900)]
+    for order in range(120):
+        rng.shuffle(base)
+        rows.append((10 * order, " ".join(base)))
+    rows += [(10 * o + 1, rows[o][1].rsplit(" ", 1)[0] + " end") for o in range(0, 120, 7)]
+    sizes, stored = [], near_texts.stored
+
+    def counting(df, label):
+        out = stored(df, label)
+        sizes.append(out.count())
+        return out
+
+    monkeypatch.setattr(near_texts, "stored", counting)
+    if hasattr(near_texts, "_open_sorted"):
+        found = near_texts._open_sorted
+        monkeypatch.setattr(near_texts, "_open_sorted", lambda b, similarity: found(b, similarity, tile))
+    kept = near_texts.one_of_each(spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4))
+    assert sorted(r.doc_id for r in kept.collect()) == [10 * o for o in range(120)]
+    assert max(sizes) <= 15 * len(rows)      # 9,453 pairs
+
+
 def test_sketches_bound_the_difference():
     rng = random.Random(3)
     for _ in range(200):
