@@ -19,7 +19,7 @@ from clickweir.plans.quality_suite import generic_checks
 from clickweir.schema import CAMPAIGN_COLUMNS, DAILY_GRAIN, EVENT_TYPES
 from clickweir.session import scratch_path
 from clickweir.sources import compaction, schema_versions, tables
-from clickweir.sources.driver_tables import ad_events_stream
+from clickweir.sources.driver_tables import ad_events_of_days, ad_events_stream
 from clickweir.sources.event_files import CORRUPT
 from clickweir.streaming import jobs
 
@@ -32,11 +32,12 @@ _LATE = "(event_date = DATE '2024-01-10' AND CAST(id AS BIGINT) % 3 = 0 OR event
 def _refreshed(spark, d):
     """(folder of the marts, what the refresh replaced) after two days' events changed."""
     path, root = scratch_path(spark, "events-by-day"), scratch_path(spark, "daily-marts")
-    events = frames.ads(spark, d).withColumn("event_date", parse_hour(F.col("hour")).cast("date")).where("event_date IS NOT NULL")
-    tables.materialize_table(events.where(f"NOT coalesce({_LATE}, false)"), path)
+    day = parse_hour(F.col("hour")).cast("date")
+    events = frames.ads(spark, d).withColumn("event_date", day).where("event_date IS NOT NULL")
+    tables.write_table(events.where(f"NOT coalesce({_LATE}, false)"), path)
     incremental.refresh_daily_marts(spark, path, root)
-    late = events.where("event_date IN (DATE '2024-01-10', DATE '2024-01-20')")
-    tables.materialize_table(late, path, refresh="partitions")
+    late = ad_events_of_days(spark, d, ["2024-01-10", "2024-01-20"]).withColumn("event_date", day).where("event_date IS NOT NULL")
+    tables.write_table(late, path, refresh="partitions")
     return root, incremental.refresh_daily_marts(spark, path, root)
 
 

@@ -24,12 +24,13 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F, types a
 from clickweir.plans import marts
 from clickweir.schema import DAILY_GRAIN
 from clickweir.session import delete_path, path_exists, stored
-from clickweir.sources.tables import materialize_table
+from clickweir.sources.tables import materialize_table, write_table
 
 DAY = "event_date"
 COLUMNS = ("hour", *DAILY_GRAIN)       # of the events, that the marts need
 ROWS_BEHIND = 6                        # rows whose averages a row enters, besides its own
 SERIES = ("site_id", "device_type")
+FEW_FOLDERS = 256
 
 STATE = "event_date date, files long, files_hash long, n_rows long, rows_xor long, rows_sum long"
 
@@ -75,7 +76,7 @@ def _replace_days(rows: DataFrame, path: str, days: Iterable[datetime.date]) ->
     """Replace the folders of `days` with `rows`, which are of these days only; a day without rows loses its folder."""
     spark = rows.sparkSession
     there = {r[DAY] for r in rows.select(DAY).distinct().collect()}      # days in work
-    materialize_table(rows, path, DAY, refresh="partitions")
+    write_table(rows, path, DAY, refresh="partitions")
     for day in set(days) - there:
         delete_path(spark, f"{path}/{DAY}={day}")
 
@@ -84,6 +85,17 @@ def _read(spark: SparkSession, path: str, like: DataFrame) -> DataFrame:
     return spark.read.schema(like.schema).parquet(path).select(*like.columns)
 
 
+def _read_days(spark: SparkSession, path: str, like: DataFrame, days: Iterable[datetime.date]) -> DataFrame:
+    """Rows of some days; of a few only their own folders are listed, however many the table has."""
+    days = sorted(days)
+    if len(days) > FEW_FOLDERS:
+        return of_days(_read(spark, path, like), days)
+    folders = [f for f in (f"{path}/{DAY}={day}" for day in days) if path_exists(spark, f)]
+    if not folders:
+        return spark.createDataFrame([], like.schema)
+    return spark.read.schema(like.schema).option("basePath", path).parquet(*folders).select(*like.columns)
+
+
 def _same_series(rows: DataFrame, keys: DataFrame, how: str) -> DataFrame:
     """Semi or anti join on site and device, where NULL equals NULL."""
     k = keys.select(*[F.col(c).alias(f"k_{c}") for c in SERIES])
@@ -110,7 +122,7 @@ def dependent_rows(daily: DataFrame, changed: DataFrame) -> DataFrame:
 def _build_all(events: DataFrame, root: str) -> None:
     staged = materialize_table(marts.stage_events(events.drop(DAY), COLUMNS), f"{root}/staged", DAY)
     daily = materialize_table(marts.daily_agg_direct(staged), f"{root}/daily", DAY)
-    materialize_table(marts.daily_metrics(daily), f"{root}/facts", DAY)
+    write_table(marts.daily_metrics(daily), f"{root}/facts", DAY)
 
 
 def refresh_daily_marts(spark: SparkSession, events_path: str, root: str) -> Refresh:
@@ -131,8 +143,10 @@ def refresh_daily_marts(spark: SparkSession, events_path: str, root: str) -> Ref
     if not touched_days and not pending:
         return Refresh([], [], [], [])
 
-    now = stored(row_fingerprints(of_days(events, touched_days)), "row-fingerprints")
-    before = of_days(fingerprints, touched_days).select(DAY, F.struct("n_rows", "rows_xor", "rows_sum").alias("was"))
+    # the first time these are all days, which need not be named
+    touched_rows = events.where(F.col(DAY).isNotNull()) if state is None else of_days(events, touched_days)
+    now = stored(row_fingerprints(touched_rows), "row-fingerprints")
+    before = (fingerprints if state is None else of_days(fingerprints, touched_days)).select(DAY, F.struct("n_rows", "rows_xor", "rows_sum").alias("was"))
     compared = now.select(DAY, F.struct("n_rows", "rows_xor", "rows_sum").alias("is")).join(before, DAY, "full")
     changed = {r[DAY] for r in compared.where(~F.col("is").eqNullSafe(F.col("was"))).select(DAY).collect()}
 
@@ -144,7 +158,7 @@ def refresh_daily_marts(spark: SparkSession, events_path: str, root: str) -> Ref
     elif changed or pending:
         done = _refresh_days(spark, events, root, changed, pending, pending_path)
 
-    kept = fingerprints.where(~F.col(DAY).isin(*touched_days)) if touched_days else fingerprints
+    kept = fingerprints.where(~F.col(DAY).isin(*touched_days)) if touched_days and state is not None else fingerprints
     fresh = signatures.join(now, DAY).select(*[f.name for f in T.StructType.fromDDL(STATE)])
     stored(kept.unionByName(fresh), "state").coalesce(1).write.mode("overwrite").parquet(f"{root}/state")
     delete_path(spark, pending_path)
@@ -159,8 +173,8 @@ def _refresh_days(spark, events, root, changed, pending, pending_path) -> Refres
         return Refresh(sorted(changed), days, days, days)
 
     sample = marts.stage_events(events.drop(DAY), COLUMNS)
-    staged = _read(spark, f"{root}/staged", sample)
-    touched = stored(of_days(events, redo).select("id").unionAll(of_days(staged, redo).select("id"))
+    staged = _read_days(spark, f"{root}/staged", sample, redo)
+    touched = stored(of_days(events, redo).select("id").unionAll(staged.select("id"))
                      .where("id IS NOT NULL").distinct(), "touched-ids")
     # copies of these ids on other days: a scan of ids alone
     elsewhere = events.where(~F.col(DAY).isin(*sorted(redo))).select(DAY, "id").join(touched, "id", "left_semi")
@@ -168,13 +182,11 @@ def _refresh_days(spark, events, root, changed, pending, pending_path) -> Refres
     spark.createDataFrame([(d,) for d in affected], "event_date date").coalesce(1).write.mode("overwrite").parquet(pending_path)
 
     newest = marts.stage_events(of_days(events, affected).drop(DAY).join(touched, "id", "left_semi"), COLUMNS)
-    others = of_days(staged, affected).join(touched, "id", "left_anti")
+    others = _read_days(spark, f"{root}/staged", sample, affected).join(touched, "id", "left_anti")
     _replace_days(stored(others.unionByName(newest), "staged-days"), f"{root}/staged", affected)
 
-    staged = _read(spark, f"{root}/staged", sample)
-    new = stored(marts.daily_agg_direct(of_days(staged, affected)), "daily-days")
-    daily = _read(spark, f"{root}/daily", new)
-    old = stored(of_days(daily, affected), "daily-before")
+    new = stored(marts.daily_agg_direct(_read_days(spark, f"{root}/staged", sample, affected)), "daily-days")
+    old = stored(_read_days(spark, f"{root}/daily", new, affected), "daily-before")
     differ = new.unionAll(old) if pending else new.exceptAll(old).unionAll(old.exceptAll(new))
     changed_rows = stored(differ.select(*DAILY_GRAIN).distinct(), "changed-rows")
     days = {r[DAY] for r in changed_rows.select(DAY).distinct().collect()}
@@ -185,7 +197,7 @@ def _refresh_days(spark, events, root, changed, pending, pending_path) -> Refres
     daily = _read(spark, f"{root}/daily", new)
     dependents = days | {r[DAY] for r in dependent_rows(daily, changed_rows).select(DAY).distinct().collect()}
     again = marts.daily_metrics(_same_series(daily, changed_rows, "left_semi"))
-    facts = _read(spark, f"{root}/facts", again)
-    kept = _same_series(of_days(facts, dependents), changed_rows, "left_anti")
+    facts = _read_days(spark, f"{root}/facts", again, dependents)
+    kept = _same_series(facts, changed_rows, "left_anti")
     _replace_days(stored(kept.unionByName(of_days(again, dependents)), "fact-days"), f"{root}/facts", dependents)
     return Refresh(sorted(changed), sorted(affected), sorted(days), sorted(dependents))

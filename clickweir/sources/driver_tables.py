@@ -9,6 +9,8 @@ residues carry click = 2, a NULL hour or a NULL site.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -76,6 +78,17 @@ def ad_events(spark: SparkSession, sf_dir: str, since: str | None = None) -> Dat
             .where(F.col("event_time") >= floor))
 
 
+def ad_events_of_days(spark: SparkSession, sf_dir: str, days: Sequence[str]) -> DataFrame:
+    """The view's events of some days. As bounds of the source's time the days reach the Parquet scan; a copy
+    is an hour younger than its source row."""
+    def within(time: str, early: str) -> F.Column:
+        start = [F.lit(day).cast("timestamp_ntz") for day in days]
+        return reduce(or_, [(F.col(time) >= s - F.expr(early)) & (F.col(time) < s + F.expr("INTERVAL 1 DAY")) for s in start])
+
+    events = read_driver_table(spark, sf_dir, "events").where(within("ts", "INTERVAL 1 HOUR"))
+    return as_ad_events(events).where(within("event_time", "INTERVAL 0 HOUR"))
+
+
 def events_glob(sf_dir: str) -> str:
     """The table's path as a glob: a stream takes a folder or a glob, and the table may
     be one file or a folder of files."""

@@ -15,15 +15,21 @@ from clickweir.session import delete_path, path_exists, stored
 
 def materialize_table(df: DataFrame, path: str, partition_by: str | None = "event_date",
                       loaded_at: str | None = None, refresh: str = "full") -> DataFrame:
-    """Write a table and read it back.
+    """Write a table, as `write_table` does, and read it back."""
+    if loaded_at:
+        df = df.select("*", *audit_columns([loaded_at]))
+    write_table(df, path, partition_by, refresh)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def write_table(df: DataFrame, path: str, partition_by: str | None = "event_date", refresh: str = "full") -> None:
+    """Write a table; nothing of it is listed.
 
     refresh='full' replaces the whole table; 'partitions' replaces only the days
     present in `df`, which is how one late day is redone without touching the rest.
     Rows are rebalanced by day first: adaptive execution merges light days into few
     files and splits a heavy day over several tasks.
     """
-    if loaded_at:
-        df = df.select("*", *audit_columns([loaded_at]))
     if partition_by:
         df = df.hint("rebalance", F.col(partition_by))
     writer = df.write.mode("overwrite")
@@ -31,7 +37,6 @@ def materialize_table(df: DataFrame, path: str, partition_by: str | None = "even
         mode = {"full": "static", "partitions": "dynamic"}[refresh]
         writer = writer.partitionBy(partition_by).option("partitionOverwriteMode", mode)
     writer.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def stream_run(df: DataFrame) -> str:

@@ -11,7 +11,7 @@ from clickweir.operators.joins import batch_vs_stream_reconcile
 from clickweir.plans import incremental, marts
 from clickweir.schema import EVENT_COLUMNS, EVENT_SCHEMA
 from clickweir.session import delete_path, move_path
-from clickweir.sources import compaction, tables
+from clickweir.sources import compaction, driver_tables, tables
 from conftest import rows
 
 START = date(2024, 3, 1)
@@ -81,6 +81,37 @@ def test_only_the_day_and_what_follows_from_it(spark, made):
     assert incremental.refresh_daily_marts(spark, path, root) == incremental.Refresh([], [], [], [])
 
 
+def test_a_refresh_lists_one_table_of_all_days(spark, made, monkeypatch):
+    """Only the daily aggregate is opened whole; of the others no more than the days in work."""
+    path, root = made
+    real, opened = incremental._read, []
+    monkeypatch.setattr(incremental, "_read", lambda spark, path, like: opened.append(os.path.basename(path)) or real(spark, path, like))
+    put(spark, path, [(n, d, h, 1 - c, s, v) for n, d, h, c, s, v in base()], START + timedelta(days=5))
+    incremental.refresh_daily_marts(spark, path, root)
+    assert opened == ["daily"] and facts(spark, root) == full(spark, path)
+
+
+@pytest.mark.parametrize("few", [0, 256])
+def test_days_are_read_by_folder_or_by_filter(spark, made, monkeypatch, few):
+    _, root = made
+    monkeypatch.setattr(incremental, "FEW_FOLDERS", few)
+    like = spark.read.schema("site_id string, daily_total_clicks long, event_date date").parquet(f"{root}/daily")
+    days = [START + timedelta(days=d) for d in (3, 4, 400)]
+    got = incremental._read_days(spark, f"{root}/daily", like, days)
+    assert got.columns == like.columns and got.count() > 0
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(like.where(F.col("event_date").isin(days)))))
+    assert rows(incremental._read_days(spark, f"{root}/daily", like, days[2:])) == []
+
+
+def test_events_of_days_reach_the_scan(spark, sf):
+    days = ["2024-01-10", "2024-01-20"]
+    got = driver_tables.ad_events_of_days(spark, sf, days)
+    expected = driver_tables.ad_events(spark, sf).where(F.to_date("event_time").isin([date.fromisoformat(d) for d in days]))
+    assert sorted(map(str, rows(got))) == sorted(map(str, rows(expected))) and got.count() > 0
+    scan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PushedFilters: [Or(" in scan and "GreaterThanOrEqual(ts,2024-01-09T23:00)" in scan
+
+
 def test_new_files_with_the_same_rows_change_nothing(spark, made):
     path, root = made
     before = files(root)
