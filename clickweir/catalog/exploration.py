@@ -202,9 +202,9 @@ BALANCED = 0.01     # share of the weight by which scores and labels of the best
 def _split_features(spark, d):
     rows = frames.staged(spark, d)
     rows = rows.withColumn("hour_of_day", F.hour("event_timestamp")).withColumn("signal", F.expr(SIGNAL))
-    rows = model_prep.label_encode(rows, STRING_COLUMNS)
-    split = sampling.train_test_split(stored(rows), "click", "id")
-    split = stored(split)
+    rows = stored(rows, "model-rows")      # for the dictionary and for the split
+    dictionary = model_prep.label_dictionary(rows, STRING_COLUMNS)
+    split = stored(model_prep.label_encode(sampling.train_test_split(rows, "click", "id"), STRING_COLUMNS, dictionary), "split-rows")
     train = model_prep.with_class_weight(split.where("split = 'train'"))
     return train, split.where("split = 'test'")
 

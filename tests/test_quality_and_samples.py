@@ -230,3 +230,18 @@ def test_confusion_numbers(spark):
     one = report[1]
     assert (one["actual"], one["predicted"], one["hits"]) == (4, 5, 3)
     assert [float(one[c]) for c in ("precision_pct", "recall_pct", "f1_pct")] == [60.0, 75.0, 66.67]
+
+
+def test_model_rows_are_staged_once(spark, sf, monkeypatch):
+    """The dictionary and the split start from stored rows, and these are encoded behind the split, in one write."""
+    from clickweir.catalog import exploration
+    plans, real = [], model_prep.label_dictionary
+    monkeypatch.setattr(model_prep, "label_dictionary", lambda df, columns: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or real(df, columns))
+    written, stored = [], exploration.stored
+    monkeypatch.setattr(exploration, "stored", lambda df, *label: written.append(stored(df, *label)) or written[-1])
+    train, test = exploration._split_features(spark, sf)
+    assert len(plans) == 1 and "Window" not in plans[0]
+    assert len(written) == 2 and train.count() + test.count() == written[0].count()
+    codes = {r["value"]: r["code"] for r in real(written[0], ["device_id"]).collect()}
+    was = {r["id"]: r["device_id"] for r in written[0].collect()}
+    assert all(r["device_id"] == codes[was[r["id"]]] for r in train.select("id", "device_id").union(test.select("id", "device_id")).collect())
