@@ -10,6 +10,9 @@ permutation of the block numbers, another one in each epoch, and gives the block
 
 Running numbers are summed in two levels, over buckets and within them, so that no source
 meets in one task; only one row per source and one per bucket are ordered together.
+
+The planner takes what an explode returns for no larger than what it reads, so joins of slots, blocks and texts ask
+for a merge; else a few MB of draws would be broadcast as all their slots.
 """
 
 from __future__ import annotations
@@ -109,14 +112,15 @@ def drawn_slots(shares: DataFrame, all_slots: int, shard_slots: int = SHARD_SLOT
     """(source, shard, draws): multinomial counts of every shard that is drawn, and how many such shards there are.
 
     `shares` has source, low and high, its part of the unit interval. Draws meet the sources by equal cells of the interval, so
-    a source with many slots has as many cells, and no task gets all of it.
+    a source with many slots has as many cells, and no task gets all of it. Slots are a range, whose size the planner knows;
+    slots exploded from shards would count as shards and be broadcast.
     """
     reserve = math.isqrt(all_slots) * CORRECTED
     n = max(0, (all_slots - reserve) // shard_slots)
     spark = shares.sparkSession
     tasks = 1 + all_slots // TASK_SLOTS
-    u = (spark.range(0, n, 1, min(tasks, max(1, n))).withColumnRenamed("id", "shard")
-         .select("shard", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(shard_slots - 1).cast("bigint"))).alias("i"))
+    u = (spark.range(0, n * shard_slots, 1, min(tasks, max(1, n)))
+         .select(F.expr(f"id div {shard_slots}").alias("shard"), F.expr(f"id % {shard_slots}L").alias("i"))
          .withColumn("u", _uniform(F.col("shard"), F.col("i")))
          .select("shard", "u", F.floor(F.col("u") * CELLS).alias("cell")))
     cells = shares.filter("high > low").withColumn("cell", F.explode(F.sequence(
@@ -234,13 +238,13 @@ def mixed_texts(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words
     _, places, taken_slots = _plan(docs, weights, block_words, shard_slots, most_epochs, id_col, text_col, source_col)
     rest = [c for c in docs.columns if c not in (id_col, text_col, source_col)]
     key = [F.xxhash64("doc_id", "source", "tie").alias("key 1"), F.xxhash64("tie", F.lit(SEED), "source", "doc_id").alias("key 2")]
-    s = taken_slots.select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), "epoch")
+    s = taken_slots.select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), "epoch").hint("merge")
     took = (segments(places, block_words)
             .join(s, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block")))
             .groupBy(*key, "start", "epoch").agg(F.sort_array(F.collect_list(F.struct("first_word", "n_words"))).alias("parts"))
             .groupBy("`key 1`", "`key 2`", "start").agg(F.collect_list(F.struct("epoch", "parts")).alias("epochs"))
             .groupBy("`key 1`", "`key 2`").agg(F.sort_array(F.collect_list(F.struct("start", "epochs"))).alias("copies"))
-            .select(F.col("`key 1`").alias("k1"), F.col("`key 2`").alias("k2"), "copies"))
+            .select(F.col("`key 1`").alias("k1"), F.col("`key 2`").alias("k2"), "copies").hint("merge"))
     text = F.col(text_col).cast("string")
     rows = (docs.select(F.col(id_col).alias("doc_id"), text.alias("text"), F.col(source_col).alias("source"),
                         *[F.col(c).alias(f"rest {c}") for c in rest], F.xxhash64(text).alias("tie"))

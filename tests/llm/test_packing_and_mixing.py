@@ -14,6 +14,7 @@ from tokenizers import Tokenizer
 from clickweir.llm import mixing
 from clickweir.llm.catalog import tokenizer_json
 from clickweir.llm.packing import Encoder, assign, capacities, pack
+from clickweir.session import stored
 
 ODD = ["", "  a  b ", " x\n y", "don't 's 're'll <|endoftext|>\t\n z  ", "日本 語 ÷ a÷b ªº µm ſ ɏa.", "a" * 300 + " " + "b," * 50,
        " .", "x ...,, y!?", "  　x \x1c y", "A.B. c.d", "ends. ", "one"]
@@ -237,6 +238,28 @@ def test_mixed_texts_keep_white_space(spark):
     assert cut and len(words) == 500
 
 
+def final_joins(df, key):
+    """The joins by the column `key` in the plan that ran, by their names."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0]
+    return {m[0] for line in plan.splitlines() if f"{key}#" in line and (m := re.search(r"\w+Join\w*", line))}
+
+
+def test_slots_and_texts_are_not_broadcast(spark):
+    texts = mixing.mixed_texts(corpus(spark, 12)[1])
+    assert final_joins(texts, "t_block") == {"SortMergeJoin"} and final_joins(texts, "k1") == {"SortMergeJoin"}
+
+
+def test_many_sources_and_few_shards_broadcast_the_sources(spark):
+    n = 2000
+    shares = stored(spark.range(n).select(F.concat(F.lit("s"), "id").alias("source"), (F.col("id") / n).alias("low"),
+                                          ((F.col("id") + 1) / n).alias("high")))
+    counts, shards = mixing.drawn_slots(shares, 400_000)
+    assert 80 < shards < 100 and counts.agg(F.sum("draws")).first()[0] == shards * mixing.SHARD_SLOTS
+    plan = counts._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[cell#\d+L\], \[cell#\d+L\], Inner, BuildRight", plan)
+
+
 def test_permutation(spark):
     for n in (1, 2, 7, 64, 1000):
         df = spark.range(n).select(mixing.permuted(F.col("id"), F.lit(n), F.lit("s"), F.lit(0)).alias("p"))
