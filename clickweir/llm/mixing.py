@@ -212,7 +212,7 @@ def mix(docs: DataFrame, weights: tuple[int, ...] = WEIGHTS, block_words: int =
     targets, places, taken_slots = _plan(docs, weights, block_words, shard_slots, most_epochs,
                                          id_col, text_col, source_col)
     times = (taken_slots.groupBy("source", "block").agg(F.count("*").alias("times"))
-             .select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), "times"))
+             .select(F.col("source").alias("t_source"), F.col("block").alias("t_block"), "times").hint("merge"))
     took = (segments(places, block_words)
             .join(times, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("block") == F.col("t_block")))
             .groupBy("source", "start", "doc_id").agg(F.sum(F.col("n_words") * F.col("times")).alias("words"))

@@ -246,7 +246,9 @@ def final_joins(df, key):
 
 
 def test_slots_and_texts_are_not_broadcast(spark):
-    texts = mixing.mixed_texts(corpus(spark, 12)[1])
+    df = corpus(spark, 12)[1]
+    assert final_joins(mixing.mix(df), "t_block") == {"SortMergeJoin"}
+    texts = mixing.mixed_texts(df)
     assert final_joins(texts, "t_block") == {"SortMergeJoin"} and final_joins(texts, "k1") == {"SortMergeJoin"}
 
 
